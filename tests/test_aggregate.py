@@ -1,0 +1,181 @@
+"""Header answers: equal to the scan where given, left to the scan where not."""
+
+import golden
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lidarframe import las_agg, las_audit, read_headers, read_las, register
+from lidarframe.operators.aggregate import header_plan
+
+ALL = {f"{m}_{c}": f"{m}({c})" for m in ("min", "max") for c in "xyz"} | {"n": "count(*)"}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "min(x)", "MAX( Y )", "max(`z`)", "count(*)", "count(1)", "COUNT(intensity)",
+        "max(x) - min(x)", "cast(count(x) as int) + 1", "round(max(x), 1)", "concat('min(y)', min(x))",
+        "case when count(*) > 5 then max(x) else min(x) end", "1 + 1",
+    ],
+)
+def test_answered_from_headers(spark, text):
+    assert header_plan(spark, {"a": text}) is not None
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "sum(x)", "min(x) + sum(y)", "count(distinct x)", "count(DISTINCT *)", "min(x * 2)", "min(intensity)",
+        "count(nullif(x, 1))", "count(2)", "sum(1)", "x", "min(x) + y", "avg(x)", "count(x, y)",
+        "min(x) filter (where y > 1)", "max(x) over ()", "count(foo)", "approx_count_distinct(x)",
+        "any_value(1)", "xmin(x)",
+    ],
+)
+def test_left_to_the_scan(spark, text):
+    assert header_plan(spark, {"a": "min(x)", "b": text}) is None
+
+
+def test_text_in_quotes_is_not_touched(spark, tmp_path):
+    path = golden.cloud(tmp_path / "a.las", 3)
+    row = las_agg(spark, path, {"a": "concat('min(x)=', min(x))", "b": "'count(*)'"}).first()
+    assert tuple(row) == ("min(x)=0.0", "count(*)")
+
+
+def test_plans(spark, tmp_path):
+    path = golden.cloud(tmp_path / "a.las", 10)
+    headers = las_agg(spark, path, ALL)
+    assert "las_headers" in plan_of(headers)
+    scan = las_agg(spark, path, ALL, verify=True)
+    assert "BatchScan las[" in plan_of(scan)
+    assert headers.columns == scan.columns and headers.dtypes == scan.dtypes
+    assert headers.collect() == scan.collect()
+    pruned = las_agg(spark, path, {"s": "sum(intensity)"}, where="user_data > 1")
+    assert "BatchScan las[intensity" in plan_of(pruned) and "user_data" in plan_of(pruned)
+    assert "x#" not in plan_of(pruned)
+
+
+def test_filter_group_and_fallback_results(spark, tmp_path):
+    golden.cloud(tmp_path / "k=a" / "1.las", 10)
+    golden.cloud(tmp_path / "k=b" / "1.las", 5, 6, first=100)
+    path = str(tmp_path)
+    assert las_agg(spark, path, {"n": "count(*)"}, where="x >= 1").first()["n"] == 5
+    grouped = las_agg(spark, path, {"n": "count(*)", "m": "max(x)"}, group_by=["k"]).collect()
+    assert {tuple(r) for r in grouped} == {("a", 10, 9 * 0.01), ("b", 5, 104 * 0.01)}
+    assert las_agg(spark, path, {"n": "count(*)"}, where="k = 'b'").first()["n"] == 5
+    assert las_agg(spark, path, {"d": "count(distinct x)", "n": "count(*)"}).first() == (15, 15)
+    derived = read_las(spark, path).withColumn("x", F.col("x") * 2)
+    assert derived.agg(F.min("x")).first()[0] == 0.0  # derived columns use the scan
+
+
+def test_no_points(spark, tmp_path):
+    golden.cloud(tmp_path / "a.las", 0, lie=(99.0, -99.0) * 3)
+    for verify in (False, True):
+        row = las_agg(spark, str(tmp_path), ALL, verify=verify).first()
+        assert row["n"] == 0 and row["min_x"] is None and row["max_z"] is None
+    golden.cloud(tmp_path / "b.las", 3)
+    row = las_agg(spark, str(tmp_path), ALL).first()
+    assert (row["n"], row["min_x"], row["max_x"]) == (3, 0.0, 2 * 0.01)
+    assert las_agg(spark, str(tmp_path), {"one": "1"}).collect() == [(1,)]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert las_agg(spark, str(empty), {"n": "count(*)", "m": "min(x)"}).first() == (0, None)
+
+
+def test_count_of_a_column_some_files_lack(spark, tmp_path):
+    golden.cloud(tmp_path / "a.las", 3, 0)
+    golden.cloud(tmp_path / "b.las", 4, 1)
+    aggs = {"n": "count(*)", "g": "count(gps_time)"}
+    for verify in (False, True):
+        found = las_agg(spark, str(tmp_path), aggs, verify=verify, missingColumns="null").first()
+        assert found == (7, 4)
+        with pytest.raises(Exception, match="no column 'gps_time'"):
+            las_agg(spark, str(tmp_path), aggs, verify=verify).collect()
+
+
+def test_headers_are_trusted_unless_verified(spark, tmp_path):
+    path = golden.cloud(tmp_path / "a.las", 10, lie=(50.0, 40.0) * 3)
+    assert las_agg(spark, path, {"m": "max(x)"}).first()["m"] == 50.0
+    assert las_agg(spark, path, {"m": "max(x)"}, verify=True).first()["m"] == 9 * 0.01
+
+
+def test_cached_scan_does_not_matter(spark, tmp_path):
+    path = golden.cloud(tmp_path / "a.las", 10)
+    points = read_las(spark, path).cache()
+    try:
+        assert points.count() == 10
+        answer = las_agg(spark, path, ALL)
+        assert "las_headers" in plan_of(answer) and answer.first()["n"] == 10
+    finally:
+        points.unpersist()
+
+
+def test_registering_again_is_harmless(spark):
+    register(spark)
+    register(spark)
+
+
+def test_many_files(spark, tmp_path):
+    for i in range(150):
+        golden.cloud(tmp_path / f"{i}.las", i % 4, (0, 6)[i % 2], first=i)
+    headers, scan = (las_agg(spark, str(tmp_path), ALL, verify=v).first() for v in (False, True))
+    assert headers == scan and headers["n"] == sum(i % 4 for i in range(150))
+    assert read_headers(spark, str(tmp_path), filesPerPartition=10).rdd.getNumPartitions() == 15
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    files=st.lists(
+        st.tuples(
+            st.sampled_from(sorted(golden.CODES)),
+            st.lists(st.tuples(*[st.integers(-(2**31), 2**31 - 1)] * 3), max_size=5),
+            st.sampled_from([0.01, 0.001, 1.0, 0.25, 1e-7]),
+            st.sampled_from([0.0, 500000.0, -0.3]),
+        ),
+        min_size=1,
+        max_size=4,
+    )
+)
+def test_headers_equal_scan_on_random_files(spark, tmp_path_factory, files):
+    folder = tmp_path_factory.mktemp("random")
+    for i, (fmt, raw, scale, offset) in enumerate(files):
+        ends = [f(v) * scale + offset for v in zip(*raw) for f in (max, min)] or [0.0] * 6
+        minor = 4 if fmt >= 6 else 3
+        head = golden.header(minor, fmt, count=len(raw), scale=(scale,) * 3, offset=(offset,) * 3, bounds=ends)
+        body = b"".join(golden.record(fmt, x=x, y=y, z=z) for x, y, z in raw)
+        golden.write(folder / f"{i}.las", head + body)
+    aggs = ALL | {"dx": "max(x) - min(x)", "c": "count(intensity)"}
+    headers, scan = (las_agg(spark, str(folder), aggs, verify=v).collect() for v in (False, True))
+    assert headers == scan
+
+
+def test_audit(spark, tmp_path):
+    good = golden.cloud(tmp_path / "good.las", 10, 6, extra=2, gap=4, trailing=9)
+    none = golden.cloud(tmp_path / "none.las", 0)
+    bounds = golden.cloud(tmp_path / "bounds.las", 10, lie=(1.0, 0.0) * 3)
+    short = golden.write(tmp_path / "short.las", golden.header(count=5) + golden.points(3) + b"abc")
+    magic = golden.write(tmp_path / "magic.las", golden.header(magic=b"XXXX"))
+    length = golden.write(tmp_path / "length.las", golden.header(fmt=1, length=20) + golden.points(1))
+    rows = {r["path"]: r for r in las_audit(spark, str(tmp_path), splitBytes=64).collect()}
+    assert len(rows) == 6
+    assert rows[good]["ok"] and rows[good]["scanned_points"] == 10
+    assert rows[none]["ok"] and rows[none]["scanned_points"] == 0
+    assert not rows[bounds]["ok"] and not rows[bounds]["bounds_ok"] and rows[bounds]["count_ok"]
+    assert not rows[short]["ok"] and not rows[short]["length_ok"]
+    assert (rows[short]["header_points"], rows[short]["scanned_points"]) == (5, 3)
+    assert not rows[magic]["ok"] and "not a LAS file" in rows[magic]["error"]
+    assert not rows[length]["ok"] and "record length" in rows[length]["error"]
+
+
+def test_header_table_fails_on_bad_files_unless_kept(spark, tmp_path):
+    golden.cloud(tmp_path / "a.las", 1)
+    golden.write(tmp_path / "b.las", b"junk")
+    with pytest.raises(Exception, match="b.las: not a LAS file"):
+        read_headers(spark, str(tmp_path)).collect()
+    kept = read_headers(spark, str(tmp_path), badFiles="keep")
+    assert kept.where("error is not null").count() == 1 and kept.count() == 2
