@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lidarframe.operators.tables import (
@@ -33,23 +33,24 @@ def las_agg(
     where: str | None = None,
     group_by: Sequence[str] = (),
     verify: bool = False,
+    filters: Sequence[tuple[str, str, object]] = (),
     **options,
 ) -> DataFrame:
     """Aggregate LAS files; ``aggs`` maps result names to SQL text, e.g. ``{"dx": "max(x)-min(x)"}``.
 
-    Without ``where`` and ``group_by``, if all results are made of min/max of x, y, z, count(*)
-    and count(column), file headers give the answer and no point is read. Anything else, or
-    ``verify=True``, scans the points with just the columns the texts mention. Both ways give the
-    same result as long as headers tell the truth (see ``las_audit``).
+    Without ``where``, ``filters`` (see ``read_las``) and ``group_by``, if all results are made of
+    min/max of x, y, z, count(*) and count(column), file headers give the answer and no point is
+    read. Anything else, or ``verify=True``, scans the points with just the columns the texts
+    mention. Both ways give the same result as long as headers tell the truth (see ``las_audit``).
     """
     if not aggs:
         raise ValueError("no aggregates given")
     group_by = [group_by] if isinstance(group_by, str) else list(group_by)
-    if not (where or group_by or verify):
+    if not (where or filters or group_by or verify):
         plan = header_plan(spark, aggs)
         if plan is not None:
             return _from_headers(spark, path, plan, options)
-    return _from_points(spark, path, aggs, where, group_by, options)
+    return _from_points(spark, path, aggs, where, group_by, {"filters": filters, **options})
 
 
 def header_plan(spark: SparkSession, aggs: Mapping[str, str]) -> dict[str, str] | None:
@@ -63,14 +64,13 @@ def header_plan(spark: SparkSession, aggs: Mapping[str, str]) -> dict[str, str]
     rewritten = {name: _ANSWERABLE.sub(_total_name, text) for name, text in aggs.items()}
     if _words(rewritten.values()) & set(ATTRIBUTES):
         return None
-    totals = spark.range(0).select(
-        *[F.lit(None).cast(_total_type(n)).alias(n) for n in _totals_in(rewritten)]
+    totals = spark.range(0).selectExpr(
+        *[f"CAST(NULL AS {_total_type(n)}) AS {n}" for n in _totals_in(rewritten)]
     )
-    for text in rewritten.values():
-        try:
-            totals.where(F.expr(text).isNotNull()).schema
-        except AnalysisException:
-            return None
+    try:
+        totals.where(" AND ".join(f"(\n{text}\n) IS NOT NULL" for text in rewritten.values()))
+    except AnalysisException:
+        return None
     return rewritten
 
 
@@ -100,20 +100,22 @@ def _total_type(name: str) -> str:
     return "bigint" if name.startswith("__count") else "double"
 
 
-def _total(name: str, null_missing: bool) -> Column:
+def _total(name: str, null_missing: bool) -> str:
     if name == "__count":
-        return F.coalesce(F.sum("point_count"), F.lit(0)).alias(name)
+        return f"coalesce(sum(point_count), 0) AS {name}"
     if name.startswith("__count_"):
         column = name.removeprefix("__count_")
         formats = [f for f, names in POINT_FORMATS.items() if column in names]
-        held = F.when(F.col("point_format").isin(formats), F.col("point_count"))
-        if not null_missing:
-            # the scan fails on such a file, so this way must not answer either
-            problem = F.concat("path", F.lit(f": point format has no column '{column}'"))
-            held = held.otherwise(F.raise_error(problem).cast("bigint"))
-        return F.coalesce(F.sum(held), F.lit(0)).alias(name)
+        held = "point_count"
+        if len(formats) < len(POINT_FORMATS):
+            # the scan fails on a file without the column, so this way must not answer either
+            problem = f"concat(path, ': point format has no column {column}')"
+            other = "NULL" if null_missing else f"CAST(raise_error({problem}) AS BIGINT)"
+            listed = ", ".join(map(str, formats))
+            held = f"CASE WHEN point_format IN ({listed}) THEN point_count ELSE {other} END"
+        return f"coalesce(sum({held}), 0) AS {name}"
     kind, axis = name[2:5], name[-1]
-    return getattr(F, kind)(f"{kind}_{axis}").alias(name)
+    return f"{kind}({kind}_{axis}) AS {name}"
 
 
 def _from_headers(spark, path, plan: Mapping[str, str], options: dict) -> DataFrame:
@@ -124,7 +126,7 @@ def _from_headers(spark, path, plan: Mapping[str, str], options: dict) -> DataFr
     columns += [n.removeprefix("__") for n in names if not n.startswith("__count")]
     # files without points carry meaningless bounds
     headers = read_headers(spark, path, columns, **options).where("point_count > 0")
-    totals = headers.agg(*[_total(n, null_missing) for n in names])
+    totals = headers.selectExpr(*[_total(n, null_missing) for n in names])
     return totals.select(*[F.expr(text).alias(name) for name, text in plan.items()])
 
 
@@ -132,7 +134,7 @@ def _from_points(spark, path, aggs, where, group_by, options) -> DataFrame:
     words = _words([*aggs.values(), where or "", *group_by])
     columns = [a for a in ATTRIBUTES if a in words]
     if words - set(ATTRIBUTES):
-        folders = partition_fields(path_options(path, source_options(spark, options)))
+        folders = partition_fields(path_options(path, options))
         columns += [f.name for f in folders if f.name.lower() in words]
     points = read_las(spark, path, columns, **options)
     if where:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lidarframe.operators.tables import Paths, load, read_headers, source_options
+from lidarframe.operators.session import register
+from lidarframe.operators.tables import Paths, load, source_options
+from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS, format_length
 
 
@@ -13,47 +15,44 @@ def las_audit(spark: SparkSession, path: Paths, tolerance: float = 0.5, **option
     """One row per file: header count and bounds against the points, lengths against the layout.
 
     Bounds may differ by ``tolerance`` scale steps, since some writers round them. Points are
-    reduced to one row per byte range where they are read; only these rows and the headers
-    are shuffled.
+    reduced to one row per byte range where they are read, and to one per file and task before
+    the only shuffle.
     """
-    headers = read_headers(spark, path, **{**options, "badFiles": "keep"})
+    register(spark)
     ranges = load(
         spark.read.format("las_range_stats").options(**source_options(spark, options)), path
     )
-    scanned = ranges.groupBy("path").agg(
-        F.sum("points").alias("scanned_points"),
-        *[F.min(f"min_{c}").alias(f"scanned_min_{c}") for c in COORDINATES],
-        *[F.max(f"max_{c}").alias(f"scanned_max_{c}") for c in COORDINATES],
+    # header values are the same in all ranges of a file
+    from_header = [F.max(n).alias(n) for n in HEADER_SCHEMA.fieldNames() if n != "path"]
+    files = ranges.groupBy("path").agg(
+        *from_header,
+        F.coalesce(F.sum("scanned_points"), F.lit(0)).alias("scanned_points"),
+        *[F.min(f"scanned_min_{c}").alias(f"scanned_min_{c}") for c in COORDINATES],
+        *[F.max(f"scanned_max_{c}").alias(f"scanned_max_{c}") for c in COORDINATES],
     )
-    least_length = F.create_map(
-        *[F.lit(v) for f in POINT_FORMATS for v in (f, format_length(f))]
-    )
-
-    def near(end: str, c: str):
-        gap = F.abs(F.col(f"{end}_{c}") - F.col(f"scanned_{end}_{c}"))
-        return gap <= F.abs(F.col(f"scale_{c}")) * tolerance
-
     bounds_match = F.lit(True)
     for c in COORDINATES:
-        bounds_match = bounds_match & near("min", c) & near("max", c)
-    points = F.coalesce("scanned_points", F.lit(0))
-    wanted_end = F.col("point_offset") + F.col("record_length") * F.col("point_count")
+        step = F.abs(F.col(f"scale_{c}")) * tolerance
+        for end in ("min", "max"):
+            bounds_match &= F.abs(F.col(f"{end}_{c}") - F.col(f"scanned_{end}_{c}")) <= step
+    least_length = F.create_map(*[F.lit(v) for f in POINT_FORMATS for v in (f, format_length(f))])
+    points_end = F.col("point_offset") + F.col("record_length") * F.col("point_count")
     checks = {
-        "count_ok": F.col("point_count") == points,
-        "bounds_ok": F.when(points == 0, F.lit(True)).otherwise(bounds_match),
-        "length_ok": F.col("file_length") >= wanted_end,
+        "count_ok": F.col("point_count") == F.col("scanned_points"),
+        "bounds_ok": (F.col("scanned_points") == 0) | bounds_match,
+        "length_ok": F.col("file_length") >= points_end,
         "record_ok": F.col("record_length") >= least_length[F.col("point_format")],
     }
-    checked = headers.join(scanned, "path", "left").select(
+    checked = files.select(
         "path",
         "point_format",
         "file_length",
         F.col("point_count").alias("header_points"),
-        points.alias("scanned_points"),
-        *[F.coalesce(check, F.lit(False)).alias(name) for name, check in checks.items()],
+        "scanned_points",
+        *[
+            (F.col("error").isNull() & F.coalesce(check, F.lit(False))).alias(name)
+            for name, check in checks.items()
+        ],
         "error",
     )
-    sound = F.col("error").isNull()
-    for name in checks:
-        sound = sound & F.col(name)
-    return checked.withColumn("ok", sound)
+    return checked.withColumn("ok", F.expr(" AND ".join(checks)))

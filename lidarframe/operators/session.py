@@ -16,18 +16,16 @@ from lidarframe.sources.headers import LasHeaderSource, LasRangeStatsSource
 from lidarframe.sources.points import LasDataSource
 
 _registered: WeakSet[SparkSession] = WeakSet()
-PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 
 
 def register(spark: SparkSession) -> None:
     """Make ``las``, ``las_headers`` and ``las_range_stats`` known; safe to call again.
 
-    Ships this package to the Python workers and turns on filter pushdown for Python sources.
+    Ships this package to the Python workers, which run the sources.
     """
     if spark in _registered:
         return
     _ship_package(spark)
-    spark.conf.set(PUSHDOWN_CONF, "true")
     for source in (LasDataSource, LasHeaderSource, LasRangeStatsSource):
         spark.dataSource.register(source)
     _registered.add(spark)

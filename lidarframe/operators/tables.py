@@ -13,7 +13,7 @@ from lidarframe.functions.fields import point_schema
 from lidarframe.operators.session import register
 from lidarframe.sources.files import list_files, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
-from lidarframe.sources.layouts import ATTRIBUTES, PATH_COLUMN
+from lidarframe.sources.layouts import ATTRIBUTES, PATH_COLUMN, POINT_COLUMN
 
 Paths = str | Sequence[str]
 
@@ -54,21 +54,29 @@ def declared_schema(path: Paths, columns: Sequence[str], options: dict) -> T.Str
 
 
 def read_las(
-    spark: SparkSession, path: Paths, columns: Sequence[str] | None = None, **options
+    spark: SparkSession,
+    path: Paths,
+    columns: Sequence[str] | None = None,
+    filters: Sequence[tuple[str, str, object]] = (),
+    **options,
 ) -> DataFrame:
     """Points of LAS files; only the named columns are decoded.
 
     Without ``columns`` the result has x, y, z and the k=v folder columns. With an empty list it
-    has no columns and one row per point. Options are those of ``format("las")``.
+    has no columns and one row per point. ``filters`` such as ``[("x", ">", 500.0),
+    ("day", "in", [1, 2])]`` must all hold; they skip k=v folders and drop points before these
+    enter Spark. Options are those of ``format("las")``.
     """
     register(spark)
     options = source_options(spark, options)
+    if filters:
+        options["filters"] = json.dumps([list(f) for f in filters])
     reader = spark.read.format("las").options(**options)
     if columns is None:
         return load(reader, path)
     if not columns:
-        # user_data is one byte and part of every format: the cheapest way to see each point
-        return load(reader.schema(point_schema("user_data")), path).select()
+        # one constant byte per point moves faster into Spark than batches without columns
+        return load(reader.schema(T.StructType().add(POINT_COLUMN, T.ByteType())), path).select()
     return load(reader.schema(declared_schema(path, columns, options)), path)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lidarframe.functions.records import encode_points
 from lidarframe.operators.tables import write_las
 from lidarframe.sources.layouts import POINT_FORMATS
 
@@ -129,3 +130,10 @@ def flagged_las(spark: SparkSession, sf_dir: str) -> str:
         "flagged",
         lambda path: write_las(points, path, partition_by=["flag"], pointFormat=1),
     )
+
+
+def packed_lineitem(spark: SparkSession, sf_dir: str) -> str:
+    """A parquet table with one packed point record per lineitem row."""
+    points = lineitem_points(spark, sf_dir, 1, "l_orderkey")
+    packed = encode_points(points, 1, keep=["l_orderkey"])
+    return once(spark, sf_dir, "packed", lambda path: packed.write.parquet(path))

@@ -8,7 +8,7 @@ import os
 import re
 from dataclasses import dataclass
 from functools import lru_cache
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pyarrow.fs as pafs
 from pyspark.sql import types as T
@@ -33,7 +33,19 @@ def filesystem(root: str) -> tuple[pafs.FileSystem, str]:
         root = "/" + root[len("file:"):].lstrip("/")
     if "://" not in root:
         return pafs.LocalFileSystem(), os.path.abspath(root)
-    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", root))
+    scheme, host, path, query = _uri_parts(root)
+    # spaces and wildcards are plain characters in Spark paths but not in URIs
+    fs, inner = pafs.FileSystem.from_uri(f"{scheme}://{host}{quote(path)}{query}")
+    return fs, inner
+
+
+def _uri_parts(uri: str) -> tuple[str, str, str, str]:
+    """Scheme, host, path and connection options (``?region=..``) of a URI."""
+    scheme, _, rest = uri.partition("://")
+    query = re.search(r"\?\w+=.*$", rest)
+    rest, query = (rest[: query.start()], query[0]) if query else (rest, "")
+    host, slash, path = rest.partition("/")
+    return re.sub("^s3[an]$", "s3", scheme), host, slash + path, query
 
 
 @dataclass(frozen=True)
@@ -44,6 +56,14 @@ class FileEntry:
     mtime_ns: int
     keys: tuple[tuple[str, str | None], ...]  # k=v folders below the root
 
+    @property
+    def name(self) -> str:
+        """Path as users see it: with scheme and host unless it is local."""
+        if "://" not in self.root or self.root.startswith("file:"):
+            return self.path
+        scheme, host, _, _ = _uri_parts(self.root)
+        return f"{scheme}://{host if self.path.startswith('/') else ''}{self.path}"
+
 
 @dataclass(frozen=True)
 class ByteRange:

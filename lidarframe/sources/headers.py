@@ -11,6 +11,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lidarframe.sources.files import (
+    ByteRange,
     FileEntry,
     FilePartition,
     RangePartition,
@@ -24,6 +25,7 @@ from lidarframe.sources.files import (
 from lidarframe.sources.layouts import (
     COORDINATES,
     MAX_HEADER_BYTES,
+    Header,
     LasFormatError,
     parse_header,
 )
@@ -47,8 +49,9 @@ HEADER_SCHEMA = T.StructType(
     + [T.StructField("error", T.StringType())]
 )
 STATS_SCHEMA = T.StructType(
-    [T.StructField("path", T.StringType(), False), T.StructField("points", T.LongType(), False)]
-    + [T.StructField(f"{m}_{c}", T.DoubleType()) for c in COORDINATES for m in ("min", "max")]
+    HEADER_SCHEMA.fields
+    + [T.StructField("scanned_points", T.LongType())]
+    + [T.StructField(f"scanned_{m}_{c}", T.DoubleType()) for c in COORDINATES for m in ("min", "max")]
 )
 HEADER_THREADS = 16
 
@@ -93,33 +96,31 @@ class HeaderReader(DataSourceReader):
         yield pa.RecordBatch.from_arrays(arrays, schema=self.arrow_schema)
 
     def _row(self, file: FileEntry) -> dict:
-        row = {"path": file.path, "file_length": file.size, **dict(file.keys)}
         try:
-            head = parse_header(read_head(file, MAX_HEADER_BYTES), file.path)
+            return header_row(file, parse_header(read_head(file, MAX_HEADER_BYTES), file.name))
         except LasFormatError as e:
             if not self.keep_bad:
                 raise
-            return {**row, "error": str(e)}
-        row.update(
-            version=head.version,
-            header_size=head.header_size,
-            point_offset=head.point_offset,
-            n_vlr=head.n_vlr,
-            point_format=head.point_format,
-            record_length=head.record_length,
-            point_count=head.point_count,
-        )
-        for axis, c in enumerate(COORDINATES):
-            row[f"scale_{c}"], row[f"offset_{c}"] = head.scale[axis], head.offset[axis]
-            row[f"min_{c}"], row[f"max_{c}"] = head.minimum[axis], head.maximum[axis]
+            return header_row(file, None, str(e))
+
+
+def header_row(file: FileEntry, head: Header | None, error: str | None = None) -> dict:
+    row = {"path": file.name, "file_length": file.size, "error": error, **dict(file.keys)}
+    if head is None:
         return row
+    for name in HEADER_SCHEMA.fieldNames()[2:9]:
+        row[name] = getattr(head, name)
+    for axis, c in enumerate(COORDINATES):
+        row[f"scale_{c}"], row[f"offset_{c}"] = head.scale[axis], head.offset[axis]
+        row[f"min_{c}"], row[f"max_{c}"] = head.minimum[axis], head.maximum[axis]
+    return row
 
 
 class LasRangeStatsSource(DataSource):
-    """Count and bounds of the points in every byte range, computed where the bytes are read.
+    """Header, and count and bounds of the points, of every byte range.
 
-    The audit reads all points through it but moves one row per range into Spark. Files that
-    cannot be read give no row; a file that is too short gives the points it really holds.
+    The audit reads all points through it but moves one row per range into Spark. A file that
+    cannot be read is reported in ``error``; one that is too short counts the points it holds.
     """
 
     @classmethod
@@ -142,32 +143,33 @@ class RangeStatsReader(DataSourceReader):
         return split_files(list_files(self.options), self.options)
 
     def read(self, partition: RangePartition | None) -> Iterator[pa.RecordBatch]:
-        rows = [r for r in map(self._stats, partition.ranges if partition else []) if r]
+        rows = [self._stats(piece) for piece in partition.ranges] if partition else []
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=self.arrow_schema)
 
-    def _stats(self, piece) -> dict | None:
+    def _stats(self, piece: ByteRange) -> dict:
         file = piece.file
         fs, _ = filesystem(file.root)
         with fs.open_input_file(file.path) as stream:
             try:
-                header = parse_header(stream.read(min(MAX_HEADER_BYTES, file.size)), file.path)
-            except LasFormatError:
-                return None
+                header = parse_header(stream.read(min(MAX_HEADER_BYTES, file.size)), file.name)
+            except LasFormatError as e:
+                return header_row(file, None, str(e))
             held = max(0, file.size - header.point_offset) // header.record_length
             first, last = (min(p, held) for p in point_range(header, piece))
             codec = header.codec()
-            row: dict = {"path": file.path, "points": last - first}
             lows: dict[str, int] = {}
             highs: dict[str, int] = {}
             for at in range(first, last, BATCH_POINTS):
                 count = min(BATCH_POINTS, last - at)
-                data = read_points(stream, header, at, count, file.path)
+                data = read_points(stream, header, at, count, file.name)
                 records = codec.records(data, list(COORDINATES))
                 for c in COORDINATES:
                     lows[c] = min(lows.get(c, 2**31), int(records[c].min()))
                     highs[c] = max(highs.get(c, -(2**31)), int(records[c].max()))
+        row = header_row(file, header)
+        row["scanned_points"] = last - first
         for axis, c in enumerate(COORDINATES if lows else ()):
             ends = [raw * codec.scale[axis] + codec.offset[axis] for raw in (lows[c], highs[c])]
-            row[f"min_{c}"], row[f"max_{c}"] = min(ends), max(ends)
+            row[f"scanned_min_{c}"], row[f"scanned_max_{c}"] = min(ends), max(ends)
         return row

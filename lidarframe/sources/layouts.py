@@ -100,6 +100,7 @@ MAX_HEADER_BYTES = HEADER_DTYPES[4].itemsize
 
 COORDINATES = ("x", "y", "z")
 PATH_COLUMN = "_path"
+POINT_COLUMN = "_point"  # a constant byte per point, known without reading points
 COMPRESSED_BIT = 0x80
 LEGACY_COUNT_LIMIT = 2**32 - 1
 

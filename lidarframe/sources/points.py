@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import json
+import operator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import types as T
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
-    LessThan,
-    LessThanOrEqual,
-)
+from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lidarframe.sources.files import (
@@ -36,6 +27,7 @@ from lidarframe.sources.layouts import (
     COORDINATES,
     MAX_HEADER_BYTES,
     PATH_COLUMN,
+    POINT_COLUMN,
     Header,
     LasFormatError,
     column_type,
@@ -44,11 +36,11 @@ from lidarframe.sources.layouts import (
 
 BATCH_POINTS = 1 << 17
 _COMPARISONS = {
-    EqualTo: pc.equal,
-    GreaterThan: pc.greater,
-    GreaterThanOrEqual: pc.greater_equal,
-    LessThan: pc.less,
-    LessThanOrEqual: pc.less_equal,
+    "=": operator.eq,
+    "<": operator.lt,
+    "<=": operator.le,
+    ">": operator.gt,
+    ">=": operator.ge,
 }
 
 
@@ -64,8 +56,6 @@ class LasDataSource(DataSource):
         return T.StructType(fields + partition_fields(self.options))
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        if flag(self.options, "filterPushdown", True):
-            return FilteringPointReader(self.options, schema)
         return PointReader(self.options, schema)
 
     def writer(self, schema: T.StructType, overwrite: bool):
@@ -93,28 +83,45 @@ class PointRanges:
         self.null_missing = missing == "null"
         self.batch_points = int(options.get("batchPoints") or BATCH_POINTS)
         self.trust_bounds = flag(options, "trustBounds")
-        self.filters: list[Filter] = []
+        self.filters = parse_filters(options.get("filters"))
+        self.tested = list(dict.fromkeys(name for name, _, _ in self.filters))
+        # type in which a filter sees a column: as declared, else as by default
+        self.tested_types = {
+            n: self.arrow_types.get(n)
+            or to_arrow_type(column_type(n, self.unsigned, self.strict) if n in ATTRIBUTES else T.StringType())
+            for n in self.tested
+        }
 
     def check_keys(self, files: list[FileEntry]) -> None:
         """Every declared name must be a point attribute, the path column or a k=v folder."""
-        unknown = [n for n in self.arrow_types if n not in ATTRIBUTES and n != PATH_COLUMN]
+        known = {PATH_COLUMN, POINT_COLUMN, *ATTRIBUTES}
+        unknown = [n for n in dict.fromkeys([*self.arrow_types, *self.tested]) if n not in known]
         for file in files if unknown else []:
             present = {key for key, _ in file.keys}
             for name in unknown:
                 if name not in present:
                     raise LasFormatError(
-                        f"{file.path}: column {name!r} is neither a point attribute nor a k=v folder"
+                        f"{file.name}: column {name!r} is neither a point attribute nor a k=v folder"
                     )
 
     def keep_file(self, file: FileEntry) -> bool:
-        """Partition pruning: False only if a pushed filter on a folder column rules the file out."""
+        """Folder pruning: whether the k=v folders of a file pass the filters on them."""
         keys = dict(file.keys)
-        for f in self.filters:
-            name = f.attribute[0]
-            if name in keys and name not in ATTRIBUTES:
-                value = pa.array([keys[name]], pa.string()).cast(self.arrow_types[name])
-                if not _may_pass(f, value)[0].as_py():
-                    return False
+        for name, test, value in self.filters:
+            if name in ATTRIBUTES:
+                continue
+            if keys[name] is None:
+                return False
+            # an undeclared folder column compares like the value it is compared with
+            sample = value[0] if test == "in" and value else value
+            kind = self.arrow_types.get(name) or pa.scalar(sample).type
+            try:
+                found = pa.scalar(keys[name], pa.string()).cast(kind).as_py()
+                passed = _passes(np.array([found]), test, value)[0]
+            except (pa.ArrowInvalid, TypeError) as e:
+                raise LasFormatError(f"{file.name}: cannot compare {name}={keys[name]} with {value!r}") from e
+            if not passed:
+                return False
         return True
 
     def batches(self, piece: ByteRange) -> Iterator[pa.RecordBatch]:
@@ -122,13 +129,15 @@ class PointRanges:
             yield from self._decode(stream, header, piece)
 
     def _decode(self, stream, header: Header, piece: ByteRange) -> Iterator[pa.RecordBatch]:
-        path = piece.file.path
+        path = piece.file.name
         codec = header.codec(self.unsigned, self.strict)
         wanted = [n for n in self.arrow_types if n in ATTRIBUTES and codec.has(n)]
+        tested = [n for n in self.tested if n in ATTRIBUTES]
         absent = [n for n in self.arrow_types if n in ATTRIBUTES and not codec.has(n)]
-        if absent and not self.null_missing:
+        lacking = absent + [n for n in tested if not codec.has(n)]
+        if lacking and not self.null_missing:
             raise LasFormatError(
-                f"{path}: point format {header.point_format} has no column {absent[0]!r}; "
+                f"{path}: point format {header.point_format} has no column {lacking[0]!r}; "
                 "set missingColumns=null to read it as null"
             )
         for name in absent:
@@ -137,24 +146,31 @@ class PointRanges:
                     f"{path}: column {name!r} is missing in point format {header.point_format} "
                     "but declared non-nullable"
                 )
-        filters = [f for f in self.filters if f.attribute[0] in wanted]
+        filters = [f for f in self.filters if f[0] in ATTRIBUTES]
+        if any(not codec.has(n) for n in tested):
+            return  # a comparison with null never holds
         if self.trust_bounds and not all(_within_bounds(f, header) for f in filters):
             return
-        tested = list(dict.fromkeys(f.attribute[0] for f in filters))
-        constants = {PATH_COLUMN: path, **dict(piece.file.keys)}
+        decoded = list(dict.fromkeys(wanted + tested))
+        constants = {PATH_COLUMN: path, POINT_COLUMN: "1", **dict(piece.file.keys)}
         first, last = point_range(header, piece)
         for at in range(first, last, self.batch_points):
             rows = min(self.batch_points, last - at)
-            records = codec.records(read_points(stream, header, at, rows, path), wanted)
             columns: dict[str, pa.Array] = {}
+            # without point attributes the number of points is all that is needed, not their bytes
+            records = (
+                codec.records(read_points(stream, header, at, rows, path), decoded)
+                if decoded
+                else np.empty(rows, "V1")
+            )
             try:
                 if filters:
-                    # decode the tested columns first; the rest only for points that may pass
+                    # decode the tested columns first; the rest only for points that pass
                     for name in tested:
-                        columns[name] = codec.column(records, name, self.arrow_types[name])
+                        columns[name] = codec.column(records, name, self.tested_types[name])
                     keep = np.ones(rows, bool)
-                    for f in filters:
-                        keep &= _may_pass(f, columns[f.attribute[0]]).to_numpy(zero_copy_only=False)
+                    for name, test, value in filters:
+                        keep &= _passes(columns[name].to_numpy(zero_copy_only=False), test, value)
                     if not keep.any():
                         continue
                     if not keep.all():
@@ -171,9 +187,12 @@ class PointRanges:
                 elif name not in columns:
                     value = pa.scalar(constants.get(name), pa.string()).cast(kind)
                     columns[name] = pa.repeat(value, rows)
-            yield pa.RecordBatch.from_arrays(
-                [columns[n] for n in self.arrow_types], names=list(self.arrow_types)
-            )
+            if self.arrow_types:
+                yield pa.RecordBatch.from_arrays(
+                    [columns[n] for n in self.arrow_types], names=list(self.arrow_types)
+                )
+            else:
+                yield pa.record_batch([pa.nulls(rows)], names=["row"]).select([])
 
 
 class PointReader(DataSourceReader):
@@ -191,14 +210,6 @@ class PointReader(DataSourceReader):
             yield from self.points.batches(piece)
 
 
-class FilteringPointReader(PointReader):
-    """Drops points early. Every filter is handed back, so Spark still decides on each row."""
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        self.points.filters = [f for f in filters if _usable(f)]
-        return filters
-
-
 class open_points:
     """Open a file, read its header and check that all announced points are in it."""
 
@@ -210,10 +221,10 @@ class open_points:
         self.stream = fs.open_input_file(self.file.path)
         try:
             head = self.stream.read(min(MAX_HEADER_BYTES, self.file.size))
-            header = parse_header(head, self.file.path)
+            header = parse_header(head, self.file.name)
             if header.end > self.file.size:
                 raise LasFormatError(
-                    f"{self.file.path}: file has {self.file.size} bytes, its header announces points "
+                    f"{self.file.name}: file has {self.file.size} bytes, its header announces points "
                     f"up to byte {header.end}"
                 )
         except BaseException:
@@ -244,42 +255,42 @@ def read_points(stream, header: Header, first: int, rows: int, path: str) -> pa.
     return data
 
 
-def _usable(f: Filter) -> bool:
-    if type(f) not in _COMPARISONS and type(f) is not In:
-        return False
-    values = f.value if type(f) is In else (f.value,)
-    if len(f.attribute) != 1 or f.attribute[0] == PATH_COLUMN:
-        return False
-    if f.attribute[0] not in ATTRIBUTES and all(isinstance(v, str) for v in values):
-        return True
-    return all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in values)
-
-
-def _may_pass(f: Filter, values: pa.Array) -> pa.Array:
-    """True where the filter holds or cannot be judged here (null, NaN)."""
-    if type(f) is In:
-        tests = [pc.equal(values, pa.scalar(v)) for v in f.value]
-        passed = tests[0] if tests else pa.array(np.zeros(len(values), bool))
-        for test in tests[1:]:
-            passed = pc.or_(passed, test)
-    else:
-        passed = _COMPARISONS[type(f)](values, pa.scalar(f.value))
-    if pa.types.is_floating(values.type):
-        passed = pc.or_(passed, pc.is_nan(values))
-    return pc.fill_null(passed, True)
-
-
-def _within_bounds(f: Filter, header: Header) -> bool:
+def parse_filters(text: str | None) -> list[tuple[str, str, object]]:
+    """The option ``filters``: a JSON list of [column, comparison, value], all of which must hold."""
+    filters = []
+    for name, test, value in json.loads(text) if text else []:
+        test = "=" if test == "==" else test
+        values = value if isinstance(value, list) else [value]
+        shape_fits = isinstance(value, list) if test == "in" else test in _COMPARISONS and values[0] is value
+        kinds = {type(v) for v in values}
+        if not shape_fits or not (kinds <= {int, float} or kinds == {str}):
+            raise ValueError(f"filter {[name, test, value]} is not a comparison with numbers or texts")
+        if name in ATTRIBUTES and str in kinds:
+            raise ValueError(f"filter on {name!r} needs numbers, not {value!r}")
+        filters.append((name, test, value))
+    return filters
+
+
+def _passes(values: np.ndarray, test: str, value) -> np.ndarray:
+    """Rows for which the comparison holds, with NaN above all numbers as everywhere in Spark."""
+    if test == "in":
+        return np.isin(values, value) if value else np.zeros(len(values), bool)
+    passed = _COMPARISONS[test](values, value)
+    if test in (">", ">=") and values.dtype.kind == "f":
+        passed |= np.isnan(values)
+    return passed
+
+
+def _within_bounds(condition: tuple[str, str, object], header: Header) -> bool:
     """Whether a file can hold a passing point, by header bounds widened by one scale step."""
-    name = f.attribute[0]
+    name, test, value = condition
     if name not in COORDINATES:
         return True
     axis = COORDINATES.index(name)
     slack = abs(header.scale[axis])
     low, high = header.minimum[axis] - slack, header.maximum[axis] + slack
-    if type(f) in (GreaterThan, GreaterThanOrEqual):
-        return high >= f.value
-    if type(f) in (LessThan, LessThanOrEqual):
-        return low <= f.value
-    values = f.value if type(f) is In else (f.value,)
-    return any(low <= v <= high for v in values)
+    if test in (">", ">="):
+        return high >= value
+    if test in ("<", "<="):
+        return low <= value
+    return any(low <= v <= high for v in (value if test == "in" else [value]))

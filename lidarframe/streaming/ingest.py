@@ -66,4 +66,4 @@ class LasStreamReader(DataSourceStreamReader):
 
 
 def _key(file: FileEntry) -> str:
-    return hashlib.blake2b(file.path.encode(), digest_size=12).hexdigest()
+    return hashlib.blake2b(file.name.encode(), digest_size=12).hexdigest()

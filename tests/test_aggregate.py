@@ -68,6 +68,7 @@ def test_filter_group_and_fallback_results(spark, tmp_path):
     grouped = las_agg(spark, path, {"n": "count(*)", "m": "max(x)"}, group_by=["k"]).collect()
     assert {tuple(r) for r in grouped} == {("a", 10, 9 * 0.01), ("b", 5, 104 * 0.01)}
     assert las_agg(spark, path, {"n": "count(*)"}, where="k = 'b'").first()["n"] == 5
+    assert las_agg(spark, path, {"n": "count(*)"}, filters=[("x", ">=", 1), ("k", "=", "b")]).first()["n"] == 5
     assert las_agg(spark, path, {"d": "count(distinct x)", "n": "count(*)"}).first() == (15, 15)
     derived = read_las(spark, path).withColumn("x", F.col("x") * 2)
     assert derived.agg(F.min("x")).first()[0] == 0.0  # derived columns use the scan
@@ -94,7 +95,7 @@ def test_count_of_a_column_some_files_lack(spark, tmp_path):
     for verify in (False, True):
         found = las_agg(spark, str(tmp_path), aggs, verify=verify, missingColumns="null").first()
         assert found == (7, 4)
-        with pytest.raises(Exception, match="no column 'gps_time'"):
+        with pytest.raises(Exception, match="no column '?gps_time"):
             las_agg(spark, str(tmp_path), aggs, verify=verify).collect()
 
 

@@ -1,17 +1,16 @@
 """Listing, splitting, folders and filters of the scan."""
 
+import json
 import os
 
 import golden
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual, Not
 
 from lidarframe import point_schema, read_las, register
 from lidarframe.sources.files import list_files, split_files
 from lidarframe.sources.layouts import LasFormatError
-from lidarframe.sources.points import LasDataSource, PointReader
+from lidarframe.sources.points import LasDataSource
 
 X = point_schema("x")
 
@@ -117,64 +116,77 @@ def test_folder_column_types(tmp_path, values, kind):
 
 
 def test_folder_filter_prunes_files(tmp_path):
-    for day in (1, 2, 3):
-        golden.cloud(tmp_path / f"day={day}" / "1.las", day)
-    schema = point_schema("x").add("day", T.IntegerType())
+    for day in (1, 2, 3, "__HIVE_DEFAULT_PARTITION__"):
+        golden.cloud(tmp_path / f"day={day}" / "1.las", 3)
 
-    def days(*filters):
-        reader = reader_of(schema, path=str(tmp_path))
-        assert list(reader.pushFilters(list(filters))) == list(filters)
+    def days(*filters, schema=point_schema("x").add("day", T.IntegerType())):
+        reader = reader_of(schema, path=str(tmp_path), filters=json.dumps(filters))
         return [r.file.keys[0][1] for p in reader.partitions() for r in p.ranges]
 
-    assert days(EqualTo(("day",), 2)) == ["2"]
-    assert days(In(("day",), (1, 3))) == ["1", "3"]
-    assert days(GreaterThan(("day",), 1), LessThanOrEqual(("day",), 2)) == ["2"]
-    assert days(Not(EqualTo(("day",), 2))) == ["1", "2", "3"]
+    assert days(["day", "=", 2]) == ["2"]
+    assert days(["day", "==", 2], schema=point_schema("x")) == ["2"]
+    assert days(["day", "=", "2"], schema=point_schema("x")) == ["2"]
+    assert days(["day", "in", [1, 3]]) == ["1", "3"]
+    assert days(["day", "in", []]) == []
+    assert days(["day", ">", 1], ["day", "<=", 2]) == ["2"]
+    assert days(["day", ">=", 0]) == ["1", "2", "3"]  # null is never compared
+    with pytest.raises(LasFormatError, match="'town'"):
+        days(["town", "=", 2])
+    golden.cloud(tmp_path / "day=monday" / "1.las", 3)
+    with pytest.raises(LasFormatError, match="cannot compare day=monday"):
+        days(["day", "=", 2], schema=point_schema("x"))
 
 
 def test_row_filters_are_exact(tmp_path):
     path = golden.cloud(tmp_path / "a.las", 100, 1)
-    schema = point_schema("x", "gps_time", "intensity")
 
-    def kept(*filters, **options):
-        reader = reader_of(schema, path=path, **options)
-        reader.pushFilters(list(filters))
+    def kept(*filters, names=("gps_time", "x"), **options):
+        reader = reader_of(point_schema(*names), path=path, filters=json.dumps(filters), **options)
         return sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
 
-    assert kept(GreaterThan(("x",), 0.5)) == sum(i * 0.01 > 0.5 for i in range(100))
-    assert kept(LessThanOrEqual(("x",), 0.1), EqualTo(("intensity",), 404)) == 11
-    assert kept(EqualTo(("intensity",), 405)) == 0
-    assert kept(In(("x",), (0.0, 0.01, 77.0))) == 2
-    assert kept(In(("x",), ())) == 0
+    assert kept(["x", ">", 0.5]) == sum(i * 0.01 > 0.5 for i in range(100))
+    assert kept(["x", "<=", 0.1], ["intensity", "=", 404]) == 11
+    assert kept(["x", "<", 0.1], names=("intensity",)) == 10
+    assert kept(["intensity", "=", 405]) == 0
+    assert kept(["intensity", ">", 403.5]) == 100
+    assert kept(["x", "in", [0.0, 0.01, 77.0]]) == 2
+    assert kept(["x", "in", []]) == 0
+    assert kept(["x", ">=", 0.98], batchPoints="7", splitBytes="64") == 2
+    with pytest.raises(LasFormatError, match="no column 'nir'"):
+        kept(["nir", ">", 1])
+    assert kept(["nir", ">", 1], missingColumns="null") == 0
+
+
+@pytest.mark.parametrize(
+    "condition",
+    [["x", "~", 1], ["x", "=", None], ["x", "=", "a"], ["x", "in", 3], ["x", "=", [1]], ["k", "in", [1, "a"]]],
+)
+def test_odd_filters_are_refused(tmp_path, condition):
+    path = golden.cloud(tmp_path / "a.las", 1)
+    with pytest.raises(ValueError, match="filter"):
+        reader_of(path=path, filters=json.dumps([condition]))
 
 
-def test_nan_is_left_to_spark(spark, tmp_path):
+def test_filters_treat_nan_like_spark(spark, tmp_path):
     data = golden.record(1, gps_time=float("nan")) + golden.record(1, gps_time=3.0)
     path = golden.write(tmp_path / "a.las", golden.header(2, 1, count=2) + data)
     points = read_las(spark, path, ["gps_time"])
-    assert points.where("gps_time > 5").count() == 1  # NaN is the largest double
-    assert points.where("gps_time = double('NaN')").count() == 1
-    assert points.where("gps_time < 5").count() == 1
+    for test in ("<", "<=", "=", ">=", ">"):
+        for value in (2.0, 3.0, 5.0):
+            filtered = read_las(spark, path, ["x"], filters=[("gps_time", test, value)])
+            assert filtered.count() == points.where(f"gps_time {test} {value}D").count()
 
 
 def test_bounds_skip_only_when_trusted(tmp_path):
-    path = golden.cloud(tmp_path / "a.las", 100, lie=(0.0,) * 6)
-
-    def kept(**options):
-        reader = reader_of(path=path, **options)
-        reader.pushFilters([GreaterThan(("x",), 0.5)])
+    def kept(path, **options):
+        reader = reader_of(path=path, filters='[["x", ">", 0.5], ["y", "<", 100]]', **options)
         return sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
 
-    assert kept() == 49
-    assert kept(trustBounds="true") == 0
+    lying = golden.cloud(tmp_path / "a.las", 100, lie=(0.0,) * 6)
+    assert kept(lying) == 49
+    assert kept(lying, trustBounds="true") == 0
     honest = golden.cloud(tmp_path / "b.las", 100)
-    path = honest
-    assert kept(trustBounds="true") == 49
-
-
-def test_pushdown_can_be_left_out(tmp_path):
-    path = golden.cloud(tmp_path / "a.las", 3)
-    assert type(reader_of(path=path, filterPushdown="false")) is PointReader
+    assert kept(honest, trustBounds="true") == 49
 
 
 def test_mixed_versions_and_formats(spark, tmp_path):
@@ -205,10 +217,40 @@ def test_spark_surface(spark, tmp_path):
         read_las(spark, str(tmp_path / "none"), ["x"]).count()
 
 
-def test_row_counts_reach_spark_filtered(spark, tmp_path):
-    """The pushed filter works inside the source: fewer rows leave the scan than lie in the file."""
-    path = golden.cloud(tmp_path / "a.las", 1000)
-    points = read_las(spark, path, ["x"]).where(F.col("x") < 0.1)
-    assert points.count() == 10
-    off = read_las(spark, path, ["x"], filterPushdown=False).where(F.col("x") < 0.1)
-    assert off.count() == 10
+def test_pruned_files_are_never_opened(spark, tmp_path):
+    golden.cloud(tmp_path / "k=good" / "1.las", 3)
+    golden.write(tmp_path / "k=bad" / "1.las", b"junk")
+    assert read_las(spark, str(tmp_path), ["x", "k"], filters=[("k", "=", "good")]).count() == 3
+    assert read_las(spark, str(tmp_path), filters=[("k", "=", "good")]).count() == 3
+    with pytest.raises(Exception, match="not a LAS file"):
+        read_las(spark, str(tmp_path), ["x", "k"]).count()
+
+
+def test_one_scan_serves_several_queries(spark, tmp_path):
+    path = golden.cloud(tmp_path / "a.las", 100)
+    points = read_las(spark, path, ["x"])
+    assert points.where("x < 0.095").count() == 10
+    assert points.count() == 100
+    both = points.where("x < 0.095").union(points.where("x > 0.895"))
+    assert both.count() == 20 and both.where("x > 0.5").count() == 10
+    joined = points.where("x < 0.095").join(points.where("x < 0.045"), "x")
+    assert joined.count() == 5
+
+
+def test_columns_known_without_points(spark, tmp_path):
+    golden.cloud(tmp_path / "k=1" / "1.las", 300)
+    golden.cloud(tmp_path / "k=2" / "1.las", 200)
+    counts = read_las(spark, str(tmp_path), ["k"], splitBytes=1000).groupBy("k").count().collect()
+    assert {tuple(r) for r in counts} == {(1, 300), (2, 200)}
+    bare = spark.read.format("las").schema(T.StructType()).load(str(tmp_path))
+    assert bare.count() == 500 and bare.columns == []
+
+
+def test_remote_paths():
+    from lidarframe.sources.files import FileEntry, _uri_parts
+
+    assert _uri_parts("s3a://bucket/a b/*.las?region=x&y=z") == ("s3", "bucket", "/a b/*.las", "?region=x&y=z")
+    assert _uri_parts("hdfs://nn:8020/a/?.las") == ("hdfs", "nn:8020", "/a/?.las", "")
+    assert FileEntry("hdfs://nn:8020/a", "/a/1.las", 0, 0, ()).name == "hdfs://nn:8020/a/1.las"
+    assert FileEntry("s3a://bucket/a", "bucket/a/1.las", 0, 0, ()).name == "s3://bucket/a/1.las"
+    assert FileEntry("/data", "/data/1.las", 0, 0, ()).name == "/data/1.las"
