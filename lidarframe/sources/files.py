@@ -6,6 +6,8 @@ import fnmatch
 import json
 import os
 import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import lru_cache
 from urllib.parse import quote, unquote
@@ -18,6 +20,7 @@ MIB = 1024 * 1024
 DEFAULT_SPLIT_BYTES = 64 * MIB
 OPEN_COST = MIB  # what opening a file weighs when files are packed into tasks
 MAX_SPLITS = 100_000
+LIST_THREADS = 16
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -134,32 +137,38 @@ def list_files(options) -> list[FileEntry]:
     """Data files below the given paths in path order; names starting with _ or . are skipped."""
     name_filter = options.get("pathGlobFilter")
     entries: list[FileEntry] = []
-    for root in given_paths(options):
-        fs, inner = filesystem(root)
-        roots = _expand(fs, inner)
-        if not roots or roots[0].type == pafs.FileType.NotFound:
-            raise FileNotFoundError(f"path does not exist: {root}")
-        for top in roots:
-            base = top.path.rstrip("/") + "/"
-            infos = [top]
-            if top.type == pafs.FileType.Directory:
-                infos = fs.get_file_info(pafs.FileSelector(top.path, recursive=True))
-            found = []
-            for info in infos:
-                if info.type != pafs.FileType.File:
-                    continue
-                below = info.path[len(base):].split("/") if info is not top else []
-                if any(_hidden(part) for part in below):
-                    continue
-                if name_filter and not fnmatch.fnmatchcase(info.base_name, name_filter):
-                    continue
-                found.append(
-                    FileEntry(root, info.path, info.size, info.mtime_ns or 0, _keys(below[:-1]))
-                )
-            entries.extend(sorted(found, key=lambda e: e.path))
+    with ThreadPoolExecutor(LIST_THREADS) as pool:
+        for root in given_paths(options):
+            fs, inner = filesystem(root)
+            tops = _expand(fs, inner)
+            if not tops or tops[0].type == pafs.FileType.NotFound:
+                raise FileNotFoundError(f"path does not exist: {root}")
+            for top in tops:
+                base = top.path.rstrip("/") + "/"
+                found = []
+                for info in _files_below(fs, top, pool):
+                    below = info.path[len(base):].split("/") if info is not top else []
+                    if any(_hidden(part) for part in below):
+                        continue
+                    if name_filter and not fnmatch.fnmatchcase(info.base_name, name_filter):
+                        continue
+                    keys = _keys(below[:-1])
+                    found.append(FileEntry(root, info.path, info.size, info.mtime_ns or 0, keys))
+                entries.extend(sorted(found, key=lambda e: e.path))
     return entries
 
 
+def _files_below(
+    fs: pafs.FileSystem, top: pafs.FileInfo, pool: ThreadPoolExecutor
+) -> Iterator[pafs.FileInfo]:
+    """All files of a folder; its sub-folders are listed side by side."""
+    level = fs.get_file_info(pafs.FileSelector(top.path)) if top.type == pafs.FileType.Directory else [top]
+    folders = [i.path for i in level if i.type == pafs.FileType.Directory and not _hidden(i.base_name)]
+    deeper = pool.map(lambda p: fs.get_file_info(pafs.FileSelector(p, recursive=True)), folders)
+    for infos in (level, *deeper):
+        yield from (i for i in infos if i.type == pafs.FileType.File)
+
+
 def _keys(folders: list[str]) -> tuple[tuple[str, str | None], ...]:
     pairs = (f.split("=", 1) for f in folders if "=" in f[1:])
     return tuple((k, None if v == NULL_PARTITION else unquote(v)) for k, v in pairs)

@@ -112,14 +112,18 @@ class PointRanges:
                 continue
             if keys[name] is None:
                 return False
+            if value == []:
+                return False
             # an undeclared folder column compares like the value it is compared with
-            sample = value[0] if test == "in" and value else value
+            sample = value[0] if test == "in" else value
             kind = self.arrow_types.get(name) or pa.scalar(sample).type
             try:
                 found = pa.scalar(keys[name], pa.string()).cast(kind).as_py()
-                passed = _passes(np.array([found]), test, value)[0]
-            except (pa.ArrowInvalid, TypeError) as e:
-                raise LasFormatError(f"{file.name}: cannot compare {name}={keys[name]} with {value!r}") from e
+            except pa.ArrowInvalid:
+                found = None
+            if isinstance(found, str) != isinstance(sample, str) or found is None:
+                raise LasFormatError(f"{file.name}: cannot compare {name}={keys[name]} with {value!r}")
+            passed = _passes(np.array([found]), test, value)[0]
             if not passed:
                 return False
         return True

@@ -33,7 +33,7 @@ from lidarframe.sources.layouts import (
 
 DEFAULT_SCALE = 0.01
 DEFAULT_MAX_POINTS = 16_000_000
-SPOOL_MEMORY = 32 * MIB
+SPOOL_MEMORY = 16 * MIB
 OPEN_FILES = 16
 MOVE_THREADS = 16
 
