@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 from weakref import WeakSet
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 from lidarframe.sources.headers import LasHeaderSource, LasRangeStatsSource
@@ -32,18 +33,26 @@ def register(spark: SparkSession) -> None:
 
 
 def _ship_package(spark: SparkSession) -> None:
+    context = spark.sparkContext
     root = Path(__file__).resolve().parents[1]
-    if not root.is_dir():
-        return  # runs from an archive, which the workers were given already
+    if not root.is_dir():  # imported from an archive, which executors were given already
+        _add_to_worker_path(context, str(root.parent))
+        return
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as archive:
         for path in sorted(root.rglob("*.py")):
             info = zipfile.ZipInfo(str(path.relative_to(root.parent)))
             archive.writestr(info, path.read_bytes())
     name = f"{root.name}-{hashlib.sha1(data.getvalue()).hexdigest()[:12]}.zip"
-    context = spark.sparkContext
     if any(os.path.basename(f) == name for f in context.listFiles):
         return
     file = Path(tempfile.mkdtemp(prefix=f"{root.name}-")) / name
     file.write_bytes(data.getvalue())
     context.addPyFile(str(file))
+    _add_to_worker_path(context, str(file))
+
+
+def _add_to_worker_path(context: SparkContext, location: str) -> None:
+    """For the worker that plans stream sources beside the driver; it does not see added files."""
+    known = context.environment.get("PYTHONPATH", "")
+    context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, location]))

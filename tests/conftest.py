@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -8,9 +9,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # workers inherit this folder; they must not find the package by chance
+    os.chdir(tmp_path_factory.mktemp("cwd"))
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,2]")  # a task may fail once
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

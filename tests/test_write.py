@@ -100,6 +100,26 @@ def test_failed_job_leaves_nothing(spark, tmp_path):
     assert not (tmp_path / "p" / "_temporary").exists()
 
 
+def test_retried_tasks_write_once(spark, tmp_path):
+    """Every first attempt dies after it has written files; the table comes out whole all the same."""
+
+    def dies_at_first(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    points = some_points(spark, 100, 4)
+    flaky = points.mapInPandas(dies_at_first, points.schema)
+    path = str(tmp_path / "p")
+    write_las(flaky, path, maxPointsPerFile=5)
+    found = sorted(r["x"] for r in read_las(spark, path).collect())
+    assert found == [i * 0.01 + 0.0 for i in range(100)]
+    assert len(las_files(path)) == 20 and not (tmp_path / "p" / "_temporary").exists()
+
+
 @pytest.mark.parametrize(
     "column,value,message",
     [
