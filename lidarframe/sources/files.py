@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import InputPartition
 
 MIB = 1024 * 1024
-DEFAULT_SPLIT_BYTES = 64 * MIB
+DEFAULT_SPLIT_BYTES = 128 * MIB  # like spark.sql.files.maxPartitionBytes
 OPEN_COST = MIB  # what opening a file weighs when files are packed into tasks
 MAX_SPLITS = 100_000
 LIST_THREADS = 16
+FILES_PER_TASK = 512  # headers read by one task
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -239,7 +240,8 @@ def split_files(files: list[FileEntry], options) -> list[RangePartition]:
 
 
 def chunk_files(files: list[FileEntry], options) -> list[FilePartition]:
-    most = int(options.get("filesPerPartition") or 64)
+    """Share files among the cores, with at most ``filesPerPartition`` for one task."""
+    most = int(options.get("filesPerPartition") or FILES_PER_TASK)
     cores = int(options.get("minSplits") or os.cpu_count() or 1)
     size = max(1, min(most, max(8, -(-len(files) // cores))))
     return [FilePartition(files[i : i + size]) for i in range(0, len(files), size)]

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -85,9 +86,7 @@ class HeaderReader(DataSourceReader):
     def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return
-        # waiting for the store dominates on remote files, hence threads inside the task
-        with ThreadPoolExecutor(HEADER_THREADS) as pool:
-            rows = list(pool.map(self._row, partition.files))
+        rows = [self._row(file, head) for file, head in _read_heads(partition.files)]
         columns = {f.name: [row.get(f.name) for row in rows] for f in self.arrow_schema}
         arrays = []
         for field in self.arrow_schema:
@@ -95,15 +94,28 @@ class HeaderReader(DataSourceReader):
             arrays.append(array if array.type == field.type else array.cast(field.type))
         yield pa.RecordBatch.from_arrays(arrays, schema=self.arrow_schema)
 
-    def _row(self, file: FileEntry) -> dict:
+    def _row(self, file: FileEntry, head: bytes) -> dict:
         try:
-            return header_row(file, parse_header(read_head(file, MAX_HEADER_BYTES), file.name))
+            return header_row(file, parse_header(head, file.name))
         except LasFormatError as e:
             if not self.keep_bad:
                 raise
             return header_row(file, None, str(e))
 
 
+def _read_heads(files: list[FileEntry]) -> Iterator[tuple[FileEntry, bytes]]:
+    """First bytes of each file; on remote stores, where waiting dominates, several at a time."""
+
+    def head(file: FileEntry) -> bytes:
+        return read_head(file, MAX_HEADER_BYTES)
+
+    if all(isinstance(filesystem(f.root)[0], pafs.LocalFileSystem) for f in files):
+        yield from ((f, head(f)) for f in files)
+        return
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        yield from zip(files, pool.map(head, files), strict=True)
+
+
 def header_row(file: FileEntry, head: Header | None, error: str | None = None) -> dict:
     row = {"path": file.name, "file_length": file.size, "error": error, **dict(file.keys)}
     if head is None:

@@ -35,6 +35,7 @@ from lidarframe.sources.layouts import (
 )
 
 BATCH_POINTS = 1 << 17
+SMALL_BATCH = 1 << 15  # fewer rows are joined with those of the next file
 _COMPARISONS = {
     "=": operator.eq,
     "<": operator.lt,
@@ -128,9 +129,20 @@ class PointRanges:
                 return False
         return True
 
-    def batches(self, piece: ByteRange) -> Iterator[pa.RecordBatch]:
-        with open_points(piece.file) as (stream, header):
-            yield from self._decode(stream, header, piece)
+    def batches(self, pieces: list[ByteRange]) -> Iterator[pa.RecordBatch]:
+        """Batches of all ranges; those of small files or few passing points are joined."""
+        small: list[pa.RecordBatch] = []
+        rows = 0
+        for piece in pieces:
+            with open_points(piece.file) as (stream, header):
+                for batch in self._decode(stream, header, piece):
+                    small.append(batch)
+                    rows += batch.num_rows
+                    if rows >= SMALL_BATCH or not self.arrow_types:
+                        yield pa.concat_batches(small) if len(small) > 1 else batch
+                        small, rows = [], 0
+        if small:
+            yield pa.concat_batches(small)
 
     def _decode(self, stream, header: Header, piece: ByteRange) -> Iterator[pa.RecordBatch]:
         path = piece.file.name
@@ -210,8 +222,7 @@ class PointReader(DataSourceReader):
         return split_files([f for f in files if self.points.keep_file(f)], self.options)
 
     def read(self, partition: RangePartition | None) -> Iterator[pa.RecordBatch]:
-        for piece in partition.ranges if partition else []:
-            yield from self.points.batches(piece)
+        yield from self.points.batches(partition.ranges if partition else [])
 
 
 class open_points:

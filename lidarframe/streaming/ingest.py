@@ -58,8 +58,7 @@ class LasStreamReader(DataSourceStreamReader):
         return split_files([f for f in files if self.points.keep_file(f)], self.options)
 
     def read(self, partition: RangePartition) -> Iterator[pa.RecordBatch]:
-        for piece in partition.ranges if partition else []:
-            yield from self.points.batches(piece)
+        yield from self.points.batches(partition.ranges if partition else [])
 
     def commit(self, end: dict) -> None:
         """Input files are never removed."""
