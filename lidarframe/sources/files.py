@@ -145,11 +145,11 @@ def list_files(options) -> list[FileEntry]:
             if not tops or tops[0].type == pafs.FileType.NotFound:
                 raise FileNotFoundError(f"path does not exist: {root}")
             for top in tops:
-                base = top.path.rstrip("/") + "/"
+                base = _base(options, top)
                 found = []
                 for info in _files_below(fs, top, pool):
-                    below = info.path[len(base):].split("/") if info is not top else []
-                    if any(_hidden(part) for part in below):
+                    below = info.path[len(base):].split("/")
+                    if info is not top and any(_hidden(part) for part in below):
                         continue
                     if name_filter and not fnmatch.fnmatchcase(info.base_name, name_filter):
                         continue
@@ -159,6 +159,16 @@ def list_files(options) -> list[FileEntry]:
     return entries
 
 
+def _base(options, top: pafs.FileInfo) -> str:
+    """Folder below which k=v folders count: the option ``basePath``, else the path that is read."""
+    if options.get("basePath"):
+        base = filesystem(options["basePath"])[1].rstrip("/") + "/"
+        if not top.path.startswith(base):
+            raise ValueError(f"{top.path} is not below basePath {options['basePath']}")
+        return base
+    return (top.path if top.type == pafs.FileType.Directory else os.path.dirname(top.path)).rstrip("/") + "/"
+
+
 def _files_below(
     fs: pafs.FileSystem, top: pafs.FileInfo, pool: ThreadPoolExecutor
 ) -> Iterator[pafs.FileInfo]:
@@ -177,6 +187,8 @@ def _keys(folders: list[str]) -> tuple[tuple[str, str | None], ...]:
 
 def has_key_folders(options) -> bool:
     """Cheap look at the first folder level, so that plain folders are not listed twice."""
+    if options.get("basePath"):
+        return True
     for root in given_paths(options):
         fs, inner = filesystem(root)
         for top in _expand(fs, inner):

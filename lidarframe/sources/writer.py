@@ -13,7 +13,6 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import types as T
@@ -155,16 +154,12 @@ class LasWriter(DataSourceArrowWriter):
         if not self.keys:
             yield "", batch
             return
-        table = pa.table({k: batch.column(k) for k in self.keys})
-        for row in table.group_by(self.keys).aggregate([]).to_pylist():
-            keep, folder = None, ""
-            for key in self.keys:
-                column, value = batch.column(key), row[key]
-                same = pc.is_null(column) if value is None else pc.equal(column, pa.scalar(value, column.type))
-                keep = same if keep is None else pc.and_(keep, same)
-                text = NULL_PARTITION if value is None else quote(str(value), safe=" ")
-                folder += f"{key}={text}/"
-            yield folder, batch.filter(pc.fill_null(keep, False))
+        keyed = pa.table([batch.column(k) for k in self.keys], names=self.keys)
+        keyed = keyed.append_column("=row", pa.array(np.arange(batch.num_rows)))
+        groups = keyed.group_by(self.keys).aggregate([("=row", "list")]).combine_chunks()
+        for group in range(groups.num_rows):
+            folder = "".join(f"{k}={_folder_text(groups[k][group].as_py())}/" for k in self.keys)
+            yield folder, batch.take(groups["=row_list"][group].values)
 
     def commit(self, messages: list) -> None:
         fs, inner = filesystem(self.target)
@@ -198,6 +193,12 @@ class LasWriter(DataSourceArrowWriter):
             fs.delete_dir(shared)
 
 
+def _folder_text(value) -> str:
+    if value is None:
+        return NULL_PARTITION
+    return quote(str(value).lower() if isinstance(value, bool) else str(value), safe=" ")
+
+
 class _PointFile:
     """Records of one file, kept in memory up to a limit and in the task's scratch file beyond.
 

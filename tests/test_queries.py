@@ -39,6 +39,8 @@ def test_query_equals_sql(spark, duck, name):
     relation = duck.sql(oracle_sql()[name])
     expected = normal(relation.columns, relation.fetchall())
     assert found[0] == expected[0]
+    types = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+    assert dict(result.dtypes) == {c: types[str(t)] for c, t in zip(relation.columns, relation.types)}
     assert len(found[1]) == len(expected[1])
     assert found[1] == expected[1]
 

@@ -99,6 +99,17 @@ def test_folder_columns(tmp_path):
         LasDataSource(options).reader(schema.add("town", "string")).partitions()
 
 
+def test_base_path(spark, tmp_path):
+    for day in (1, 2, 3):
+        golden.cloud(tmp_path / f"day={day}" / "1.las", day)
+    some = [str(tmp_path / "day=1"), str(tmp_path / "day=[3-9]" / "*.las")]
+    found = read_las(spark, some, basePath=str(tmp_path)).groupBy("day").count().collect()
+    assert {tuple(r) for r in found} == {(1, 1), (3, 3)}
+    assert "day" not in read_las(spark, some).columns
+    with pytest.raises(Exception, match="not below basePath"):
+        read_las(spark, some, basePath=str(tmp_path / "day=1")).count()
+
+
 @pytest.mark.parametrize(
     "values,kind",
     [

@@ -171,6 +171,16 @@ def test_folders(spark, tmp_path):
     assert named.count() == 100
 
 
+def test_folders_of_odd_values(spark, tmp_path):
+    odd = F.expr("case id % 4 when 0 then double('NaN') when 1 then null when 2 then 0.5 else -1.0 end")
+    points = some_points(spark, 100).withColumn("id", F.round(F.col("x") * 100).cast("int"))
+    keyed = points.withColumn("f", odd).withColumn("even", F.col("id") % 2 == 0).drop("id")
+    write_las(keyed, str(tmp_path / "p"), partition_by=["f", "even"])
+    names = {f"{p.parent.parent.name}/{p.parent.name}" for p in las_files(tmp_path / "p")}
+    assert names == {"f=nan/even=true", "f=__HIVE_DEFAULT_PARTITION__/even=false", "f=0.5/even=true", "f=-1.0/even=false"}
+    assert read_las(spark, str(tmp_path / "p")).count() == 100
+
+
 def test_unsorted_folders_keep_all_rows(spark, tmp_path):
     points = some_points(spark, 500, 2).withColumn("k", (F.col("x") * 100).cast("int") % 40)
     path = str(tmp_path / "p")
