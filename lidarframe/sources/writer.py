@@ -199,6 +199,12 @@ def _folder_text(value) -> str:
     return quote(str(value).lower() if isinstance(value, bool) else str(value), safe=" ")
 
 
+def _scratch_folder() -> str | None:
+    """One of the folders Spark gives its tasks for scratch data, spread over the workers."""
+    folders = [d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(d)]
+    return folders[os.getpid() % len(folders)] if folders else None
+
+
 class _PointFile:
     """Records of one file, kept in memory up to a limit and in the task's scratch file beyond.
 
@@ -208,7 +214,7 @@ class _PointFile:
 
     def __init__(self, writer: LasWriter):
         self.writer = writer
-        self.spool = tempfile.SpooledTemporaryFile(max_size=SPOOL_MEMORY)
+        self.spool = tempfile.SpooledTemporaryFile(max_size=SPOOL_MEMORY, dir=_scratch_folder())
         self.count = 0
         self.by_return = np.zeros(16, np.int64)
         self.low: dict[str, int] = {}

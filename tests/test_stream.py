@@ -35,6 +35,21 @@ def test_two_drops_and_restarts(spark, tmp_path):
     assert len(ingest(spark, tmp_path)) == 100
 
 
+def test_folders_and_filters(spark, tmp_path):
+    golden.cloud(tmp_path / "in" / "k=1" / "a.las", 10)
+    golden.cloud(tmp_path / "in" / "k=2" / "b.las", 20, first=100)
+    golden.write(tmp_path / "in" / "k=3" / "broken.las", b"junk")
+    schema = point_schema("x").add("k", "integer")
+    wanted = '[["k", "<", 3], ["x", ">=", 0.05]]'
+    found = ingest(spark, tmp_path, schema, filters=wanted)
+    assert found == [i * 0.01 for i in (*range(5, 10), *range(100, 120))]
+
+
+def test_schema_by_default(spark, tmp_path):
+    golden.cloud(tmp_path / "in" / "a.las", 1)
+    assert spark.readStream.format("las").load(str(tmp_path / "in")).columns == ["x", "y", "z"]
+
+
 def reader(folder, **options):
     return LasStreamReader({"path": str(folder), **options}, point_schema("x"))
 
