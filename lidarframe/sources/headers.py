@@ -30,7 +30,7 @@ from lidarframe.sources.layouts import (
     LasFormatError,
     parse_header,
 )
-from lidarframe.sources.points import BATCH_POINTS, point_range, read_points
+from lidarframe.sources.points import BATCH_POINTS, point_blocks, point_range
 
 HEADER_SCHEMA = T.StructType(
     [
@@ -172,10 +172,8 @@ class RangeStatsReader(DataSourceReader):
             codec = header.codec()
             lows: dict[str, int] = {}
             highs: dict[str, int] = {}
-            for at in range(first, last, BATCH_POINTS):
-                count = min(BATCH_POINTS, last - at)
-                data = read_points(stream, header, at, count, file.name)
-                records = codec.records(data, list(COORDINATES))
+            for block in point_blocks(stream, header, first, last, BATCH_POINTS, file.name):
+                records = codec.records(block, list(COORDINATES))
                 for c in COORDINATES:
                     lows[c] = min(lows.get(c, 2**31), int(records[c].min()))
                     highs[c] = max(highs.get(c, -(2**31)), int(records[c].max()))

@@ -35,6 +35,7 @@ from lidarframe.sources.layouts import (
 )
 
 BATCH_POINTS = 1 << 17
+READ_BYTES = 8 << 20
 SMALL_BATCH = 1 << 15  # fewer rows are joined with those of the next file
 _COMPARISONS = {
     "=": operator.eq,
@@ -170,15 +171,18 @@ class PointRanges:
         decoded = list(dict.fromkeys(wanted + tested))
         constants = {PATH_COLUMN: path, POINT_COLUMN: "1", **dict(piece.file.keys)}
         first, last = point_range(header, piece)
-        for at in range(first, last, self.batch_points):
-            rows = min(self.batch_points, last - at)
-            columns: dict[str, pa.Array] = {}
-            # without point attributes the number of points is all that is needed, not their bytes
-            records = (
-                codec.records(read_points(stream, header, at, rows, path), decoded)
-                if decoded
-                else np.empty(rows, "V1")
+        if decoded:
+            blocks = (
+                codec.records(block, decoded)
+                for block in point_blocks(stream, header, first, last, self.batch_points, path)
             )
+        else:
+            # the number of points is all that is needed, not their bytes
+            starts = range(first, last, self.batch_points)
+            blocks = (np.empty(min(self.batch_points, last - at), "V1") for at in starts)
+        for records in blocks:
+            rows = len(records)
+            columns: dict[str, pa.Array] = {}
             try:
                 if filters:
                     # decode the tested columns first; the rest only for points that pass
@@ -261,13 +265,21 @@ def point_range(header: Header, piece: ByteRange) -> tuple[int, int]:
     return first_at(piece.start), first_at(piece.end)
 
 
-def read_points(stream, header: Header, first: int, rows: int, path: str) -> pa.Buffer:
-    wanted = rows * header.record_length
-    stream.seek(header.point_offset + first * header.record_length)
-    data = stream.read_buffer(wanted)
-    if data.size != wanted:
-        raise LasFormatError(f"{path}: got {data.size} of {wanted} bytes at point {first}")
-    return data
+def point_blocks(
+    stream, header: Header, first: int, last: int, batch_points: int, path: str
+) -> Iterator[pa.Buffer]:
+    """Bytes of the points in blocks of at most ``batch_points``; several blocks come from one
+    read, since each request to a remote store takes its time."""
+    length = header.record_length
+    points_per_read = max(1, READ_BYTES // (length * batch_points)) * batch_points
+    for at in range(first, last, points_per_read):
+        wanted = min(points_per_read, last - at) * length
+        stream.seek(header.point_offset + at * length)
+        data = stream.read_buffer(wanted)
+        if data.size != wanted:
+            raise LasFormatError(f"{path}: got {data.size} of {wanted} bytes at point {at}")
+        for start in range(0, wanted, batch_points * length):
+            yield data.slice(start, min(batch_points * length, wanted - start))
 
 
 def parse_filters(text: str | None) -> list[tuple[str, str, object]]:
