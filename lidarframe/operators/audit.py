@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import Paths, load, source_options
-from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS, format_length
 
 
@@ -22,10 +21,11 @@ def las_audit(spark: SparkSession, path: Paths, tolerance: float = 0.5, **option
     ranges = load(
         spark.read.format("las_range_stats").options(**source_options(spark, options)), path
     )
-    # header values are the same in all ranges of a file
-    from_header = [F.max(n).alias(n) for n in HEADER_SCHEMA.fieldNames() if n != "path"]
-    files = ranges.groupBy("path").agg(
-        *from_header,
+    # header values and the error are the same in all ranges of a file
+    numbers = ["file_length", "point_format", "point_offset", "record_length", "point_count"]
+    numbers += [f"{n}_{c}" for n in ("scale", "min", "max") for c in COORDINATES]
+    files = ranges.groupBy("path", "error").agg(
+        *[F.max(n).alias(n) for n in numbers],
         F.coalesce(F.sum("scanned_points"), F.lit(0)).alias("scanned_points"),
         *[F.min(f"scanned_min_{c}").alias(f"scanned_min_{c}") for c in COORDINATES],
         *[F.max(f"scanned_max_{c}").alias(f"scanned_max_{c}") for c in COORDINATES],

@@ -44,6 +44,7 @@ def test_audit_shuffles_once(spark):
 
     plan = plan_of(las_audit(spark, fixtures.mixed_las(spark, SF_DIR)))
     assert plan.count("Exchange") == 1 and "Join" not in plan and "BatchScan las_range_stats" in plan
+    assert "HashAggregate" in plan and "Sort" not in plan
 
 
 def test_nothing_is_broadcast_or_multiplied(spark):
