@@ -33,7 +33,7 @@ MAX_TERMS = 2_000
 MAX_PHRASES = 2_000
 MAX_TERM_CHARS = 40
 MIN_TEXTS = 3  # toxic texts that hold a term
-CHANCE = 1e-4  # most likely number of words of a sample that are on the list by chance
+CHANCE = 1e-2  # most likely number of words of a sample that are on the list by chance
 THRESHOLD = 0.3
 NOT_TOXIC = ("trash can", "trash bin", "class clown", "clown fish", "pond scum", "sore loser")
 
