@@ -361,10 +361,11 @@ WITH RECURSIVE v AS (
 usable AS (
   SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL)) = 0
   AND len(list_filter(e, lambda x: isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
-n AS (SELECT r, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM usable),
+n AS (
+  SELECT r, vec_id, label, list_filter(e, lambda x: x IS NOT NULL) AS e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM usable),
 links AS (
   SELECT a.r AS src, b.r AS dst, b.vec_id AS id FROM n a JOIN n b ON a.label = b.label AND a.r <> b.r
-  AND len(a.e) = len(b.e) AND list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+  AND CASE WHEN len(a.e) = len(b.e) THEN list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.98 END),
 reach AS (
   SELECT r AS src, r AS dst FROM v UNION SELECT reach.src, links.dst FROM reach JOIN links ON reach.dst = links.src),
 comp AS (SELECT reach.src AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.dst = v.r GROUP BY 1),

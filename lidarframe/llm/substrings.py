@@ -142,6 +142,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     found = materialise(found, "units")
     at = F.struct("rank", "row", "place")
     first = found.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = materialise(first, "firsts")  # written, so that AQE can split a frequent digest's rows in the join
     later = found.join(first, "digest").where(at != F.col("first"))
     places = later.groupBy("row").agg(F.collect_list("place").alias("__places")).withColumnRenamed("row", "__row")
     joined = numbered.select(*[F.col(f"`{c}`") for c in columns], "__row").join(places, "__row", "left").drop("__row")

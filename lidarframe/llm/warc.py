@@ -178,6 +178,8 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             headers[name.lower()] = value.strip()
         yield headers, stream.exactly(int(headers["content-length"]))
         stream.until(b"\r\n\r\n")
+    if stream.ready.strip():
+        raise ValueError("archive ends within a record")
 
 
 _RECORDS = T.StructType(

@@ -51,7 +51,7 @@ def groups(n, pairs):
 
 
 def test_shards_are_level_gapless_and_shuffled(odd_docs, docs):
-    many = docs([(k % 7, prose(k % 5)) for k in range(500)])
+    many = docs([(k, prose(k % 5)) for k in range(500)])
     for table, size in ((odd_docs, 3), (many, 40)):
         rows = sharding.shard(table, size, "coalesce(octet_length(text), 0) + 16", bucket_bytes=5000).toPandas()
         assert len(rows) == table.count()
@@ -59,8 +59,8 @@ def test_shards_are_level_gapless_and_shuffled(odd_docs, docs):
         assert counts.max() - counts.min() <= 1
         for _, slots in rows.groupby("shard").slot:
             assert sorted(slots) == list(range(len(slots)))
-    order = rows.sort_values(["slot", "shard"]).index.to_numpy()
-    assert (np.diff(order) == 1).mean() < 0.1
+    order = rows.sort_values(["slot", "shard"]).doc_id.to_numpy()
+    assert (np.diff(order) == 1).mean() < 0.02
 
 
 def test_shards_of_nothing_and_clashing_names(docs, spark):
@@ -279,7 +279,8 @@ def test_plan_uses_everything_once(counts):
         for n in lengths:
             used[n] += times
     assert used == Counter(counts)
-    assert sum(p.times for p in patterns) <= 1.25 * sum(k * n for k, n in counts.items()) / 50 + 1
+    least = max(sum(k * n for k, n in counts.items()) / 50, sum(n for k, n in counts.items() if k > 25))
+    assert sum(p.times for p in patterns) <= 1.5 * least + 1
 
 
 def test_exact_complements_come_first():
@@ -433,5 +434,5 @@ def test_mixture_odd_rows(odd_docs):
     found = mixing.mix(odd_docs).toPandas()
     want = Counter((r.doc_id, r.text) for r in odd_docs.collect())
     first = found[found.mix_epoch == 0]
-    assert Counter(zip(first.doc_id.map(lambda x: None if x != x else int(x)), first.text)) == want
+    assert Counter((None if d != d else int(d), t) for d, t in zip(first.doc_id, first.text)) == want
     assert mixing.mix(odd_docs.limit(0)).count() == 0
