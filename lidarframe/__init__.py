@@ -6,6 +6,7 @@ from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import read_headers, read_las, write_las
+from lidarframe.streaming.files import stream_las
 
 __all__ = [
     "decode_points",
@@ -17,5 +18,6 @@ __all__ = [
     "read_headers",
     "read_las",
     "register",
+    "stream_las",
     "write_las",
 ]

@@ -15,6 +15,7 @@ from lidarframe.operators.session import register
 from lidarframe.operators.tables import read_headers, read_las, write_las
 from lidarframe.plans import fixtures
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS
+from lidarframe.streaming.files import stream_las
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,9 +114,8 @@ def las_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest(path)
 
     def ingest(path: str) -> None:
-        arriving = spark.readStream.format("las").schema(point_schema("x", "y", "z"))
         stream = (
-            arriving.load(f"{path}/inbox")
+            stream_las(spark, f"{path}/inbox", ["x", "y", "z"], max_files_per_trigger=1, pathGlobFilter="*.las")
             .writeStream.format("parquet")
             .option("path", f"{path}/table")
             .option("checkpointLocation", f"{path}/checkpoint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -132,7 +133,8 @@ class LasRangeStatsSource(DataSource):
     """Header, and count and bounds of the points, of every byte range.
 
     The audit reads all points through it but moves one row per range into Spark. A file that
-    cannot be read is reported in ``error``; one that is too short counts the points it holds.
+    cannot be read is reported in ``error``. Points are counted by the bytes up to the next block or the
+    file's end, whatever number the header announces.
     """
 
     @classmethod
@@ -167,8 +169,9 @@ class RangeStatsReader(DataSourceReader):
                 header = parse_header(stream.read(min(MAX_HEADER_BYTES, file.size)), file.name)
             except LasFormatError as e:
                 return header_row(file, None, str(e))
-            held = max(0, file.size - header.point_offset) // header.record_length
-            first, last = (min(p, held) for p in point_range(header, piece))
+            # what the bytes hold, not what the header announces: an undercount shows as well
+            held = replace(header, point_count=header.records_held(file.size))
+            first, last = point_range(held, piece)
             codec = header.codec()
             lows: dict[str, int] = {}
             highs: dict[str, int] = {}

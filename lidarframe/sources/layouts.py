@@ -241,6 +241,12 @@ class Header:
     offset: tuple[float, float, float]
     minimum: tuple[float, float, float]
     maximum: tuple[float, float, float]
+    next_block: int = 0  # where the first block after the points begins, 0 if the file has none
+
+    def records_held(self, file_length: int) -> int:
+        """Whole records in the bytes between the point offset and the next block or the file's end."""
+        end = min(file_length, self.next_block) if self.next_block else file_length
+        return max(0, end - self.point_offset) // self.record_length
 
     @property
     def end(self) -> int:
@@ -281,6 +287,12 @@ def parse_header(data: bytes, path: str) -> Header:
             raise LasFormatError(f"{path}: file ends inside the header")
         # the 64-bit count rules; some writers fill the legacy count only
         count = int(np.frombuffer(data, full, 1)[0]["point_count"]) or count
+    following = []
+    if minor >= 3 and int(head["header_size"]) >= HEADER_DTYPES[3].itemsize <= len(data):
+        following.append(int(np.frombuffer(data, HEADER_DTYPES[3], 1)[0]["waveform_offset"]))
+    if minor >= 4 and int(head["header_size"]) >= full.itemsize:
+        last = np.frombuffer(data, full, 1)[0]
+        following.append(int(last["evlr_offset"]) if last["n_evlr"] else 0)
     return Header(
         version=f"{major}.{minor}",
         header_size=int(head["header_size"]),
@@ -293,6 +305,7 @@ def parse_header(data: bytes, path: str) -> Header:
         offset=tuple(head["offset"].tolist()),
         minimum=tuple(head["bounds"][:, 1].tolist()),
         maximum=tuple(head["bounds"][:, 0].tolist()),
+        next_block=min((f for f in following if f > int(head["point_offset"])), default=0),
     )
 
 

@@ -108,7 +108,7 @@ class PointRanges:
 
     def keep_file(self, file: FileEntry) -> bool:
         """Folder pruning: whether the k=v folders of a file pass the filters on them."""
-        keys = dict(file.keys)
+        keys = {**dict(file.keys), PATH_COLUMN: file.name}
         for name, test, value in self.filters:
             if name in ATTRIBUTES:
                 continue
@@ -294,18 +294,28 @@ def parse_filters(text: str | None) -> list[tuple[str, str, object]]:
             raise ValueError(f"filter {[name, test, value]} is not a comparison with numbers or texts")
         if name in ATTRIBUTES and str in kinds:
             raise ValueError(f"filter on {name!r} needs numbers, not {value!r}")
+        if name == POINT_COLUMN:
+            raise ValueError(f"column {name!r} cannot be filtered")
         filters.append((name, test, value))
     return filters
 
 
 def _passes(values: np.ndarray, test: str, value) -> np.ndarray:
-    """Rows for which the comparison holds, with NaN above all numbers as everywhere in Spark."""
+    """Rows for which the comparison holds: floats as doubles, NaN equal to itself and above all
+    numbers, as everywhere in Spark."""
+    if values.dtype.kind != "f":
+        if test == "in":
+            return np.isin(values, [v for v in value if v == v]) if value else np.zeros(len(values), bool)
+        return _COMPARISONS[test](values, np.inf if value != value else value)
+    values = values.astype(np.float64)
+    nan = np.isnan(values)
     if test == "in":
-        return np.isin(values, value) if value else np.zeros(len(values), bool)
+        found = np.isin(values, value) if value else np.zeros(len(values), bool)
+        return found | (nan & any(v != v for v in value))
+    if value != value:
+        return _COMPARISONS[test](nan.astype(np.int8), 1)  # numbers are below, NaN is equal
     passed = _COMPARISONS[test](values, value)
-    if test in (">", ">=") and values.dtype.kind == "f":
-        passed |= np.isnan(values)
-    return passed
+    return np.where(nan, _COMPARISONS[test](1, 0), passed)
 
 
 def _within_bounds(condition: tuple[str, str, object], header: Header) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,31 +13,32 @@ from pyspark.sql.datasource import DataSourceStreamReader
 from lidarframe.sources.files import FileEntry, RangePartition, list_files, split_files
 from lidarframe.sources.points import PointRanges
 
-DEFAULT_MAX_AGE_SECONDS = 7 * 24 * 3600
-
 
 class LasStreamReader(DataSourceStreamReader):
     """``spark.readStream.format("las")``.
 
-    An offset says which files are taken: all with a modification time below ``floor``, and those
-    at or above it whose path is listed in ``seen``. ``floor`` trails the newest file by
-    ``maxFileAge`` seconds (a week by default, like Spark's own file streams), so files may arrive
-    out of time order within that span and none is read twice or lost. The offset is a function
-    of the listing alone, hence a restart needs nothing but the checkpoint.
+    An offset lists the files that are taken, whatever their times, so none is read twice or lost. It
+    grows with the folder; for folders of very many files use :func:`stream_las`, whose log Spark
+    keeps. Only if the user sets ``maxFileAge`` are files with a time below ``floor``, which trails the newest
+    file (or the present, if that is earlier) by so many seconds, taken to be read and no longer listed.
+    A restart needs nothing but the checkpoint.
     """
 
     def __init__(self, options, schema: T.StructType):
         self.options = options
         self.points = PointRanges(options, schema)
-        self.max_age_ns = int(float(options.get("maxFileAge") or DEFAULT_MAX_AGE_SECONDS) * 1e9)
+        age = options.get("maxFileAge")
+        self.max_age_ns = int(float(age) * 1e9) if age else None
 
     def initialOffset(self) -> dict:
         return {"floor": 0, "seen": []}
 
     def latestOffset(self) -> dict:
         files = list_files(self.options)
-        newest = max((f.mtime_ns for f in files), default=0)
-        floor = max(0, newest - self.max_age_ns)
+        floor = 0
+        if self.max_age_ns is not None:
+            newest = min(max((f.mtime_ns for f in files), default=0), time.time_ns())
+            floor = max(0, newest - self.max_age_ns)
         return {"floor": floor, "seen": sorted(_key(f) for f in files if f.mtime_ns >= floor)}
 
     def partitions(self, start: dict, end: dict) -> list[RangePartition]:

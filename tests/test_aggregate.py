@@ -180,3 +180,28 @@ def test_header_table_fails_on_bad_files_unless_kept(spark, tmp_path):
         read_headers(spark, str(tmp_path)).collect()
     kept = read_headers(spark, str(tmp_path), badFiles="keep")
     assert kept.where("error is not null").count() == 1 and kept.count() == 2
+
+
+def test_audit_finds_undercounts(spark, tmp_path):
+    import struct
+
+    def file(name, minor, announced, held, block=None, after=b""):
+        head = bytearray(golden.header(minor, count=announced))
+        body = golden.points(held)
+        if block:
+            place, number = block
+            struct.pack_into("<Q", head, place, len(head) + len(body))
+            if number:
+                struct.pack_into("<I", head, place + 8, number)
+        return golden.write(tmp_path / name, bytes(head) + body + after)
+
+    under = file("under.las", 2, 90, 100)
+    over = file("over.las", 2, 100, 90)
+    wave = file("wave.las", 3, 10, 10, (227, 0), b"w" * 500)
+    evlr = file("evlr.las", 4, 10, 10, (235, 1), b"e" * 500)
+    evlr_under = file("evlr_under.las", 4, 8, 10, (235, 1), b"e" * 500)
+    rows = {r["path"]: r for r in las_audit(spark, str(tmp_path), splitBytes=256).collect()}
+    assert not rows[under]["count_ok"] and rows[under]["scanned_points"] == 100 and rows[under]["length_ok"]
+    assert not rows[over]["count_ok"] and not rows[over]["length_ok"]
+    assert rows[wave]["count_ok"] and rows[evlr]["count_ok"]
+    assert not rows[evlr_under]["count_ok"] and rows[evlr_under]["scanned_points"] == 10

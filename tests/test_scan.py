@@ -4,6 +4,7 @@ import json
 import os
 
 import golden
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -265,3 +266,33 @@ def test_remote_paths():
     assert FileEntry("hdfs://nn:8020/a", "/a/1.las", 0, 0, ()).name == "hdfs://nn:8020/a/1.las"
     assert FileEntry("s3a://bucket/a", "bucket/a/1.las", 0, 0, ()).name == "s3://bucket/a/1.las"
     assert FileEntry("/data", "/data/1.las", 0, 0, ()).name == "/data/1.las"
+
+
+def test_comparisons_like_spark(spark):
+    from pyspark.sql import functions as F
+
+    from lidarframe.sources.points import _passes
+
+    values = np.array([0.1, -1.0, np.nan, np.inf, 0.5, 0.0], np.float32)
+    table = spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "k int, v double").select(
+        "k", F.col("v").cast("float").alias("v")
+    )
+    for test in ("=", "<", "<=", ">", ">="):
+        for literal in (0.1, 0.5, float("nan"), float("inf"), 0):
+            value = F.lit(float(literal))
+            column = F.col("v").cast("double")
+            condition = {
+                "=": column == value, "<": column < value, "<=": column <= value, ">": column > value, ">=": column >= value
+            }[test]
+            want = {r.k for r in table.where(condition).collect()}
+            assert set(np.flatnonzero(_passes(values, test, literal)).tolist()) == want, (test, literal)
+    assert _passes(values, "in", [0.1, float("nan"), 0.5]).tolist() == [False, False, True, False, True, False]
+    assert _passes(np.array([1, 2]), "<", float("nan")).all() and not _passes(np.array([1]), "=", float("nan")).any()
+
+
+def test_filter_on_path(spark, tmp_path):
+    kept = golden.cloud(tmp_path / "a.las", 3)
+    golden.write(tmp_path / "b.las", b"junk")  # never opened
+    assert read_las(spark, str(tmp_path), ["x"], filters=[("_path", "=", kept)]).count() == 3
+    with pytest.raises(Exception, match="cannot be filtered"):
+        read_las(spark, str(tmp_path), ["x"], filters=[("_point", "=", 1)]).count()

@@ -1,10 +1,12 @@
 """Streaming ingest: drops, restart, late files."""
 
 import os
+import time
 
 import golden
 import pytest
 
+from lidarframe import stream_las
 from lidarframe import point_schema
 from lidarframe.streaming.ingest import LasStreamReader
 
@@ -91,3 +93,64 @@ def test_age_window(tmp_path):
     newest = golden.cloud(tmp_path / "newest.las", 1)
     os.utime(newest, (1400,) * 2)
     assert taken(r, first, r.latestOffset()) == ["inside.las", "newest.las"]
+
+
+def drain(frame, tmp_path):
+    query = (
+        frame.writeStream.format("parquet")
+        .option("path", str(tmp_path / "table"))
+        .option("checkpointLocation", str(tmp_path / "log"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_file_stream_takes_files_of_any_time(spark, tmp_path):
+    folder = tmp_path / "in"
+
+    def arrive(name, count, age):
+        path = golden.cloud(folder / name, count)
+        os.utime(path, (time.time() - age,) * 2)
+
+    def ingest():
+        return drain(stream_las(spark, str(folder), ["x"], max_files_per_trigger=1, split_bytes=512), tmp_path)
+
+    arrive("a.las", 50, 0)
+    ingest()
+    arrive("old.las", 20, 30 * 86400)
+    arrive("future.las", 5, -86400)
+    assert len(ingest().recentProgress) >= 2
+    arrive("today.las", 7, 0)
+    ingest()
+    ingest()  # nothing new
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 82
+
+
+def test_file_stream_filters_and_reports_lost_files(spark, tmp_path):
+    path = golden.cloud(tmp_path / "in" / "a.las", 10)
+    frame = stream_las(spark, str(tmp_path / "in"), ["x"], filters='[["x", ">=", 0.05]]')
+    drain(frame, tmp_path)
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 5
+    golden.cloud(tmp_path / "in" / "b.las", 10)
+    with open(tmp_path / "in" / "b.las", "r+b") as f:
+        f.truncate(300)
+    with pytest.raises(Exception, match="announces points"):
+        drain(frame, tmp_path)
+    assert os.path.exists(path)
+
+
+def test_las_stream_source_without_age_takes_old_files(tmp_path):
+    golden.cloud(tmp_path / "a.las", 1)
+    r = reader(tmp_path)
+    first = r.latestOffset()
+    old = golden.cloud(tmp_path / "old.las", 1)
+    os.utime(old, (1000,) * 2)
+    assert taken(r, first, r.latestOffset()) == ["old.las"]
+    far = golden.cloud(tmp_path / "far.las", 1)
+    os.utime(far, (time.time() + 10**6,) * 2)
+    aged = reader(tmp_path, maxFileAge="3600")
+    before = aged.latestOffset()
+    golden.cloud(tmp_path / "new.las", 1)
+    assert taken(aged, before, aged.latestOffset()) == ["new.las"]
