@@ -11,10 +11,13 @@ rows are shuffled.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -27,43 +30,60 @@ from lidarframe.llm.common import materialise, table, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_CACHED = 300_000  # words whose ids a task remembers
+_CACHED = 500_000  # words whose ids a worker remembers; beyond it, words are encoded each time
 # Texts of other characters are encoded whole: tables of letters and spaces differ between libraries.
 _OTHER = re.compile("[^\n\t\x20-\x7e¡-¬®-ɏ]|<\\|")
+# The split before the merges (public_tokenizers.PATTERN), with the letters and numbers of these characters.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_WORDS = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
+)
 
 
-class _Ids(dict):
-    """Words to their ids as little-endian bytes; a word's ids do not depend on its neighbours."""
+class _Known(dict):
+    """Ids of words; what is not remembered comes from ``extra``."""
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+    extra: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= _CACHED:
-            self.clear()
-        ids = self[word] = self.encode(word)
-        return ids
+        return self.extra[word]
 
-    def encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+class Encoder:
+    """Texts to their ids as little-endian bytes, 32 bits each. A word's ids do not depend on its
+    neighbours, so each different word is encoded once."""
 
-def encoder(path: str | None = None):
-    """Function from text to the bytes of its ids (little-endian, 32 bits)."""
-    import public_tokenizers
-    import regex
-    from tokenizers import Tokenizer
+    def __init__(self, path: str | None = None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        import public_tokenizers
+        from tokenizers import Tokenizer
 
-    ids = _Ids(Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json")))
-    words = regex.compile(public_tokenizers.PATTERN).findall
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
+        self.known = _Known()
 
-    def encode(text: str) -> bytes:
-        if _OTHER.search(text):
-            return ids.encode(text)
-        return b"".join(map(ids.__getitem__, words(text)))
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
-    return encode
+    def many(self, texts: list[str]) -> list[bytes]:
+        words = [None if _OTHER.search(t) else _WORDS.findall(t) for t in texts]
+        new = [w for w in set().union(*filter(None, words)) if w not in self.known]
+        found = dict(zip(new, self._encode(new)))
+        if len(self.known) < _CACHED:
+            self.known.update(found)
+        else:
+            self.known.extra = found
+        get = self.known.__getitem__
+        return [self._encode([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
+
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str | None = None) -> Encoder:
+    """The worker's encoder: later tasks find the words of earlier ones."""
+    return Encoder(path)
 
 
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, chunk int, number long"
@@ -78,8 +98,9 @@ def tokenised_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
         end = np.asarray([END_ID], "<u4").tobytes()
         for part, texts in text_slices(batches):
             rows = []
-            for doc, text in zip(part.column("doc_id").to_pylist(), texts):
-                data = encode(text.decode()) + end if text else end
+            ids = encode.many([t.decode() if t else "" for t in texts])
+            for doc, data in zip(part.column("doc_id").to_pylist(), ids):
+                data += end
                 total = len(data) // 4
                 start, piece = 0, 0
                 stop = total % capacity or capacity
