@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -32,7 +31,7 @@ from lidarframe.sources.layouts import (
 
 DEFAULT_SCALE = 0.01
 DEFAULT_MAX_POINTS = 16_000_000
-SPOOL_MEMORY = 16 * MIB
+HELD_BYTES = 128 * MIB  # records a task holds; beyond, its largest open file is finished
 OPEN_FILES = 16
 MOVE_THREADS = 16
 
@@ -128,26 +127,24 @@ class LasWriter(DataSourceArrowWriter):
             open_files.pop(folder).finish(fs, f"{staging}/{name}")
             written.files.append((f"{staging}/{name}", f"{folder}{name}"))
 
-        try:
-            for batch in iterator:
-                for folder, part in self._by_folder(batch):
-                    columns = {n: part.column(n) for n in self.attributes}
-                    records = self.codec.encode(columns, part.num_rows)
-                    while len(records):
-                        if folder not in open_files:
-                            if len(open_files) >= OPEN_FILES:
-                                close(next(iter(open_files)))
-                            open_files[folder] = _PointFile(self)
-                        room = self.max_points - open_files[folder].count
-                        open_files[folder].append(records[:room])
-                        records = records[room:]
-                        if open_files[folder].count >= self.max_points:
-                            close(folder)
-            for folder in list(open_files):
-                close(folder)
-        finally:
-            for left in open_files.values():
-                left.spool.close()
+        for batch in iterator:
+            for folder, part in self._by_folder(batch):
+                columns = {n: part.column(n) for n in self.attributes}
+                records = self.codec.encode(columns, part.num_rows)
+                while len(records):
+                    if folder not in open_files:
+                        if len(open_files) >= OPEN_FILES:
+                            close(next(iter(open_files)))
+                        open_files[folder] = _PointFile(self)
+                    room = self.max_points - open_files[folder].count
+                    open_files[folder].append(records[:room])
+                    records = records[room:]
+                    if open_files[folder].count >= self.max_points:
+                        close(folder)
+                if sum(f.size for f in open_files.values()) >= HELD_BYTES:
+                    close(max(open_files, key=lambda f: open_files[f].size))
+        for folder in list(open_files):
+            close(folder)
         return written
 
     def _by_folder(self, batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
@@ -171,8 +168,13 @@ class LasWriter(DataSourceArrowWriter):
         files = [pair for m in messages if m is not None for pair in m.files]
         for folder in {os.path.dirname(name) for _, name in files} - {""}:
             fs.create_dir(f"{base}/{folder}", recursive=True)
+        try:
+            with ThreadPoolExecutor(MOVE_THREADS) as pool:
+                list(pool.map(lambda pair: fs.move(pair[0], f"{base}/{pair[1]}"), files))
+        except BaseException:
+            self._take_back(fs, [f"{base}/{name}" for _, name in files])
+            raise
         with ThreadPoolExecutor(MOVE_THREADS) as pool:
-            list(pool.map(lambda pair: fs.move(pair[0], f"{base}/{pair[1]}"), files))
             list(pool.map(fs.delete_file, old))
         self._drop_staging(fs, base)
         with fs.open_output_stream(f"{base}/_SUCCESS"):
@@ -182,6 +184,13 @@ class LasWriter(DataSourceArrowWriter):
         fs, inner = filesystem(self.target)
         self._drop_staging(fs, inner.rstrip("/"))
 
+    @staticmethod
+    def _take_back(fs: pafs.FileSystem, paths: list[str]) -> None:
+        """Removes those of a failed commit's files that are in place; their names are its own."""
+        found = fs.get_file_info(paths)
+        with ThreadPoolExecutor(MOVE_THREADS) as pool:
+            list(pool.map(fs.delete_file, [i.path for i in found if i.type == pafs.FileType.File]))
+
     def _drop_staging(self, fs: pafs.FileSystem, base: str) -> None:
         staging = self._staging(base)
         if fs.get_file_info(staging).type == pafs.FileType.Directory:
@@ -199,14 +208,8 @@ def _folder_text(value) -> str:
     return quote(str(value).lower() if isinstance(value, bool) else str(value), safe=" ")
 
 
-def _scratch_folder() -> str | None:
-    """One of the folders Spark gives its tasks for scratch data, spread over the workers."""
-    folders = [d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(d)]
-    return folders[os.getpid() % len(folders)] if folders else None
-
-
 class _PointFile:
-    """Records of one file, kept in memory up to a limit and in the task's scratch file beyond.
+    """Records of one file, held in memory until it is finished.
 
     The header comes first in a LAS file but holds count and bounds, and object stores cannot
     patch; so the records wait here until both are known.
@@ -214,8 +217,9 @@ class _PointFile:
 
     def __init__(self, writer: LasWriter):
         self.writer = writer
-        self.spool = tempfile.SpooledTemporaryFile(max_size=SPOOL_MEMORY, dir=_scratch_folder())
+        self.chunks: list[np.ndarray] = []
         self.count = 0
+        self.size = 0
         self.by_return = np.zeros(16, np.int64)
         self.low: dict[str, int] = {}
         self.high: dict[str, int] = {}
@@ -223,8 +227,9 @@ class _PointFile:
     def append(self, records: np.ndarray) -> None:
         if not len(records):
             return
-        self.spool.write(records.tobytes())
+        self.chunks.append(records)
         self.count += len(records)
+        self.size += records.nbytes
         for c in COORDINATES:
             self.low[c] = min(self.low.get(c, 2**31), int(records[c].min()))
             self.high[c] = max(self.high.get(c, -(2**31)), int(records[c].max()))
@@ -244,7 +249,5 @@ class _PointFile:
         )
         with fs.open_output_stream(path) as out:
             out.write(head)
-            self.spool.seek(0)
-            while block := self.spool.read(8 * MIB):
-                out.write(block)
-        self.spool.close()
+            for records in self.chunks:
+                out.write(records.tobytes())

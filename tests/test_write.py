@@ -200,11 +200,11 @@ def test_clustering_tightens_bounds(spark, tmp_path):
     assert len(sizes) > 1 and sum(sizes) == 10_000  # one place, still several files
 
 
-def test_spilled_file(spark, tmp_path, monkeypatch):
-    """A file larger than the memory limit goes through scratch and comes out whole."""
+def test_memory_limit(spark, tmp_path, monkeypatch):
+    """A task that holds more than the memory limit goes on in a new file; no point is lost."""
     from lidarframe.sources import writer as sink
 
-    monkeypatch.setattr(sink, "SPOOL_MEMORY", 1000)
+    monkeypatch.setattr(sink, "HELD_BYTES", 1000)
     schema = format_schema(0)
     task = sink.LasWriter({"path": str(tmp_path / "p")}, schema, False)
     import pyarrow as pa
@@ -215,6 +215,29 @@ def test_spilled_file(spark, tmp_path, monkeypatch):
     )
     message = task.write(iter([batch, batch]))
     task.commit([message, None])
-    (file,) = las_files(tmp_path / "p")
-    assert file.stat().st_size == 227 + 2 * n * 20
+    files = las_files(tmp_path / "p")
+    assert [f.stat().st_size for f in files] == [227 + n * 20] * 2
     assert read_las(spark, str(tmp_path / "p")).agg(F.sum("x")).first()[0] == pytest.approx(n * (n - 1))
+
+
+def test_failed_commit_leaves_the_old_files(spark, tmp_path):
+    import pyarrow as pa
+
+    from lidarframe.sources import writer as sink
+
+    target = tmp_path / "p"
+    write_las(some_points(spark, 10, 1), str(target))
+    before = {f: f.read_bytes() for f in las_files(target)}
+    schema = format_schema(0)
+    batch = pa.RecordBatch.from_pydict(
+        {f.name: pa.array([1.0] * 5) if f.name in "xyz" else pa.array([1] * 5) for f in schema}
+    )
+    for overwrite in (True, False):
+        job = sink.LasWriter({"path": str(target)}, schema, overwrite)
+        message = job.write(iter([batch]))
+        gone = sink.WrittenFiles([(f"{target}/_temporary/{job.job}/lost.las", "lost.las")])
+        with pytest.raises(FileNotFoundError):
+            job.commit([message, gone])
+        job.abort([message, gone])
+        assert {f: f.read_bytes() for f in las_files(target)} == before
+        assert not (target / "_temporary").exists()
