@@ -5,7 +5,7 @@ from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.session import register
-from lidarframe.operators.tables import read_headers, read_las, write_las
+from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.streaming.files import stream_las
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "format_schema",
     "las_agg",
     "las_audit",
+    "las_view",
     "point_schema",
     "read_headers",
     "read_las",

@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lidarframe.operators.tables import (
+    LITERAL,
     Paths,
     path_options,
     read_headers,
     read_las,
-    source_options,
+    sql_words,
 )
 from lidarframe.sources.files import partition_fields
-from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, POINT_FORMATS
+from lidarframe.sources.headers import HEADER_SCHEMA
+from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_FORMATS
 
-_LITERAL = r"'(?:[^'\\]|\\.|'')*'" + r'|"(?:[^"\\]|\\.|"")*"'
 _EXTREME = r"\b(?P<fn>min|max)\s*\(\s*`?(?P<axis>[xyz])`?\s*\)"
 _COUNT = r"\bcount\s*\(\s*(?:(?P<all>\*|1)|`?(?P<column>\w+)`?)\s*\)"
-_ANSWERABLE = re.compile(f"(?P<literal>{_LITERAL})|{_EXTREME}|{_COUNT}", re.IGNORECASE)
-_WORD = re.compile(r"[A-Za-z_]\w*")
+_ANSWERABLE = re.compile(f"(?P<literal>{LITERAL})|{_EXTREME}|{_COUNT}", re.IGNORECASE)
 
 
 def las_agg(
@@ -38,21 +38,30 @@ def las_agg(
 ) -> DataFrame:
     """Aggregate LAS files; ``aggs`` maps result names to SQL text, e.g. ``{"dx": "max(x)-min(x)"}``.
 
-    Without ``where``, ``filters`` (see ``read_las``) and ``group_by``, if all results are made of
-    min/max of x, y, z, count(*) and count(column), file headers give the answer and no point is
-    read. Anything else, or ``verify=True``, scans the points with just the columns the texts
+    Without ``where`` and ``filters`` (see ``read_las``), if groups are k=v folder columns or ``_path``
+    and all results are made of min/max of x, y, z, count(*) and count(column), file headers give the
+    answer and no point is read. Anything else, or ``verify=True``, scans the points with just the columns the texts
     mention. Both ways give the same result as long as headers tell the truth (see ``las_audit``).
     """
     if not aggs:
         raise ValueError("no aggregates given")
     group_by = [group_by] if isinstance(group_by, str) else list(group_by)
-    if not (where or filters or group_by or verify):
+    if not (where or filters or verify) and _named_by_folders(path, group_by, options):
         plan = header_plan(spark, aggs)
         if plan is not None:
-            return _from_headers(spark, path, plan, options)
+            return _from_headers(spark, path, plan, group_by, options)
     return _from_points(spark, path, aggs, where, group_by, {"filters": filters, **options})
 
 
+def _named_by_folders(path, group_by: Sequence[str], options: dict) -> bool:
+    """Whether all groups are values that each file has as a whole."""
+    if not set(group_by) - {PATH_COLUMN}:
+        return True
+    folders = {f.name for f in partition_fields(path_options(path, options))}
+    clash = {f.lower() for f in folders} & {PATH_COLUMN, *HEADER_SCHEMA.fieldNames()}
+    return not clash and set(group_by) <= {*folders, PATH_COLUMN}
+
+
 def header_plan(spark: SparkSession, aggs: Mapping[str, str]) -> dict[str, str] | None:
     """The texts over header totals, or None if some text needs the points.
 
@@ -62,7 +71,7 @@ def header_plan(spark: SparkSession, aggs: Mapping[str, str]) -> dict[str, str]
     unanswerable remains.
     """
     rewritten = {name: _ANSWERABLE.sub(_total_name, text) for name, text in aggs.items()}
-    if _words(rewritten.values()) & set(ATTRIBUTES):
+    if sql_words(rewritten.values()) & set(ATTRIBUTES):
         return None
     totals = spark.range(0).selectExpr(
         *[f"CAST(NULL AS {_total_type(n)}) AS {n}" for n in _totals_in(rewritten)]
@@ -87,15 +96,10 @@ def _total_name(match: re.Match) -> str:
 def _totals_in(texts: Mapping[str, str]) -> list[str]:
     names = [f"__{m}_{c}" for m in ("min", "max") for c in COORDINATES]
     names += ["__count"] + [f"__count_{a}" for a in ATTRIBUTES]
-    words = _words(texts.values())
+    words = sql_words(texts.values())
     return [n for n in names if n in words]
 
 
-def _words(texts: Iterable[str]) -> set[str]:
-    """Names used in SQL texts, in lower case; quoted strings do not count."""
-    return {w.lower() for t in texts for w in _WORD.findall(re.sub(_LITERAL, " ", t))}
-
-
 def _total_type(name: str) -> str:
     return "bigint" if name.startswith("__count") else "double"
 
@@ -118,26 +122,27 @@ def _total(name: str, null_missing: bool) -> str:
     return f"{kind}({kind}_{axis}) AS {name}"
 
 
-def _from_headers(spark, path, plan: Mapping[str, str], options: dict) -> DataFrame:
+def _from_headers(spark, path, plan: Mapping[str, str], group_by: Sequence[str], options: dict) -> DataFrame:
     null_missing = str(options.get("missingColumns", "")).lower() == "null"
     # one total is always taken: a projection of literals alone must give one row, not one per file
     names = _totals_in(plan) or ["__count"]
     columns = ["path", "point_format", "point_count"]
     columns += [n.removeprefix("__") for n in names if not n.startswith("__count")]
     # files without points carry meaningless bounds
-    headers = read_headers(spark, path, columns, **options).where("point_count > 0")
-    totals = headers.selectExpr(*[_total(n, null_missing) for n in names])
-    return totals.select(*[F.expr(text).alias(name) for name, text in plan.items()])
+    narrow = None if set(group_by) - {PATH_COLUMN} else columns
+    headers = read_headers(spark, path, narrow, **options).where("point_count > 0")
+    keys = [F.col("path").alias(g) if g == PATH_COLUMN else F.col(f"`{g}`") for g in group_by]
+    totals = headers.groupBy(*keys).agg(*[F.expr(_total(n, null_missing)) for n in names])
+    results = [F.expr(text).alias(name) for name, text in plan.items()]
+    return totals.select(*[F.col(f"`{g}`") for g in group_by], *results)
 
 
 def _from_points(spark, path, aggs, where, group_by, options) -> DataFrame:
-    words = _words([*aggs.values(), where or "", *group_by])
-    columns = [a for a in ATTRIBUTES if a in words]
+    words = sql_words([*aggs.values(), where or "", *group_by])
+    columns = [a for a in (*ATTRIBUTES, PATH_COLUMN) if a in words]
     if words - set(ATTRIBUTES):
         folders = partition_fields(path_options(path, options))
         columns += [f.name for f in folders if f.name.lower() in words]
-    points = read_las(spark, path, columns, **options)
-    if where:
-        points = points.where(where)
+    points = read_las(spark, path, columns, where=where or None, **options)
     results = [F.expr(text).alias(name) for name, text in aggs.items()]
     return points.groupBy(*[F.expr(g) for g in group_by]).agg(*results)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +15,10 @@ from lidarframe.functions.fields import point_schema
 from lidarframe.operators.session import register
 from lidarframe.sources.files import list_files, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
-from lidarframe.sources.layouts import ATTRIBUTES, PATH_COLUMN, POINT_COLUMN
+from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN
 
 Paths = str | Sequence[str]
+LITERAL = r"'(?:[^'\\]|\\.|'')*'" + r'|"(?:[^"\\]|\\.|"")*"'
 
 
 def source_options(spark: SparkSession, options: dict) -> dict:
@@ -53,11 +56,57 @@ def declared_schema(path: Paths, columns: Sequence[str], options: dict) -> T.Str
     return schema
 
 
+def sql_words(texts: Iterable[str]) -> set[str]:
+    """Names used in SQL texts, in lower case; quoted strings do not count."""
+    return {w.lower() for t in texts for w in re.findall(r"[A-Za-z_]\w*", re.sub(LITERAL, " ", t))}
+
+
+def _conjuncts(spark: SparkSession, where: str) -> Iterator[str]:
+    """The conditions that a predicate joins by AND, as Spark's own parser sees them."""
+    left = [spark._jsparkSession.sessionState().sqlParser().parseExpression(where)]
+    while left:
+        part = left.pop()
+        if part.getClass().getSimpleName() == "And":
+            left += [part.right(), part.left()]
+        else:
+            yield part.sql()
+
+
+def passing_folders(
+    spark: SparkSession, path: Paths, where: str, fields: Sequence[T.StructField], options: dict
+) -> list | None:
+    """Combinations of k=v folders for which ``where`` can hold; None if it says nothing about them.
+
+    Spark decides which conditions use nothing but folder columns and evaluates these on one row for
+    each combination that the listing shows.
+    """
+    none = spark.createDataFrame([], T.StructType(list(fields)))
+    conditions = []
+    for text in _conjuncts(spark, where):
+        try:
+            plan = none.where(text)._jdf.queryExecution().analyzed()
+        except AnalysisException:
+            continue
+        if plan.deterministic():
+            conditions.append(text)
+    if not conditions:
+        return None
+    found = list(dict.fromkeys(f.keys for f in list_files(path_options(path, options))))
+    texts = T.StructType([T.StructField(f"v{n}", T.StringType()) for n in range(len(fields))]).add("number", T.IntegerType())
+    rows = [(*[dict(keys).get(f.name) for f in fields], k) for k, keys in enumerate(found)]
+    table = spark.createDataFrame(rows, texts)
+    typed = [F.col(f"v{n}").cast(f.dataType).alias(f.name) for n, f in enumerate(fields)]
+    passed = table.select(F.struct(*typed).alias("__keys"), "number").select("__keys.*", F.col("number").alias("__number"))
+    kept = passed.where(" AND ".join(conditions)).select("__number").collect()  # one row per kept folder
+    return [found[r[0]] for r in kept]
+
+
 def read_las(
     spark: SparkSession,
     path: Paths,
     columns: Sequence[str] | None = None,
     filters: Sequence[tuple[str, str, object]] = (),
+    where: str | None = None,
     **options,
 ) -> DataFrame:
     """Points of LAS files; only the named columns are decoded.
@@ -65,9 +114,21 @@ def read_las(
     Without ``columns`` the result has x, y, z and the k=v folder columns. With an empty list it
     has no columns and one row per point. ``filters`` such as ``[("x", ">", 500.0),
     ("day", "in", [1, 2])]`` must all hold; they skip k=v folders and drop points before these
-    enter Spark. Options are those of ``format("las")``.
+    enter Spark. ``where`` is an SQL predicate, which may use attributes that are not among ``columns``;
+    folders whose k=v columns rule it out are not opened. Options are those of ``format("las")``.
     """
     register(spark)
+    if where is not None:
+        fields = partition_fields(path_options(path, options))
+        folders = passing_folders(spark, path, where, fields, options) if fields else None
+        if folders is not None:
+            options["folders"] = json.dumps(folders)
+        wanted = [*COORDINATES, *[f.name for f in fields]] if columns is None else list(columns)
+        words = sql_words([where])
+        used = [n for n in (*ATTRIBUTES, PATH_COLUMN, *[f.name for f in fields]) if n.lower() in words]
+        read = list(dict.fromkeys([*wanted, *used]))
+        points = read_las(spark, path, read, filters, **options).where(where)
+        return points.select(*[F.col(f"`{n}`") for n in wanted])
     options = source_options(spark, options)
     if filters:
         options["filters"] = json.dumps([list(f) for f in filters])
@@ -80,6 +141,13 @@ def read_las(
     return load(reader.schema(declared_schema(path, columns, options)), path)
 
 
+def las_view(
+    spark: SparkSession, name: str, path: Paths, columns: Sequence[str], where: str | None = None, **options
+) -> None:
+    """A temporary view for SQL that decodes ``columns`` alone and opens only folders that ``where`` admits."""
+    read_las(spark, path, columns, where=where, **options).createOrReplaceTempView(name)
+
+
 def read_headers(
     spark: SparkSession, path: Paths, columns: Sequence[str] | None = None, **options
 ) -> DataFrame:

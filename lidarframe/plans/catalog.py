@@ -12,7 +12,7 @@ from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.session import register
-from lidarframe.operators.tables import read_headers, read_las, write_las
+from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.plans import fixtures
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS
 from lidarframe.streaming.files import stream_las
@@ -99,7 +99,7 @@ def las_partition_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def las_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fixtures.lineitem_las(spark, sf_dir)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW las_points USING las OPTIONS (path '{path}')")
+    las_view(spark, "las_points", path, ["x"])
     return spark.sql("SELECT count(*) AS points, max(x) AS max_x FROM las_points")
 
 
@@ -184,13 +184,32 @@ def las_count_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hdr(aggs: dict[str, str], **how) -> Query:
-    return lambda spark, sf_dir: las_agg(spark, fixtures.lineitem_las(spark, sf_dir), aggs, **how)
+    return lambda spark, sf_dir: las_agg(spark, fixtures.tiles_las(spark, sf_dir), aggs, **how)
 
 
 def hdr_after_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fixtures.lineitem_las(spark, sf_dir)
-    read_las(spark, path).cache()
-    return las_agg(spark, path, {**BOUNDS, "points": "count(x)"})
+    """Headers answer while the points are held in memory, and agree with these."""
+    path = fixtures.tiles_las(spark, sf_dir)
+    points = read_las(spark, path, ["x"]).cache()
+    try:
+        held = points.count()  # fills the cache
+        answer = las_agg(spark, path, {**BOUNDS, "points": "count(x)"})
+        if answer.first().points != held:
+            raise ValueError(f"headers count {answer.first().points} points, the cache holds {held}")
+    finally:
+        points.unpersist()
+    return answer
+
+
+def hdr_group_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aggs = {"points": "count(*)", "min_x": "min(x)", "max_x": "max(x)"}
+    return las_agg(spark, fixtures.events_las(spark, sf_dir), aggs, group_by=["event_type"])
+
+
+def las_where_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate on a folder column and on points; folders it rules out are not opened."""
+    path = fixtures.events_las(spark, sf_dir)
+    return widened(read_las(spark, path, ["x", "classification"], where="event_type LIKE 'p%' AND x > 10 AND y >= 1"))
 
 
 def las_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +219,9 @@ def las_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.col("header_size").cast("bigint")).alias("header_size"),
         F.max(F.col("record_length").cast("bigint")).alias("record_length"),
         F.sum("point_count").alias("points"),
+        F.sum(F.col("file_length") - F.col("point_offset")).alias("point_bytes"),
+        *[F.max(F.col(n).cast("bigint")).alias(n) for n in ("point_offset", "n_vlr", "point_format")],
+        *[F.max(f"{kind}_{c}").alias(f"{kind}_{c}") for kind in ("scale", "offset") for c in COORDINATES],
         *[getattr(F, m)(f"{m}_{c}").alias(f"{m}_{c}") for m in ("min", "max") for c in COORDINATES],
     )
 
@@ -277,6 +299,8 @@ def queries() -> dict[str, Query]:
                     "points": "count(*)",
                 }
             ),
+            "hdr_group_folder": hdr_group_folder,
+            "las_where_folder": las_where_folder,
             "hdr_after_cache": hdr_after_cache,
             "las_headers": las_headers,
             "las_header_audit": las_header_audit,
@@ -405,9 +429,17 @@ def oracle_sql() -> dict[str, str]:
             f"max(x) AS max_x FROM {p} GROUP BY classification",
             "hdr_fallback_sum": "SELECT min(x) + CAST(sum(CAST(round(y) AS BIGINT)) AS BIGINT) AS mixed, "
             f"count(DISTINCT y) AS distinct_y, count(*) AS points FROM {p}",
+            "hdr_group_folder": f"SELECT event_type, count(*) AS points, min({EVENT_SQL['x']}) AS min_x, "
+            f"max({EVENT_SQL['x']}) AS max_x FROM events GROUP BY event_type",
+            "las_where_folder": f"SELECT x, CAST(classification AS BIGINT) AS classification FROM (SELECT event_type, "
+            f"{columns_sql(EVENT_SQL, ['x', 'y', 'classification'])} FROM events) AS e "
+            "WHERE event_type LIKE 'p%' AND x > 10 AND y >= 1",
             "hdr_after_cache": f"SELECT {bounds}, count(x) AS points FROM {p}",
             "las_headers": "SELECT flag, '1.2' AS version, CAST(227 AS BIGINT) AS header_size, "
-            f"CAST(28 AS BIGINT) AS record_length, count(*) AS points, {bounds} "
+            f"CAST(28 AS BIGINT) AS record_length, count(*) AS points, 28 * count(*) AS point_bytes, "
+            "CAST(227 AS BIGINT) AS point_offset, CAST(0 AS BIGINT) AS n_vlr, CAST(1 AS BIGINT) AS point_format, "
+            + "".join(f"0.01::DOUBLE AS scale_{c}, 0.0::DOUBLE AS offset_{c}, " for c in COORDINATES)
+            + f"{bounds} "
             f"FROM (SELECT {columns_sql(LINEITEM_SQL, COORDINATES)}, l_returnflag AS flag FROM lineitem)"
             " AS f GROUP BY flag",
             "las_header_audit": "SELECT CAST(6 AS BIGINT) AS point_format, count(*) AS header_points, count(*) AS "

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from lidarframe.functions.records import encode_points
 from lidarframe.operators.tables import write_las
-from lidarframe.sources.layouts import POINT_FORMATS
+from lidarframe.sources.files import filesystem
+from lidarframe.sources.layouts import POINT_FORMATS, pack_header
+from lidarframe.sources.writer import codec_from_options
 
 # Points of `lineitem`: attribute -> Spark SQL.
 LINEITEM_POINTS = {
@@ -50,6 +54,7 @@ EVENT_POINTS = {
 }
 
 POINTS_PER_FILE = 1_000_000
+TILES = 12
 _written: dict[tuple, str] = {}
 
 
@@ -58,13 +63,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """Folder for written tables: below the cluster's shared checkpoint folder if it names one."""
+    """Folder for written tables: below the cluster's shared checkpoint folder.
+
+    Only a session in local mode may leave that unset; it gets a temporary folder.
+    """
     key = (spark.sparkContext.applicationId,)
     if key not in _written:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared:
             _written[key] = f"{shared.rstrip('/')}/lidarframe-{spark.sparkContext.applicationId}"
         else:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             _written[key] = tempfile.mkdtemp(prefix="lidarframe-")
     return _written[key]
 
@@ -73,7 +84,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], obj
     """Path of a fixture; ``write`` fills it at the first request."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = f"{scratch(spark)}/{len(_written)}-{name}"
+        path = f"{scratch(spark)}/{uuid.uuid4().hex[:12]}-{name}"  # a retry gets a new one
         write(path)
         _written[key] = path
     return _written[key]
@@ -98,6 +109,20 @@ def lineitem_las(spark: SparkSession, sf_dir: str, point_format: int = 1, **opti
     )
 
 
+def tiles_las(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem in twelve files or more, and a file without points."""
+    points = lineitem_points(spark, sf_dir, 1)
+
+    def write(path: str) -> None:
+        write_las(points, path, num_partitions=TILES, pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
+        nothing = pack_header(2, codec_from_options({"pointFormat": 1}), 0, np.zeros(16, np.int64), [0.0] * 3, [0.0] * 3, (2000, 1))
+        fs, inner = filesystem(path)
+        with fs.open_output_stream(f"{inner.rstrip('/')}/nothing.las") as out:
+            out.write(nothing)
+
+    return once(spark, sf_dir, "tiles", write)
+
+
 def events_las(spark: SparkSession, sf_dir: str) -> str:
     """Events in one folder per event type."""
     points = event_points(spark, sf_dir, "event_type")

@@ -97,7 +97,9 @@ class HeaderReader(DataSourceReader):
 
     def _row(self, file: FileEntry, head: bytes) -> dict:
         try:
-            return header_row(file, parse_header(head, file.name))
+            header = parse_header(head, file.name)
+            short = self.keep_bad and header.end > file.size
+            return header_row(file, header, "points end behind the end of the file" if short else None)
         except LasFormatError as e:
             if not self.keep_bad:
                 raise

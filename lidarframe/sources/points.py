@@ -85,6 +85,14 @@ class PointRanges:
         self.null_missing = missing == "null"
         self.batch_points = int(options.get("batchPoints") or BATCH_POINTS)
         self.trust_bounds = flag(options, "trustBounds")
+        bad_files = str(options.get("badFiles") or "fail").lower()
+        if bad_files not in ("fail", "skip"):
+            raise ValueError(f"badFiles must be 'fail' or 'skip', not {bad_files!r}")
+        self.skip_bad = bad_files == "skip"
+        folders = options.get("folders")  # combinations of k=v folders to read
+        self.folders = json.loads(folders) if folders else None
+        if self.folders is not None:
+            self.folders = {tuple(tuple(pair) for pair in keys) for keys in self.folders}
         self.filters = parse_filters(options.get("filters"))
         self.tested = list(dict.fromkeys(name for name, _, _ in self.filters))
         # type in which a filter sees a column: as declared, else as by default
@@ -108,6 +116,8 @@ class PointRanges:
 
     def keep_file(self, file: FileEntry) -> bool:
         """Folder pruning: whether the k=v folders of a file pass the filters on them."""
+        if self.folders is not None and file.keys not in self.folders:
+            return False
         keys = {**dict(file.keys), PATH_COLUMN: file.name}
         for name, test, value in self.filters:
             if name in ATTRIBUTES:
@@ -135,6 +145,8 @@ class PointRanges:
         small: list[pa.RecordBatch] = []
         rows = 0
         for piece in pieces:
+            if self.skip_bad and not readable(piece.file):
+                continue
             with open_points(piece.file) as (stream, header):
                 for batch in self._decode(stream, header, piece):
                     small.append(batch)
@@ -255,6 +267,15 @@ class open_points:
         self.stream.close()
 
 
+def readable(file: FileEntry) -> bool:
+    """Whether a file has a header that holds; asked only where bad files are to be skipped."""
+    try:
+        with open_points(file):
+            return True
+    except LasFormatError:
+        return False
+
+
 def point_range(header: Header, piece: ByteRange) -> tuple[int, int]:
     """Points whose first byte lies in the range; neighbours never share or lose a point."""
 

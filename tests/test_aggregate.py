@@ -205,3 +205,18 @@ def test_audit_finds_undercounts(spark, tmp_path):
     assert not rows[over]["count_ok"] and not rows[over]["length_ok"]
     assert rows[wave]["count_ok"] and rows[evlr]["count_ok"]
     assert not rows[evlr_under]["count_ok"] and rows[evlr_under]["scanned_points"] == 10
+
+
+def test_groups_of_whole_files_come_from_headers(spark, tmp_path):
+    golden.cloud(tmp_path / "k=1" / "1.las", 300)
+    golden.cloud(tmp_path / "k=1" / "2.las", 100)
+    golden.cloud(tmp_path / "k=2" / "1.las", 200)
+    golden.cloud(tmp_path / "k=3" / "1.las", 0)
+    aggs = {"n": "count(*)", "high": "max(x)"}
+    for keys in (["k"], ["_path"], ["k", "_path"]):
+        fast = las_agg(spark, str(tmp_path), aggs, group_by=keys)
+        plan = fast._jdf.queryExecution().executedPlan().toString()
+        assert "las_headers" in plan and "BatchScan las[" not in plan
+        slow = las_agg(spark, str(tmp_path), aggs, group_by=keys, verify=True)
+        assert fast.columns == slow.columns
+        assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))

@@ -16,7 +16,7 @@ def plan_of(df) -> str:
     "name",
     [
         "las_scan", "las_format_10", "las_filter", "las_source_filter", "las_column_pruning", "records_decode",
-        "las_partition_pruning",
+        "las_partition_pruning", "las_where_folder",
     ],
 )
 def test_row_queries_do_not_shuffle(spark, name):

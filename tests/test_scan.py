@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from lidarframe import point_schema, read_las, register
+from lidarframe import las_agg, las_view, point_schema, read_headers, read_las, register
 from lidarframe.sources.files import list_files, split_files
 from lidarframe.sources.layouts import LasFormatError
 from lidarframe.sources.points import LasDataSource
@@ -238,6 +238,42 @@ def test_pruned_files_are_never_opened(spark, tmp_path):
         read_las(spark, str(tmp_path), ["x", "k"]).count()
 
 
+def test_where_prunes_folders(spark, tmp_path):
+    golden.cloud(tmp_path / "k=1" / "1.las", 300)
+    golden.cloud(tmp_path / "k=3" / "1.las", 100)
+    golden.write(tmp_path / "k=2" / "1.las", b"junk")
+    golden.write(tmp_path / "k=__HIVE_DEFAULT_PARTITION__" / "1.las", b"junk")
+    path = str(tmp_path)
+    assert read_las(spark, path, ["x", "k"], where="k = 1").count() == 300
+    assert read_las(spark, path, where="k % 2 = 1 AND x < 0.095").columns == ["x", "y", "z", "k"]
+    both = read_las(spark, path, ["z"], where="k % 2 = 1 AND (x < 0.095 OR k = 3) AND isnotnull(k)")
+    assert both.columns == ["z"] and both.count() == 110
+    assert read_las(spark, path, [], where="k in (1, 3)").count() == 400
+    assert read_las(spark, path, ["x"], where="k > 7").count() == 0
+    assert las_agg(spark, path, {"n": "count(*)"}, where="k = 3").first().n == 100
+    las_view(spark, "some_points", path, ["x", "k"], where="k <> 2")
+    assert spark.sql("select count(*) from some_points where k = 3").first()[0] == 100
+    for where in ("k = 1 OR x < 5", "x < 5"):  # says nothing about folders alone
+        with pytest.raises(Exception, match="not a LAS file"):
+            read_las(spark, path, ["x"], where=where).count()
+
+
+def test_bad_files_can_be_skipped(spark, tmp_path):
+    golden.cloud(tmp_path / "a.las", 300)
+    golden.write(tmp_path / "b.las", b"junk")
+    whole = (tmp_path / "a.las").read_bytes()
+    golden.write(tmp_path / "c.las", whole[:-1])
+    path = str(tmp_path)
+    assert read_las(spark, path, ["x"], badFiles="skip", splitBytes=1000).count() == 300
+    assert read_las(spark, path, [], badFiles="skip").count() == 300
+    bad = read_headers(spark, path, badFiles="keep").where("error is not null")
+    assert sorted(r.path[-5:] for r in bad.collect()) == ["b.las", "c.las"]
+    with pytest.raises(Exception, match="LAS|announces"):
+        read_las(spark, path, ["x"]).count()
+    with pytest.raises(Exception, match="badFiles"):
+        read_las(spark, path, ["x"], badFiles="perhaps").count()
+
+
 def test_one_scan_serves_several_queries(spark, tmp_path):
     path = golden.cloud(tmp_path / "a.las", 100)
     points = read_las(spark, path, ["x"])
