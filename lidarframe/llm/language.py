@@ -251,12 +251,12 @@ def learn(docs: DataFrame, train: Column | None = None, per_language: int = PER_
     names = [r.lang for r in common.collect()]
     order = F.xxhash64("doc_id", F.length("text"))
     light = rows.where(F.col("lang").isin(names)).select("doc_id", "lang", order.alias("h"))
-    # the first of each of 64 parts of a language, then of these: no task sees all rows of a frequent language
-    part = Window.partitionBy("lang", F.pmod(F.xxhash64("h"), F.lit(64))).orderBy("h", "doc_id")
-    light = light.withColumn("k", F.row_number().over(part)).where(F.col("k") <= per_language)
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    taken = light.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
-    taken = taken.select(F.col("doc_id").alias("id"), F.col("h").alias("h2")).distinct()
+    # the first of each of 64 parts of a language, of these the first of 8 parts, then of all: the last
+    # task of a language reads at most 8 * per_language rows, however frequent it is
+    for parts in (64, 8, 1):
+        part = Window.partitionBy("lang", F.pmod(F.xxhash64("h"), F.lit(parts))).orderBy("h", "doc_id")
+        light = light.withColumn("k", F.row_number().over(part)).where(F.col("k") <= per_language).drop("k")
+    taken = light.select(F.col("doc_id").alias("id"), F.col("h").alias("h2")).distinct()
     # at most per_language rows of two numbers for each of MAX_LANGUAGES languages
     some = rows.join(F.broadcast(taken), (F.col("doc_id") == F.col("id")) & (order == F.col("h2")))
     found = some.select("lang", "text").mapInArrow(_stretches, "lang string, words array<string>")
