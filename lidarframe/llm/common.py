@@ -56,7 +56,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of Arrow batches with about ``size`` bytes of text, and their texts as UTF-8."""
     for batch in batches:

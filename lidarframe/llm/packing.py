@@ -30,8 +30,12 @@ from lidarframe.llm.common import materialise, table, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_CACHED = 500_000  # words whose ids a worker remembers; beyond it, words are encoded each time
-# Texts of other characters are encoded whole: tables of letters and spaces differ between libraries.
+_CACHED = 200_000  # words whose ids a worker remembers; beyond it, words are encoded each time
+_BLOCK = 1 << 16  # characters of a text that are split into words together
+_GROUP = 1 << 18  # characters of blocks whose new words are encoded together
+# A place between two words whatever is around it: words hold a blank only as their first character.
+_CUT = re.compile("(?<=[A-Za-z0-9.,])(?=[ \n])")
+# Blocks of other characters are encoded whole: tables of letters and spaces differ between libraries.
 _OTHER = re.compile("[^\n\t\x20-\x7e¡-¬®-ɏ]|<\\|")
 # The split before the merges (public_tokenizers.PATTERN), with the letters and numbers of these characters.
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
@@ -40,6 +44,15 @@ _WORDS = re.compile(
 )
 
 
+def blocks(text: str) -> Iterator[str]:
+    """Parts of a text of about _BLOCK characters that cut no word in two."""
+    start = 0
+    while len(text) - start > _BLOCK and (gap := _CUT.search(text, start + _BLOCK)):
+        yield text[start : gap.start()]
+        start = gap.start()
+    yield text[start:]
+
+
 class _Known(dict):
     """Ids of words; what is not remembered comes from ``extra``."""
 
@@ -66,15 +79,31 @@ class Encoder:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
     def many(self, texts: list[str]) -> list[bytes]:
-        words = [None if _OTHER.search(t) else _WORDS.findall(t) for t in texts]
+        found: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            for block in blocks(text):
+                group.append((k, block))
+                size += len(block)
+                if size >= _GROUP:
+                    self._add(group, found)
+                    group, size = [], 0
+        self._add(group, found)
+        return [b"".join(parts) for parts in found]
+
+    def _add(self, group: list[tuple[int, str]], found: list[list[bytes]]) -> None:
+        """Appends the ids of each block of a group to those of its text."""
+        words = [None if _OTHER.search(block) else _WORDS.findall(block) for _, block in group]
         new = [w for w in set().union(*filter(None, words)) if w not in self.known]
-        found = dict(zip(new, self._encode(new)))
+        ids = dict(zip(new, self._encode(new)))
         if len(self.known) < _CACHED:
-            self.known.update(found)
+            self.known.update(ids)
         else:
-            self.known.extra = found
+            self.known.extra = ids
         get = self.known.__getitem__
-        return [self._encode([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
+        for (k, block), w in zip(group, words):
+            found[k].append(self._encode([block])[0] if w is None else b"".join(map(get, w)))
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]

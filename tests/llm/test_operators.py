@@ -289,6 +289,22 @@ def test_exact_complements_come_first():
     assert packing.plan({}, 10) == [] and packing.plan({1: 25}, 10)[0] == ([1] * 10, 2)
 
 
+@pytest.mark.parametrize("size", [5, 40, 1 << 16])
+def test_blocks_give_the_ids_of_whole_texts(monkeypatch, size):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "_BLOCK", size)
+    monkeypatch.setattr(packing, "_GROUP", 4 * size)
+    random.seed(size)
+    parts = ["word", "It's", " ", "  ", "\n", "\n\n", "é", "中文", "12", ".", ",", "<|endoftext|>", " \n", "\t", "!?", "x"]
+    texts = ["".join(random.choices(parts, k=n)) for n in range(120)]
+    for text, ids in zip(texts, packing.Encoder().many(texts)):
+        assert "".join(packing.blocks(text)) == text
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_like_whole_texts(odd_docs):
     import public_tokenizers
     from tokenizers import Tokenizer
