@@ -137,6 +137,7 @@ def mix(
             F.monotonically_increasing_id().alias("__row"),
         ),
         "mix",
+        "zstd",
     )
     spark = docs.sparkSession
     light = rows.select("__row", "__source", "__tokens")
@@ -195,13 +196,12 @@ def mix(
 
 
 def op10_temperature_mixing(spark, sf_dir: str) -> DataFrame:
-    light = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", F.expr(WORDS).cast("long").alias("words")
-    )
-    return mix(light, tokens="words").select(
+    """Whole documents are mixed and written; the columns are taken from the files."""
+    mixed = materialise(mix(table(spark, sf_dir, "documents")), "mixture", "zstd")
+    return mixed.select(
         "doc_id",
         "source",
-        F.col("mix_tokens").alias("tokens"),
+        F.expr(WORDS).cast("long").alias("tokens"),
         F.col("mix_epoch").alias("epoch"),
         F.col("mix_block").alias("block"),
         F.col("mix_position").alias("position"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import materialise, table
+from lidarframe.llm.common import materialise, new_path, table
 
 SHARDS = 40
 SEED = 20240501
@@ -40,7 +40,7 @@ def shard(
         F.expr(f"cast({size or 16} as long)").alias("__size"),
         F.monotonically_increasing_id().alias("__row"),
     )
-    scattered = materialise(marked, "scattered")
+    scattered = materialise(marked, "scattered", "zstd")
     total = scattered.agg(F.sum("__size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     bucket = F.pmod(F.xxhash64(F.lit(seed), "__row"), F.lit(buckets)).alias("__bucket")
@@ -65,29 +65,30 @@ def shard(
 
 
 def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """Writes the result of :func:`shard` as Parquet: a folder per shard, files in slot order."""
-    part = F.floor(F.col("slot") / rows_per_file)
+    """Writes the result of :func:`shard` as Parquet: a folder per shard, each file in slot order.
+
+    The rows lie by buckets, and a bucket fills one range of slots of every shard, so each task writes its
+    buckets' ranges and texts are not shuffled once more.
+    """
     (
-        sharded.withColumn("__part", part)
-        .repartition("shard", "__part")
-        .sortWithinPartitions("shard", "slot")
-        .drop("__part")
+        sharded.sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
         .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", "zstd")
         .parquet(path)
     )
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").selectExpr(
-        "doc_id",
-        "cast(coalesce(octet_length(text), 0) + 16 as long) as size",
-        "coalesce(crc32(cast(text as binary)), 0L) as text_crc32",
-    )
-    return shard(rows, SHARDS, size="size").select(
+    """Whole documents are dealt and written; size and text_crc32 are taken from the files."""
+    size = "cast(coalesce(octet_length(text), 0) + 16 as long)"
+    sharded = shard(table(spark, sf_dir, "documents"), SHARDS, size=size)
+    path = new_path(spark, "shards")
+    write_shards(sharded, path)
+    return spark.read.schema(sharded.schema).parquet(path).select(
         "doc_id",
-        "size",
-        "text_crc32",
+        F.expr(size).alias("size"),
+        F.expr("coalesce(crc32(cast(text as binary)), 0L)").alias("text_crc32"),
         F.lit("rows").alias("law"),
         "shard",
         "slot",

@@ -76,6 +76,21 @@ def test_write_shards(docs, spark, tmp_path):
     assert back.count() == 90 and back.select("doc_id").distinct().count() == 90
 
 
+def test_op1_writes_whole_documents(spark, monkeypatch):
+    paths = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda rows, path: (paths.append(path), write(rows, path)))
+    found = {r.doc_id: r for r in sharding.op1_sharding(spark, SF).collect()}
+    had = spark.read.parquet(f"{SF}/documents.parquet")
+    (path,) = paths
+    back = spark.read.parquet(path)
+    assert Counter(map(tuple, back.select(had.columns).collect())) == Counter(map(tuple, had.collect()))
+    for r in back.collect():
+        text = (r.text or "").encode()
+        assert (found[r.doc_id].size, found[r.doc_id].text_crc32) == (len(text) + 16, zlib.crc32(text))
+        assert (found[r.doc_id].shard, found[r.doc_id].slot) == (r.shard, r.slot)
+
+
 # components and SimHash
 
 
@@ -452,3 +467,15 @@ def test_mixture_odd_rows(odd_docs):
     first = found[found.mix_epoch == 0]
     assert Counter((None if d != d else int(d), t) for d, t in zip(first.doc_id, first.text)) == want
     assert mixing.mix(odd_docs.limit(0)).count() == 0
+
+
+def test_op10_writes_whole_documents(spark, monkeypatch):
+    written = {}
+    write = mixing.materialise
+    monkeypatch.setattr(mixing, "materialise", lambda df, name, *how: written.setdefault(name, write(df, name, *how)))
+    found = mixing.op10_temperature_mixing(spark, SF)
+    had = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    mixed = written["mixture"].collect()
+    assert {r.doc_id for r in mixed} == had.keys() and all(r.text == had[r.doc_id].text for r in mixed)
+    want = Counter((r.doc_id, r.mix_tokens, r.mix_epoch, r.mix_at) for r in mixed)
+    assert Counter(map(tuple, found.select("doc_id", "tokens", "epoch", "at").collect())) == want
