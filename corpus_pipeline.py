@@ -24,7 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of linked fingerprints."""
+    """Keeps the document with the smallest doc_id of each group of linked fingerprints.
+
+    Links are op9's three bits; most near copies by five-word shingles differ in more and stay (README).
+    """
     return simhash.drop_near_duplicates(docs)
 
 
