@@ -8,8 +8,8 @@ the transitions are known. A text is labelled by forward-backward over blocks of
 (all words of it); its language is the label with the largest sum of word probabilities, and this sum's
 share is the score.
 
-The field is fitted on the driver from at most ``PER_LANGUAGE`` texts of each of ``MAX_LANGUAGES``
-languages and ``STRETCH`` words of each; labelling is one pass over all texts without a shuffle.
+The field is fitted on the driver from at most ``PER_LANGUAGE`` texts of every language, fewer of each if there
+are many languages, and ``STRETCH`` words of each text; labelling is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from lidarframe.llm.common import crc_text, materialise, table, text_slices
 
 PER_LANGUAGE = 1000
-MAX_LANGUAGES = 64
+ALL_LANGUAGES = 16_000  # texts of all languages, but LEAST of each in any case
+LEAST = 16
 STRETCH = 96
 SEQUENCE = 64  # words of a training sequence
 SWITCH = 16  # words between two switches, on average
@@ -37,6 +38,7 @@ ROUNDS = 60
 BLOCK = 256  # words that are labelled together
 UNKNOWN = "und"
 _CACHED = 200_000
+_CELLS = 1 << 22  # label probabilities that training holds at once
 _LONGEST = 24  # letters of a word that n-grams are taken from: its first and last twelve
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -94,9 +96,8 @@ def forward_backward(emission: np.ndarray, transitions: np.ndarray) -> tuple[np.
     gamma[:, -1] = alpha[:, -1]
     for t in range(steps - 2, -1, -1):
         right = e[:, t + 1] * beta
-        joint = np.einsum("ni,nj->nij", alpha[:, t], right) * move
-        joint /= joint.sum((1, 2), keepdims=True)
-        pairs += joint.sum(0)
+        whole = ((alpha[:, t] @ move) * right).sum(1, keepdims=True)
+        pairs += move * ((alpha[:, t] / whole).T @ right)
         beta = right @ move.T
         beta /= beta.sum(1, keepdims=True)
         g = alpha[:, t] * beta
@@ -144,14 +145,18 @@ def fit_field(texts: list[tuple[str, list[str]]], rounds: int = ROUNDS, rate: fl
     moves = np.zeros((size, size))
     np.add.at(moves, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
     total = ids.size
+    group = max(1, _CELLS // (SEQUENCE * size))
     weights, transitions = np.zeros((TABLE, size)), np.zeros((size, size))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, transitions)]
     for step in range(1, rounds + 1):
         emission = np.add.reduceat(weights[flat], starts, axis=0)
-        gamma, pairs = forward_backward(emission[ids], transitions)
-        excess = truth.copy()
-        for k in range(size):
-            excess[:, k] -= np.bincount(ids.ravel(), gamma[:, :, k].ravel(), len(known))
+        excess, pairs = truth.copy(), np.zeros((size, size))
+        for at in range(0, len(ids), group):
+            some = ids[at : at + group]
+            gamma, moved = forward_backward(emission[some], transitions)
+            pairs += moved
+            for k in range(size):
+                excess[:, k] -= np.bincount(some.ravel(), gamma[:, :, k].ravel(), len(known))
         slope = np.stack([np.bincount(flat, excess[owner, k], TABLE) for k in range(size)], 1) / total
         gradients = (slope - 1e-6 * weights, (moves - pairs) / total - 1e-6 * transitions)
         for p, g, (m, v) in zip((weights, transitions), gradients, state):
@@ -235,33 +240,39 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of(text.decode()) if text else []
             at = xxhash.xxh32_intdigest(text or b"") % max(1, len(words) - STRETCH + 1)
             found.append(words[at : at + STRETCH])
-        yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(found, pa.list_(pa.string()))], ["lang", "words"])
+        kept = [part.column(name) for name in ("lang", "id", "h2")]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(found, pa.list_(pa.string()))], ["lang", "id", "h2", "words"]
+        )
 
 
 def learn(docs: DataFrame, train: Column | None = None, per_language: int = PER_LANGUAGE) -> Field:
     """A field from (doc_id, text, lang) of the rows that ``train`` admits.
 
-    Rows without id, text or language teach nothing. Texts are taken by a hash of id and text. Of more than
-    MAX_LANGUAGES languages the most frequent are learned. One language is always predicted; none: UNKNOWN.
+    Rows without id, text or language teach nothing. Texts are taken by a hash of id and text, repeated rows
+    once. Every language is learned; of more than ALL_LANGUAGES / per_language, from fewer texts each. One language is always predicted; none: UNKNOWN.
     """
-    rows = docs.select("doc_id", "lang", "text").where("doc_id is not null and lang is not null and text is not null")
+    rows = docs.select(F.col("doc_id").cast("long"), "lang", "text").where("doc_id is not null and lang is not null and text is not null")
     if train is not None:
         rows = rows.where(train)
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    names = [r.lang for r in common.collect()]
-    order = F.xxhash64("doc_id", F.length("text"))
-    light = rows.where(F.col("lang").isin(names)).select("doc_id", "lang", order.alias("h"))
+    languages = rows.select("lang").distinct().count()
+    per_language = min(per_language, max(LEAST, ALL_LANGUAGES // max(1, languages)))
+    order = F.xxhash64("doc_id", "text")
+    light = rows.select("lang", "doc_id", order.alias("h")).distinct()  # a repeated row counts once
     # the first of each of 64 parts of a language, of these the first of 8 parts, then of all: the last
     # task of a language reads at most 8 * per_language rows, however frequent it is
     for parts in (64, 8, 1):
         part = Window.partitionBy("lang", F.pmod(F.xxhash64("h"), F.lit(parts))).orderBy("h", "doc_id")
         light = light.withColumn("k", F.row_number().over(part)).where(F.col("k") <= per_language).drop("k")
-    taken = light.select(F.col("doc_id").alias("id"), F.col("h").alias("h2")).distinct()
-    # at most per_language rows of two numbers for each of MAX_LANGUAGES languages
-    some = rows.join(F.broadcast(taken), (F.col("doc_id") == F.col("id")) & (order == F.col("h2")))
-    found = some.select("lang", "text").mapInArrow(_stretches, "lang string, words array<string>")
-    found = materialise(found, "stretches").orderBy("lang", F.xxhash64("words"), "words")
-    texts = [(r.lang, list(r.words)) for r in found.limit(2 * per_language * MAX_LANGUAGES).collect()]
+    taken = light.select(F.col("lang").alias("l2"), F.col("doc_id").alias("id"), F.col("h").alias("h2"))
+    # at most per_language small rows for each language
+    keys = (F.col("lang") == F.col("l2")) & (F.col("doc_id") == F.col("id")) & (order == F.col("h2"))
+    some = rows.join(F.broadcast(taken), keys)
+    found = some.select("lang", "id", "h2", "text").mapInArrow(
+        _stretches, "lang string, id long, h2 long, words array<string>"
+    )
+    found = materialise(found.dropDuplicates(["lang", "id", "h2"]), "stretches").select("lang", "words")
+    texts = [(r.lang, list(r.words)) for r in found.orderBy("lang", F.xxhash64("words"), "words").collect()]
     return fit_field(texts)
 
 

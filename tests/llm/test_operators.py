@@ -281,6 +281,22 @@ def test_language_accuracy_and_odd_rows(spark, odd_docs):
     assert language.predict(odd_docs, language.learn(odd_docs.limit(0))).first().lang_pred == "und"
 
 
+def test_every_language_is_learned(docs):
+    names = [f"l{k:02d}" for k in range(70)]
+    rows = [(100 * k + d, f"{name}word {name}thing", name) for k, name in enumerate(names) for d in range(3 if k < 69 else 1)]
+    rows += [(1, "l00word l00thing", "l00")] * 300
+    assert language.learn(docs(rows)).labels == names
+
+
+def test_repeated_rows_teach_once(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fit_field", lambda texts: seen.extend(texts))
+    rows = [(1, "one text again", "a")] * 50 + [(k, f"other text {k * 'x'}", "a") for k in range(2, 6)]
+    language.learn(docs(rows + [(9, "noch eins", "b")]), per_language=5)
+    assert Counter(name for name, _ in seen) == {"a": 5, "b": 1}
+    assert len({tuple(words) for _, words in seen}) == 6
+
+
 # packing
 
 
