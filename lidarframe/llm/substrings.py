@@ -1,8 +1,9 @@
 """Repeated passages: units of lines hashed, grouped globally, all but the first occurrence removed.
 
-Units are lines, cut at sentence ends, and very long sentences after words picked by their hash (short
-sentences go with the next one), so
-that a passage has the same units wherever it stands, also in the middle of a line. Units are
+Units are lines, cut at sentence ends, and sentences of more than ``LONG_UNIT`` words after words whose
+hash is the least of their neighbours' (short sentences go with the next one), so that a passage has the
+same units wherever it stands, also in the middle of a line and without sentence ends; only some words at
+its ends go with the text around it. Units are
 compared in lower case with single spaces and without the punctuation at their end. A unit is repeated if an
 equal one comes earlier, by document id, then row, then place. Short units say little: only runs of
 repeated units (with short ones in between) of ``MIN_WORDS`` words or more are removed, and whole lines of
@@ -26,11 +27,36 @@ from lidarframe.llm.common import materialise, table, text_slices
 MIN_WORDS = 20
 MIN_LINE_WORDS = 8
 SHORT_UNIT = 4  # units of fewer words are not looked up
-LONG_UNIT = 32  # longer ones are cut
+LONG_UNIT = 12  # longer ones are cut
+LONGEST_UNIT = 32  # also without a word to cut at
+NEAR = SHORT_UNIT - 1
 _BREAK = re.compile(r"(?<=[.!?…。！？])\s+|[^\S\n]*\n\s*")
 _WORD = re.compile(r"\S+")
 
 
+def _cuts(words: list[str]) -> list[int]:
+    """Numbers of the words that end a piece of a long unit, the last one included.
+
+    Such a word's hash is the least among its ``NEAR`` neighbours on both sides, so pieces have more than
+    ``NEAR`` words and two texts cut a common passage alike from ``NEAR`` words within it. Texts without
+    such a word (a few words over and over) are cut every ``LONGEST_UNIT`` words.
+    """
+    n, out, last = len(words), [], -1
+    h = [zlib.crc32(w.encode("utf-8", "replace")) for w in words]
+    for k in range(NEAR, n):
+        v = h[k]
+        least = k < n - NEAR - 1 and v < h[k - 1] and v <= h[k + 1]
+        least = least and v < min(h[k - NEAR : k]) and v <= min(h[k + 1 : k + 1 + NEAR])
+        if not least and k < n - 1:
+            continue
+        while k - last > LONGEST_UNIT:
+            last += min(LONGEST_UNIT, k - last - NEAR - 1)
+            out.append(last)
+        out.append(k)
+        last = k
+    return out
+
+
 def units(text: str) -> list[tuple[int, int, int]]:
     """(start, end, words) of each unit that has a word; the white space between units belongs to none."""
     found, start = [], 0
@@ -41,15 +67,12 @@ def units(text: str) -> list[tuple[int, int, int]]:
             if n:
                 found.append((a, b, n))
             return
-        first, count = None, 0
-        for word in _WORD.finditer(text, a, b):
-            first = word.start() if first is None else first
-            count += 1
-            if count >= 8 and zlib.crc32(word[0].lower().encode("utf-8", "replace")) & 7 == 0:
-                found.append((first, word.end(), count))
-                first, count = None, 0
-        if first is not None:
-            found.append((first, b, count))
+        places = [w.span() for w in _WORD.finditer(text, a, b)]
+        first = 0
+        for last in _cuts([text[c:d].lower() for c, d in places]):
+            end = places[last][1] if last + 1 < len(places) else b
+            found.append((places[first][0], end, last + 1 - first))
+            first = last + 1
 
     for gap in _BREAK.finditer(text):
         if "\n" not in gap[0] and len(text[start : gap.start()].split()) < SHORT_UNIT:

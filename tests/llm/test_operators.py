@@ -387,6 +387,33 @@ def test_repeats_like_one_by_one(docs):
         assert passage[-200:] not in found[k].text and f"End {k}." in found[k].text and prose(7, 12) not in found[k].text
 
 
+@pytest.mark.parametrize("words", [51, 60])
+def test_repeats_without_sentence_ends(docs, words):
+    rng = random.Random(words)
+
+    def some(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(n)]
+
+    rows, passages = [], []
+    for k in range(60):
+        passage = some(words)
+        passages.append(" ".join(passage))
+        for side in range(2):
+            rows.append((2 * k + side, " ".join([*some(20 + k % 9), *passage, *some(20 + k % 7)])))
+    found = {r.doc_id: r for r in substrings.remove_repeats(docs(rows)).collect()}
+    for k, passage in enumerate(passages):
+        assert found[2 * k].text == rows[2 * k][1]
+        (span,) = found[2 * k + 1].removed_spans
+        gone = rows[2 * k + 1][1][span.start : span.end].strip()
+        assert gone in passage and len(gone.split()) >= substrings.MIN_WORDS
+
+
+def test_repeats_of_sentences_glued_at_both_ends(docs):
+    a, b, c = (prose(k, n).strip(".") for k, n in ((1, 18), (2, 17), (3, 18)))
+    rows = [(k, f"{prose(50 + k, 9).strip('.')} {a}. {b}. {c} {prose(60 + k, 9)}") for k in range(2)]
+    assert b not in {r.doc_id: r.text for r in substrings.remove_repeats(docs(rows)).collect()}[1]
+
+
 def test_repeats_odd_rows(odd_docs):
     found = substrings.remove_repeats(odd_docs).collect()
     assert len(found) == 10 and substrings.remove_repeats(odd_docs.limit(0)).count() == 0
