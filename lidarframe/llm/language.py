@@ -39,21 +39,30 @@ BLOCK = 256  # words that are labelled together
 UNKNOWN = "und"
 _CACHED = 200_000
 _CELLS = 1 << 22  # label probabilities that training holds at once
-_LONGEST = 24  # letters of a word that n-grams are taken from: its first and last twelve
+_LONGEST = 24  # letters of a word; longer ones are cut
 _WORD = re.compile(r"[^\W\d_]+")
+# letters of scripts without blanks: Thai, Lao, Myanmar, Khmer, kana, Han
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_PIECE = re.compile(f"[{_UNSPACED}]{{1,4}}|[^{_UNSPACED}]{{1,{_LONGEST}}}")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters in lower case; in order, all letters are in one of them.
+
+    Runs of scripts without blanks are cut into pieces of four letters, about as much as a short word says, others
+    into pieces of ``_LONGEST``.
+    """
+    text = text.lower()
+    words = _WORD.findall(text)
+    if max(map(len, words), default=0) <= _LONGEST and (text.isascii() or not _HAS_UNSPACED.search(text)):
+        return words
+    return [piece for word in words for piece in _PIECE.findall(word)]
 
 
 def features(word: str) -> list[int]:
     """Places in the table: lexicon, affixes and n-grams."""
-    if len(word) > _LONGEST:
-        found = {f"={word}"}
-        word = word[: _LONGEST // 2] + word[-_LONGEST // 2 :]
-    else:
-        found = {f"={word}"}
+    found = {f"={word}"}
     for k in (1, 2, 3):
         found.add(f"<{word[:k]}")
         found.add(f"{word[-k:]}>")

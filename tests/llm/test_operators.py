@@ -297,6 +297,28 @@ def test_repeated_rows_teach_once(docs, monkeypatch):
     assert len({tuple(words) for _, words in seen}) == 6
 
 
+def test_text_without_blanks_is_read_whole(docs):
+    rng = random.Random(3)
+    run = "".join(rng.choices("abcdefgh", k=1000))
+    assert "".join(language.words_of(run)) == run and max(map(len, language.words_of(run))) <= 24
+    assert language.words_of("ab 一二三四五x") == ["ab", "一二三四", "五", "x"]
+
+    def unspaced(letters, n):
+        return "".join(rng.choices(letters, k=n))
+
+    first, second, edge = "一二三四五六七八", "東西南北春夏秋冬", "山" * 12
+    texts = [("en", prose(k).split()) for k in range(20)]
+    texts += [("zh", language.words_of(unspaced(first, 200))) for _ in range(20)]
+    texts += [("ja", language.words_of(unspaced(second, 200))) for _ in range(20)]
+    field = language.fit_field(texts)
+    rows = [
+        (1, edge + unspaced(first, 300) + edge),  # the ends say nothing
+        (2, edge + unspaced(second, 300) + edge),
+        (3, unspaced(first, 60) + " " + prose(50, 8)),  # one run against eight short words
+    ]
+    assert {r.doc_id: r.lang_pred for r in language.predict(docs(rows), field).collect()} == {1: "zh", 2: "ja", 3: "zh"}
+
+
 # packing
 
 
