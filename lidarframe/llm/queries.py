@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lidarframe.llm import (
+    byte_bpe,
+    clustering,
     language,
     mixing,
     packing,
     product_quantisation,
     quality,
+    resampling,
     sharding,
     simhash,
     substrings,
@@ -34,6 +37,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             quality.op8_quality_rules,
             simhash.op9_simhash,
             mixing.op10_temperature_mixing,
+            clustering.op11_eenns_clustering,
+            byte_bpe.op12_byte_bpe,
+            resampling.op13_importance_resampling,
         )
     }
 
@@ -43,4 +49,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_product_quantisation": product_quantisation.OP2_SQL,
         "op7_warc": warc.OP7_SQL,
         "op8_quality_rules": quality.OP8_SQL,
+        "op11_eenns_clustering": clustering.OP11_SQL,
+        "op13_importance_resampling": resampling.OP13_SQL,
     }
