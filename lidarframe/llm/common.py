@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lidarframe.operators.session import register
@@ -55,6 +56,53 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hidden(columns: list[str]) -> list[Column]:
+    """All columns under names of their own (c0, c1, ...), so that no helper column can clash with one."""
+    return [named(c).alias(f"c{k}") for k, c in enumerate(columns)]
+
+
+def shown(columns: list[str]) -> list[Column]:
+    """The columns that :func:`hidden` renamed, by their old names."""
+    return [F.col(f"c{k}").alias(c) for k, c in enumerate(columns)]
+
+
+def named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def with_row_keys(rows: DataFrame, *more: Column) -> DataFrame:
+    """``rows`` with hidden columns, ``more``, and longs row_file and row_at that name a row for good.
+
+    Rows of a table of files are named by a hash of the file and the place in it, however Spark splits
+    files in a later job. Any other table is written once and read from there.
+    """
+    columns = [*hidden(rows.columns), *more]
+    if _rows_of_files(rows):
+        return rows.select(
+            *columns,
+            F.xxhash64("_metadata.file_path").alias("row_file"),
+            F.col("_metadata.row_index").alias("row_at"),
+        )
+    row = F.monotonically_increasing_id()
+    return materialise(rows.select(*columns, F.lit(0).cast("long").alias("row_file"), row.alias("row_at")), "numbered", "zstd")
+
+
+def _rows_of_files(rows: DataFrame) -> bool:
+    """Whether each row is one row of a file: a scan, filtered and projected by nothing random."""
+    if "_metadata" in (c.lower() for c in rows.columns):
+        return False
+    plan = rows._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias") and plan.deterministic():
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    try:
+        rows.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:

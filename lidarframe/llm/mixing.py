@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import WORD_CHARS, materialise, table
+from lidarframe.llm.common import WORD_CHARS, hidden, materialise, named, shown, table
 
 SEED = 11
 BLOCK_ROWS = 4096
@@ -125,14 +125,14 @@ def mix(
     none: once exactly). With one, a row of the last epoch is in if it ends within the source's
     budget. Rows with a null source are a source of their own; null tokens and texts count 0. Repeated rows
     count as often as they are there. An empty table gives an empty table. Columns of the given names
-    are replaced.
+    are replaced, other names are free.
     """
     added = ["mix_tokens", "mix_epoch", "mix_block", "mix_position", "mix_at"]
     columns = [c for c in docs.columns if c.lower() not in added]
     rows = materialise(
         docs.select(
-            *[F.col(f"`{c}`") for c in columns],
-            F.col(f"`{source_column}`").cast("string").alias("__source"),
+            *hidden(columns),
+            named(source_column).cast("string").alias("__source"),
             F.expr(f"cast(coalesce({tokens}, 0) as long)").alias("__tokens"),
             F.monotonically_increasing_id().alias("__row"),
         ),
@@ -190,9 +190,7 @@ def mix(
             F.expr("if(__budget > 0, (__end - __tokens) / __budget, 0D)").alias("mix_at"),
         )
     )
-    return rows.drop("__source", "__tokens").join(chosen, "__row").select(
-        *[F.col(f"`{c}`") for c in columns], *added
-    )
+    return rows.drop("__source", "__tokens").join(chosen, "__row").select(*shown(columns), *added)
 
 
 def op10_temperature_mixing(spark, sf_dir: str) -> DataFrame:

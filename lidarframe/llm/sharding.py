@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import materialise, new_path, table
+from lidarframe.llm.common import hidden, materialise, new_path, shown, table
 
 SHARDS = 40
 SEED = 20240501
 BUCKET_BYTES = 32 << 20
+BUCKET_GROUP = 4096  # buckets whose rows are summed up together
 
 
 def shard(
@@ -32,38 +33,51 @@ def shard(
     The counts of rows of two shards differ by one at most, and the order over all shards is a random
     permutation. ``size`` is a SQL expression for a row's bytes (16 if not given), it only sets the
     number of buckets. Nulls, empty and repeated rows are rows like any other; an empty table
-    gives an empty table. Columns named shard or slot are replaced.
+    gives an empty table. Columns named shard or slot are replaced;
+    any other name is free.
     """
     columns = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     marked = rows.select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.expr(f"cast({size or 16} as long)").alias("__size"),
-        F.monotonically_increasing_id().alias("__row"),
+        *hidden(columns),
+        F.expr(f"cast({size or 16} as long)").alias("size"),
+        F.monotonically_increasing_id().alias("row"),
     )
     scattered = materialise(marked, "scattered", "zstd")
-    total = scattered.agg(F.sum("__size")).first()[0] or 0
+    total = scattered.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "__row"), F.lit(buckets)).alias("__bucket")
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(buckets)).alias("bucket")
 
-    counts = scattered.groupBy(bucket).agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     permutations = (
-        counts.repartition("__bucket")
-        .sortWithinPartitions("__bucket")
-        .withColumn("__to", F.shuffle(F.expr("sequence(0L, __n - 1L)"), seed))
-        .drop("__n")
+        _numbered_buckets(scattered.groupBy(bucket).agg(F.count("*").alias("n")))
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .withColumn("to", F.shuffle(F.expr("sequence(0L, n - 1L)"), seed))
+        .drop("n")
     )
-    inside = Window.partitionBy("__bucket").orderBy(F.xxhash64(F.lit(seed + 1), "__row"), "__row")
-    numbered = scattered.select("*", bucket).withColumn("__k", F.row_number().over(inside))
-    place = F.col("__before") + F.element_at("__to", F.col("__k"))
-    return numbered.join(permutations, "__bucket").select(
-        *[F.col(f"`{c}`") for c in columns],
+    inside = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(seed + 1), "row"), "row")
+    numbered = scattered.select("*", bucket).withColumn("k", F.row_number().over(inside))
+    place = F.col("before") + F.element_at("to", F.col("k"))
+    return numbered.join(permutations, "bucket").select(
+        *shown(columns),
         F.pmod(place, F.lit(num_shards)).cast("int").alias("shard"),
         F.floor(place / num_shards).alias("slot"),
     )
 
 
+def _numbered_buckets(counts: DataFrame) -> DataFrame:
+    """(bucket, n, before): rows of the buckets before each. Sums run inside groups of buckets and over groups,
+    so no task sees all buckets of a large table."""
+    group = F.floor(F.col("bucket") / BUCKET_GROUP)
+    counts = counts.withColumn("group", group)
+    earlier = Window.partitionBy("group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.groupBy("group").agg(F.sum("n").alias("all"))
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("group", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
+    return counts.join(groups, "group").select(
+        "bucket", "n", (F.col("base") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("before")
+    )
+
+
 def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
     """Writes the result of :func:`shard` as Parquet: a folder per shard, each file in slot order.
 

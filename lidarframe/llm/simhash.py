@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import materialise, table, text_slices
+from lidarframe.llm.common import hidden, materialise, named, shown, table, text_slices
 from lidarframe.llm.components import connected_components
 
 MAX_BITS = 3
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             found = np.fromiter(map(simhash, texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    rows = docs.select(named(id_column).cast("long").alias("doc_id"), named(text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
@@ -221,18 +221,21 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows of ``docs``, one of each group of near copies: that with the smallest id.
 
-    Of rows that repeat the smallest id one stays: that with the smallest hash of the row. Rows
-    without any id in their group: one stays as well.
+    Of rows that repeat the smallest id the first one read stays. Rows without any id in their group: one
+    stays as well. Column names are free.
     """
     columns = docs.columns
-    marked = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    groups = near_duplicates(marked, "__row", text_column).select(
-        F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")
+    marked = materialise(
+        docs.select(
+            *hidden(columns), named(id_column).alias("id"), named(text_column).alias("text"), F.monotonically_increasing_id().alias("row")
+        ),
+        "rows",
     )
-    ids = marked.select("__row", F.col(id_column).alias("__id")).join(groups, "__row")
-    first = F.min(F.struct(F.isnull("__id").alias("none"), F.col("__id"), F.col("__row"))).alias("first")
-    kept = ids.groupBy("__group").agg(first).select(F.col("first.__row").alias("__row"))
-    return marked.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    groups = near_duplicates(marked, "row", "text").select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    ids = marked.select("row", "id").join(groups, "row")
+    first = F.min(F.struct(F.isnull("id").alias("none"), "id", "row")).alias("first")
+    kept = ids.groupBy("group").agg(first).select(F.col("first.row").alias("row"))
+    return marked.join(kept, "row", "left_semi").select(*shown(columns))
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
