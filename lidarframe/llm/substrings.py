@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lidarframe.llm.common import materialise, table, text_slices
+from lidarframe.llm.common import materialise, named, shown, table, text_slices, with_row_keys
 
 MIN_WORDS = 20
 MIN_LINE_WORDS = 8
@@ -128,22 +128,21 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in text_slices(batches):
-        ranks, rows = part.column("rank").to_pylist(), part.column("__row").to_pylist()
-        digests, rank, row, place = [], [], [], []
-        for who, doc, text in zip(ranks, rows, texts):
+        digests, row, place = [], [], []
+        for doc, text in enumerate(texts):
             if not text:
                 continue
             text = text.decode()
             for k, (a, b, words) in enumerate(units(text)):
                 if words >= SHORT_UNIT:
                     digests.append(digest(text[a:b]))
-                    rank.append(who)
                     row.append(doc)
                     place.append(k)
         if digests:
-            arrays = [pa.array(digests, pa.binary()), pa.array(rank, pa.int64()), pa.array(row, pa.int64())]
+            keys = [part.column(name).take(pa.array(row)) for name in ("rank", "row_file", "row_at")]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(place, pa.int32())], ["digest", "rank", "row", "place"]
+                [pa.array(digests, pa.binary()), *keys, pa.array(place, pa.int32())],
+                ["digest", "rank", "row_file", "row_at", "place"],
             )
 
 
@@ -153,41 +152,42 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     removed_spans (array of start, end in characters of the original text) says what is gone; it is
     empty for texts that stay as they are. Null texts stay null, a text may become empty, no row is dropped. Rows with a
     null id rank last. Repeated rows rank one after the other, so the second loses what the first has.
-    An empty table gives an empty table. A column named removed_spans is replaced. ``docs`` must be a table
-    of files, as its rows are numbered twice.
+    An empty table gives an empty table. A column named removed_spans is replaced, other names are free.
     """
     columns = [c for c in docs.columns if c.lower() != "removed_spans"]
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    rank = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(2**63 - 1)).alias("rank")
-    found = numbered.select(rank, "__row", F.col(f"`{text_column}`").alias("text")).mapInArrow(
-        _unit_rows, "digest binary, rank long, row long, place int"
+    rank = F.coalesce(named(id_column).cast("long"), F.lit(2**63 - 1)).alias("rank")
+    numbered = with_row_keys(docs.select(*map(named, columns)), rank, named(text_column).alias("text"))
+    row = ["row_file", "row_at"]
+    found = numbered.select("rank", *row, "text").mapInArrow(
+        _unit_rows, "digest binary, rank long, row_file long, row_at long, place int"
     )
-    found = materialise(found, "units")
-    at = F.struct("rank", "row", "place")
+    found = materialise(found, "units", "zstd")
+    at = F.struct("rank", *row, "place")
     first = found.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    first = materialise(first, "firsts")  # written, so that AQE can split a frequent digest's rows in the join
+    first = materialise(first, "firsts", "zstd")  # written, so that AQE can split a frequent digest's rows in the join
     later = found.join(first, "digest").where(at != F.col("first"))
-    places = later.groupBy("row").agg(F.collect_list("place").alias("__places")).withColumnRenamed("row", "__row")
-    joined = numbered.select(*[F.col(f"`{c}`") for c in columns], "__row").join(places, "__row", "left").drop("__row")
+    places = later.groupBy(*row).agg(F.collect_list("place").alias("places"))
+    joined = numbered.drop("rank", "text").join(places, row, "left").drop(*row)
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in columns]).schema, T.StructField("removed_spans", spans)])
+    fields = docs.select(*map(named, columns)).schema.fields
+    schema = T.StructType([*(T.StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)), T.StructField("spans", spans)])
     text_at = [c.lower() for c in columns].index(text_column.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches, columns[text_at]):
+        for part, texts in text_slices(batches, f"c{text_at}"):
             new, gone = [], []
-            for text, places_found in zip(texts, part.column("__places").to_pylist()):
+            for text, places_found in zip(texts, part.column("places").to_pylist()):
                 text = None if text is None else text.decode()
                 out = removed_spans(text, set(places_found)) if places_found else []
                 new.append(cut(text, out) if out else text)
                 gone.append([{"start": a, "end": b} for a, b in out])
-            arrays = [part.column(k) for k in range(len(columns))]
+            arrays = [part.column(f"c{k}") for k in range(len(columns))]
             arrays[text_at] = pa.array(new, arrays[text_at].type)
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, kind)], [*columns, "removed_spans"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, kind)], schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).select(*shown(columns), F.col("spans").alias("removed_spans"))
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
