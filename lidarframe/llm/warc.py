@@ -18,16 +18,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lidarframe.llm.common import materialise, new_path, table
+from lidarframe.llm.common import materialise, new_path, table, with_row_keys
 
 MIN_REVISIT_BYTES = 1000
-CAPTURES_PER_FILE = 1000
+# Captures of an archive by the size of their payloads, so that archives stay near 64 MB before packing (or
+# hold one capture): (payloads below so many bytes, captures).
+ARCHIVES = ((1 << 16, 1000), (1 << 22, 16), (None, 1))
 DATE = "2024-01-01T00:00:00Z"
 _END = "\r\n\r\n"
 
 
 def _record_id(kind: str) -> Column:
-    h = F.md5(F.concat_ws("/", F.lit(kind), "page_id", "__row", F.sha1(F.coalesce("url", F.lit("")))).cast("binary"))
+    h = F.md5(F.concat_ws("/", F.lit(kind), "page_id", "row_file", "row_at", F.sha1(F.coalesce("url", F.lit("")))).cast("binary"))
     cut = [h.substr(a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -46,29 +48,34 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT
     Of rows with equal payloads of ``min_revisit_bytes`` or more, that with the largest page_id is the
     response (of repeated rows with that id, one), others are revisits of it. Null html is an empty
     payload, a null url has no WARC-Target-URI, a null page_id an empty page-id, which counts as the smallest.
-    Line ends in urls are escaped. ``pages`` must be a table of files, as its rows are numbered twice.
+    Line ends in urls are escaped. Small, medium and large payloads go to archives of their own
+    (``ARCHIVES``), each in a folder below ``path``; an archive is read by one task. Other columns are not read.
     """
-    rows = pages.select(
+    rows = with_row_keys(
+        pages.select("page_id", "url", "html"),
         F.col("page_id").cast("long").alias("page_id"),
         F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
-        F.monotonically_increasing_id().alias("__row"),
-    ).withColumns({"__bytes": F.octet_length("html").cast("long"), "__sha1": F.sha1(F.col("html").cast("binary"))})
+    ).select("page_id", "url", "html", "row_file", "row_at").withColumns({"__bytes": F.octet_length("html").cast("long"), "__sha1": F.sha1(F.col("html").cast("binary"))})
     large = F.col("__bytes") >= min_revisit_bytes
     stored = (
         rows.where(large)
         .groupBy("__sha1")
-        .agg(F.max(F.struct("page_id", "__row", "url")).alias("first"), F.count("*").alias("__copies"))
+        .agg(F.max(F.struct("page_id", "row_file", "row_at", "url")).alias("first"), F.count("*").alias("__copies"))
         .where("__copies > 1")
         .select(F.col("__sha1").alias("__key"), "first.*")
         .select(
-            "__key", F.col("__row").alias("__first"), _record_id("response").alias("__refers"), F.col("url").alias("__to")
+            "__key",
+            F.struct("row_file", "row_at").alias("__first"),
+            _record_id("response").alias("__refers"),
+            F.col("url").alias("__to"),
         )
     )
     # rows that cannot be revisits get a key of their own instead of meeting under a null
-    keyed = rows.withColumn("__key", F.when(large, F.col("__sha1")).otherwise(F.concat(F.lit("row "), "__row")))
+    alone = F.concat_ws(" ", F.lit("row"), "row_file", "row_at")
+    keyed = rows.withColumn("__key", F.when(large, F.col("__sha1")).otherwise(alone))
     known = keyed.join(stored, "__key", "left")
-    again = F.col("__first").isNotNull() & (F.col("__first") != F.col("__row"))
+    again = F.col("__first").isNotNull() & (F.col("__first") != F.struct("row_file", "row_at"))
     main = F.when(again, _record_id("revisit")).otherwise(_record_id("response"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -112,13 +119,20 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT
         },
         F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\r\n")),
     )
-    (
-        known.select(F.concat_ws(_END, request, response, metadata).alias("value"))
-        .write.option("lineSep", _END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", CAPTURES_PER_FILE)
-        .text(path)
-    )
+    largest = rows.agg(F.max("__bytes")).first()[0] or 0
+    least = 0
+    for below, captures in ARCHIVES:
+        if least <= largest:
+            size = F.col("__bytes") >= least if below is None else F.col("__bytes").between(least, below - 1)
+            (
+                known.where(size)
+                .select(F.concat_ws(_END, request, response, metadata).alias("value"))
+                .write.option("lineSep", _END)
+                .option("compression", "gzip")
+                .option("maxRecordsPerFile", captures)
+                .text(f"{path}/payloads-from-{least}")
+            )
+        least = below or least
 
 
 class _Stream:
