@@ -8,8 +8,8 @@ words on the list. A word followed or preceded by the same neighbour in harmless
 pair an exception phrase; within an exception phrase, a word does not count. A text's score
 is a logistic function of its summed weights and of these per length, fitted on the same sample.
 
-The sample is bounded (``SAMPLE`` labelled rows by a hash of their ids), as are lexicon and phrases;
-everything else is one pass over all texts without a shuffle.
+The sample is bounded (``SAMPLE`` labelled ids by a hash, one text of each); every word and phrase of it that
+passes the test is used. Everything else is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -29,9 +30,6 @@ from pyspark.sql import functions as F
 from lidarframe.llm.common import crc_text, materialise, table, text_slices
 
 SAMPLE = 24_000
-MAX_TERMS = 2_000
-MAX_PHRASES = 2_000
-MAX_TERM_CHARS = 40
 MIN_TEXTS = 3  # toxic texts that hold a term
 CHANCE = 1e-2  # most likely number of words of a sample that are on the list by chance
 THRESHOLD = 0.3
@@ -88,13 +86,14 @@ class Matcher:
             (covered if weight is None else found).append((start, end, weight))
         if not covered or not found:
             return found
-        # both lists are in order of their ends; phrases of the same words are short
+        # Both lists are in order of their ends. Of the phrases that end no sooner than a term, that
+        # with the first start covers it if any does.
+        first = list(accumulate((start for start, _, _ in reversed(covered)), min))[::-1]
         kept, k = [], 0
         for start, end, weight in found:
             while k < len(covered) and covered[k][1] < end:
                 k += 1
-            inside = any(s <= start for s, e, _ in covered[k : k + 8] if e >= end)
-            if not inside:
+            if k == len(covered) or first[k] > start:
                 kept.append((start, end, weight))
         return kept
 
@@ -130,7 +129,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word, toxic, copy = [], [], []
         for text, label in zip(texts, part.column("toxic").to_pylist()):
             words = _WORD.findall(fold(text.decode())) if text else []
-            found = {w for w in words if len(w) <= MAX_TERM_CHARS}
+            found = set(words)
             if found:
                 grams = map(" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [" ".join(words)]
                 least = min(map(xxhash.xxh64_intdigest, grams))
@@ -183,12 +182,12 @@ def learn(
     labels: DataFrame,
     train: Column | None = None,
     sample: int = SAMPLE,
-    max_terms: int = MAX_TERMS,
     phrases: tuple[str, ...] = NOT_TOXIC,
 ) -> Model:
     """A model from texts (doc_id, text) and labels (doc_id, toxic) of the rows that ``train`` admits.
 
-    A text is toxic if any of its label rows says 1; rows without an id or label teach nothing. Without toxic
+    A text is toxic if any of its label rows says 1; rows without an id or label teach nothing. Of rows that repeat a
+    doc_id one text is learned from. Without toxic
     labels, or without others, the model has no terms and scores nothing.
     """
     known = labels.where("doc_id is not null and toxic is not null")
@@ -196,10 +195,13 @@ def learn(
         known = known.where(train)
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))  # of rows that repeat an id, one
     texts = materialise(
         docs.select(F.col("doc_id").alias("id"), "text")
         .join(F.broadcast(known), F.col("id") == F.col("doc_id"))  # at most ``sample`` small rows
-        .select("text", "toxic"),
+        .groupBy("id", "toxic")
+        .agg(one.alias("one"))
+        .select("one.text", "toxic"),
         "labelled",
     )
     words = texts.mapInArrow(_word_rows, "word string, toxic int, copy long").distinct()
@@ -218,7 +220,7 @@ def learn(
     weight = F.log((F.col("t") + 0.5) / (bad + 1.0)) - F.log((F.col("n") + 0.5) / (good + 1.0))
     seen = counts.where(F.col("t") >= MIN_TEXTS).where(rate > 0.5).withColumns({"evidence": evidence, "weight": weight})
     rare = math.log(max(1, counts.count()) / CHANCE)
-    best = seen.where(F.col("evidence") >= rare).orderBy(F.desc("evidence"), "word").limit(max_terms).collect()
+    best = seen.where(F.col("evidence") >= rare).select("word", "weight").collect()
     terms = {r.word: r.weight for r in best}
     exceptions = {fold(p) for p in phrases}
     if terms:
@@ -227,8 +229,7 @@ def learn(
             pairs.groupBy("phrase")
             .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n"))
             .where(f"t = 0 and n >= {MIN_TEXTS}")
-            .orderBy(F.desc("n"), "phrase")
-            .limit(MAX_PHRASES)
+            .select("phrase")
             .collect()
         )
         exceptions |= {r.phrase for r in harmless}
