@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import table, text_slices
+from lidarframe.llm.common import materialise, named, table, text_slices
 
 MEASURES = (
     "n_words",  # runs of anything but ASCII white space
@@ -113,7 +113,7 @@ def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
                 [part.column("doc_id"), *map(pa.array, found.T)], ["doc_id", *MEASURES]
             )
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    rows = docs.select(named(id_column).cast("long").alias("doc_id"), named(text_column).alias("text"))
     measured = rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{m} long" for m in MEASURES)]))
     return measured.withColumn("failed", failed_bits())
 
@@ -150,8 +150,12 @@ def ablations(found: DataFrame, policy: str) -> DataFrame:
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
-    found = ledger(table(spark, sf_dir, "documents"))
-    return found.select(
+    """Verdicts of the policies, and for rows that one rule of v1 alone fails what dropping that rule would keep."""
+    found = materialise(ledger(table(spark, sf_dir, "documents")), "ledger")
+    bits = F.create_map(*[F.lit(x) for rule in POLICIES["v1"] for x in (rule, mask((rule,)))])
+    costs = ablations(found, "v1").select(bits[F.col("rule")].alias("bit"), "failing_alone")
+    applied = F.col("failed").bitwiseAND(F.lit(mask(POLICIES["v1"])))
+    return found.join(F.broadcast(costs), applied == F.col("bit"), "left").select(  # a row for each rule
         "doc_id",
         "n_words",
         "word_chars",
@@ -161,6 +165,7 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
         (~passes("base")).alias("base_failed"),
         passes("v1").alias("kept"),
         "failed",
+        F.col("failing_alone").alias("kept_without_rule"),
     )
 
 
@@ -192,5 +197,6 @@ b AS (
     + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
     + (CASE WHEN 10 * n_upper > 3 * n_words THEN 64 ELSE 0 END) AS failed FROM k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (failed & 3) <> 0 AS base_failed, (failed & 119) = 0 AS kept, failed::INTEGER AS failed FROM b
+  (failed & 3) <> 0 AS base_failed, (failed & 119) = 0 AS kept, failed::INTEGER AS failed,
+  CASE WHEN bit_count(failed & 119) = 1 THEN count(*) OVER (PARTITION BY failed & 119) END AS kept_without_rule FROM b
 """
