@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lidarframe.operators.predicates import box_tree, column_names, split_by_columns
 from lidarframe.operators.tables import (
     LITERAL,
     Paths,
+    kinds,
     path_options,
     read_headers,
     read_las,
     sql_words,
 )
+from lidarframe.sources.boxes import ASTRIDE, INSIDE, decidable
 from lidarframe.sources.files import partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_FORMATS
 
 _EXTREME = r"\b(?P<fn>min|max)\s*\(\s*`?(?P<axis>[xyz])`?\s*\)"
 _COUNT = r"\bcount\s*\(\s*(?:(?P<all>\*|1)|`?(?P<column>\w+)`?)\s*\)"
+_NAME = re.compile(r"\w+")
 _ANSWERABLE = re.compile(f"(?P<literal>{LITERAL})|{_EXTREME}|{_COUNT}", re.IGNORECASE)
 
 
@@ -38,28 +44,50 @@ def las_agg(
 ) -> DataFrame:
     """Aggregate LAS files; ``aggs`` maps result names to SQL text, e.g. ``{"dx": "max(x)-min(x)"}``.
 
-    Without ``where`` and ``filters`` (see ``read_las``), if groups are k=v folder columns or ``_path``
-    and all results are made of min/max of x, y, z, count(*) and count(column), file headers give the
-    answer and no point is read. Anything else, or ``verify=True``, scans the points with just the columns the texts
-    mention. Both ways give the same result as long as headers tell the truth (see ``las_audit``).
+    If groups are k=v folder columns or ``_path`` and all results are made of min/max of x, y, z, count(*)
+    and count(column), file headers give the answer. A ``where`` on folder columns picks files; one on x, y, z
+    splits them by their bounds: files wholly inside are answered from their headers, those
+    outside are left out, and only points of files astride are read and tested. Anything else, ``filters`` (see
+    ``read_las``) or ``verify=True`` scans the points with just the columns the texts
+    mention. All ways give the same result as long as headers tell the truth (see ``las_audit``).
     """
     if not aggs:
         raise ValueError("no aggregates given")
     group_by = [group_by] if isinstance(group_by, str) else list(group_by)
-    if not (where or filters or verify) and _named_by_folders(path, group_by, options):
-        plan = header_plan(spark, aggs)
-        if plan is not None:
-            return _from_headers(spark, path, plan, group_by, options)
-    return _from_points(spark, path, aggs, where, group_by, {"filters": filters, **options})
-
-
-def _named_by_folders(path, group_by: Sequence[str], options: dict) -> bool:
+    if filters or verify:
+        return _from_points(spark, path, aggs, where, group_by, {"filters": filters, **options})
+    plan = header_plan(spark, aggs)
+    if plan is None or not all(_NAME.fullmatch(g) for g in group_by):
+        return _from_points(spark, path, aggs, where, group_by, options)
+    folders = partition_fields(path_options(path, options)) if where or set(group_by) - {PATH_COLUMN} else []
+    if not _named_by_folders(folders, group_by):
+        return _from_points(spark, path, aggs, where, group_by, options)
+    if not where:
+        return _from_totals(_header_totals(spark, path, plan, group_by, options), plan, group_by)
+    own, others = split_by_columns(spark, where, folders)
+    if own and _clashes(folders):
+        own, others = [], [where]
+    if not others:
+        return _from_totals(_header_totals(spark, path, plan, group_by, options, own), plan, group_by)
+    tree = box_tree(spark, " AND ".join(f"({t})" for t in others), folders, **kinds(options))
+    inside, outside = decidable(tree)
+    box = {**options, "box": json.dumps(tree)}
+    if not inside:  # the predicate needs points of every file, but of those outside
+        return _from_points(spark, path, aggs, where, group_by, box if outside else options)
+    astride = _point_totals(spark, path, plan, where, group_by, {**box, "boxFiles": ASTRIDE})
+    whole = _header_totals(spark, path, plan, group_by, {**box, "boxFiles": INSIDE}, own)
+    return _from_totals(whole.unionByName(astride), plan, group_by)
+
+
+def _named_by_folders(folders: Sequence[T.StructField], group_by: Sequence[str]) -> bool:
     """Whether all groups are values that each file has as a whole."""
     if not set(group_by) - {PATH_COLUMN}:
         return True
-    folders = {f.name for f in partition_fields(path_options(path, options))}
-    clash = {f.lower() for f in folders} & {PATH_COLUMN, *HEADER_SCHEMA.fieldNames()}
-    return not clash and set(group_by) <= {*folders, PATH_COLUMN}
+    return not _clashes(folders) and set(group_by) <= {*(f.name for f in folders), PATH_COLUMN}
+
+
+def _clashes(folders: Sequence[T.StructField]) -> bool:
+    return bool({f.name.lower() for f in folders} & {PATH_COLUMN, *HEADER_SCHEMA.fieldNames()})
 
 
 def header_plan(spark: SparkSession, aggs: Mapping[str, str]) -> dict[str, str] | None:
@@ -104,9 +132,15 @@ def _total_type(name: str) -> str:
     return "bigint" if name.startswith("__count") else "double"
 
 
-def _total(name: str, null_missing: bool) -> str:
+def _totals(plan: Mapping[str, str]) -> list[str]:
+    """Totals that a plan needs; one at least, as a projection of literals alone must give one row, not one per file."""
+    return _totals_in(plan) or ["__count"]
+
+
+def _header_total(name: str, null_missing: bool) -> str:
+    """SQL of a file's part of a total."""
     if name == "__count":
-        return f"coalesce(sum(point_count), 0) AS {name}"
+        return f"point_count AS {name}"
     if name.startswith("__count_"):
         column = name.removeprefix("__count_")
         formats = [f for f, names in POINT_FORMATS.items() if column in names]
@@ -114,35 +148,60 @@ def _total(name: str, null_missing: bool) -> str:
         if len(formats) < len(POINT_FORMATS):
             # the scan fails on a file without the column, so this way must not answer either
             problem = f"concat(path, ': point format has no column {column}')"
-            other = "NULL" if null_missing else f"CAST(raise_error({problem}) AS BIGINT)"
+            other = "0L" if null_missing else f"CAST(raise_error({problem}) AS BIGINT)"
             listed = ", ".join(map(str, formats))
             held = f"CASE WHEN point_format IN ({listed}) THEN point_count ELSE {other} END"
-        return f"coalesce(sum({held}), 0) AS {name}"
-    kind, axis = name[2:5], name[-1]
-    return f"{kind}({kind}_{axis}) AS {name}"
+        return f"{held} AS {name}"
+    return f"{name.removeprefix('__')} AS {name}"
 
 
-def _from_headers(spark, path, plan: Mapping[str, str], group_by: Sequence[str], options: dict) -> DataFrame:
+def _header_totals(spark, path, plan, group_by: Sequence[str], options: dict, where: Sequence[str] = ()) -> DataFrame:
+    """Groups and totals of each file whose folders pass ``where``."""
     null_missing = str(options.get("missingColumns", "")).lower() == "null"
-    # one total is always taken: a projection of literals alone must give one row, not one per file
-    names = _totals_in(plan) or ["__count"]
+    names = _totals(plan)
     columns = ["path", "point_format", "point_count"]
     columns += [n.removeprefix("__") for n in names if not n.startswith("__count")]
+    narrow = None if where or set(group_by) - {PATH_COLUMN} else columns
     # files without points carry meaningless bounds
-    narrow = None if set(group_by) - {PATH_COLUMN} else columns
     headers = read_headers(spark, path, narrow, **options).where("point_count > 0")
+    for text in where:
+        headers = headers.where(text)
     keys = [F.col("path").alias(g) if g == PATH_COLUMN else F.col(f"`{g}`") for g in group_by]
-    totals = headers.groupBy(*keys).agg(*[F.expr(_total(n, null_missing)) for n in names])
+    return headers.select(*keys, *[F.expr(_header_total(n, null_missing)) for n in names])
+
+
+def _point_totals(spark, path, plan, where: str, group_by: Sequence[str], options: dict) -> DataFrame:
+    """Groups and totals of the points that pass ``where``, in at most one row for each group."""
+    names = _totals(plan)
+    counted = [n.removeprefix("__count_") for n in names if n.startswith("__count_")]
+    needed = [*counted, *[n[-1] for n in names if not n.startswith("__count")], *group_by]
+    texts = {
+        n: "count(*)" if n == "__count"
+        else f"count({n.removeprefix('__count_')})" if n.startswith("__count_")
+        else f"{n[2:5]}({n[-1]})"
+        for n in names
+    }
+    points = read_las(spark, path, list(dict.fromkeys(needed)), where=where, **options)
+    found = points.groupBy(*[F.col(f"`{g}`") for g in group_by]).agg(*[F.expr(t).alias(n) for n, t in texts.items()])
+    return found
+
+
+def _from_totals(totals: DataFrame, plan: Mapping[str, str], group_by: Sequence[str]) -> DataFrame:
+    sums = [
+        F.coalesce(F.sum(n), F.lit(0)).alias(n) if n.startswith("__count") else F.expr(f"{n[2:5]}({n}) AS {n}")
+        for n in _totals(plan)
+    ]
+    found = totals.groupBy(*[F.col(f"`{g}`") for g in group_by]).agg(*sums)
     results = [F.expr(text).alias(name) for name, text in plan.items()]
-    return totals.select(*[F.col(f"`{g}`") for g in group_by], *results)
+    return found.select(*[F.col(f"`{g}`") for g in group_by], *results)
 
 
 def _from_points(spark, path, aggs, where, group_by, options) -> DataFrame:
-    words = sql_words([*aggs.values(), where or "", *group_by])
-    columns = [a for a in (*ATTRIBUTES, PATH_COLUMN) if a in words]
-    if words - set(ATTRIBUTES):
+    names = {n.lower() for n in column_names(spark, [*aggs.values(), *([where] if where else []), *group_by])}
+    columns = [a for a in (*ATTRIBUTES, PATH_COLUMN) if a in names]
+    if names - {*ATTRIBUTES, PATH_COLUMN}:
         folders = partition_fields(path_options(path, options))
-        columns += [f.name for f in folders if f.name.lower() in words]
+        columns += [f.name for f in folders if f.name.lower() in names]
     points = read_las(spark, path, columns, where=where or None, **options)
     results = [F.expr(text).alias(name) for name, text in aggs.items()]
     return points.groupBy(*[F.expr(g) for g in group_by]).agg(*results)

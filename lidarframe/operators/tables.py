@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lidarframe.functions.curves import hilbert_key
 from lidarframe.functions.fields import point_schema
+from lidarframe.operators.predicates import box_tree, split_by_columns
 from lidarframe.operators.session import register
-from lidarframe.sources.files import list_files, partition_fields
+from lidarframe.sources.files import flag, list_files, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN
 
@@ -32,19 +33,23 @@ def path_options(path: Paths, options: dict) -> dict:
     return {**options, **base}
 
 
+def kinds(options: dict) -> dict[str, bool]:
+    """The options that decide the types of point attributes."""
+    return {name: flag(options, name) for name in ("unsigned", "strict")}
+
+
 def load(reader, path: Paths) -> DataFrame:
     return reader.load(path if isinstance(path, str) else list(path))
 
 
 def declared_schema(path: Paths, columns: Sequence[str], options: dict) -> T.StructType:
     """Schema of point attributes, k=v folder columns and ``_path``, in the given order."""
-    unsigned, strict = (str(options.get(o, "")).lower() == "true" for o in ("unsigned", "strict"))
     nullable = str(options.get("missingColumns", "")).lower() == "null"
     folders: dict[str, T.StructField] | None = None
     schema = T.StructType()
     for name in columns:
         if name in ATTRIBUTES:
-            schema = schema.add(point_schema(name, unsigned=unsigned, strict=strict, nullable=nullable)[0])
+            schema = schema.add(point_schema(name, **kinds(options), nullable=nullable)[0])
         elif name == PATH_COLUMN:
             schema = schema.add(PATH_COLUMN, T.StringType(), False)
         else:
@@ -61,17 +66,6 @@ def sql_words(texts: Iterable[str]) -> set[str]:
     return {w.lower() for t in texts for w in re.findall(r"[A-Za-z_]\w*", re.sub(LITERAL, " ", t))}
 
 
-def _conjuncts(spark: SparkSession, where: str) -> Iterator[str]:
-    """The conditions that a predicate joins by AND, as Spark's own parser sees them."""
-    left = [spark._jsparkSession.sessionState().sqlParser().parseExpression(where)]
-    while left:
-        part = left.pop()
-        if part.getClass().getSimpleName() == "And":
-            left += [part.right(), part.left()]
-        else:
-            yield part.sql()
-
-
 def passing_folders(
     spark: SparkSession, path: Paths, where: str, fields: Sequence[T.StructField], options: dict
 ) -> list | None:
@@ -80,15 +74,7 @@ def passing_folders(
     Spark decides which conditions use nothing but folder columns and evaluates these on one row for
     each combination that the listing shows.
     """
-    none = spark.createDataFrame([], T.StructType(list(fields)))
-    conditions = []
-    for text in _conjuncts(spark, where):
-        try:
-            plan = none.where(text)._jdf.queryExecution().analyzed()
-        except AnalysisException:
-            continue
-        if plan.deterministic():
-            conditions.append(text)
+    conditions, _ = split_by_columns(spark, where, fields)
     if not conditions:
         return None
     found = list(dict.fromkeys(f.keys for f in list_files(path_options(path, options))))
@@ -115,7 +101,8 @@ def read_las(
     has no columns and one row per point. ``filters`` such as ``[("x", ">", 500.0),
     ("day", "in", [1, 2])]`` must all hold; they skip k=v folders and drop points before these
     enter Spark. ``where`` is an SQL predicate, which may use attributes that are not among ``columns``;
-    folders whose k=v columns rule it out are not opened. Options are those of ``format("las")``.
+    folders whose k=v columns rule it out are not opened, nor, with ``trustBounds``, the points of files whose
+    bounds do. Options are those of ``format("las")``.
     """
     register(spark)
     if where is not None:
@@ -127,6 +114,8 @@ def read_las(
         words = sql_words([where])
         used = [n for n in (*ATTRIBUTES, PATH_COLUMN, *[f.name for f in fields]) if n.lower() in words]
         read = list(dict.fromkeys([*wanted, *used]))
+        if flag(options, "trustBounds") and "box" not in options:
+            options["box"] = json.dumps(box_tree(spark, where, fields, **kinds(options)))
         points = read_las(spark, path, read, filters, **options).where(where)
         return points.select(*[F.col(f"`{n}`") for n in wanted])
     options = source_options(spark, options)
@@ -166,6 +155,7 @@ def write_las(
     *,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    curve_by: Sequence[str] = (),
     num_partitions: int | None = None,
     **options,
 ) -> None:
@@ -174,7 +164,9 @@ def write_las(
     ``partition_by`` puts rows into k=v folders; rows are sorted by it inside each task, never
     shuffled by it, so one frequent value cannot overload a task. ``cluster_by`` (say x, y)
     range-partitions first, which keeps the bounds in the file headers tight; a hash of the whole
-    row breaks ties, so points that share one place still spread.
+    row breaks ties, so points that share one place still spread. ``curve_by`` (one to four columns) does so
+    along a Hilbert curve over them: files get compact boxes that hardly overlap, where ``cluster_by`` gives strips
+    across all of the second column. It reads ``df`` twice more: for the columns' ends and for Spark's sample of keys.
     """
     register(df.sparkSession)
     if mode not in ("error", "errorifexists", "ignore", "append", "overwrite"):
@@ -189,7 +181,13 @@ def write_las(
         if present:
             raise FileExistsError(f"{path} already holds files; use mode append or overwrite")
         mode = "append"
-    if cluster_by:
+    if cluster_by and curve_by:
+        raise ValueError("give cluster_by or curve_by")
+    if curve_by:
+        keyed = df.withColumn("__key", hilbert_key(df, curve_by))
+        order = [F.col("__key"), F.xxhash64(*df.columns)]
+        df = keyed.repartitionByRange(*([num_partitions] if num_partitions else []), *order).drop("__key")
+    elif cluster_by:
         order = [F.col(c) for c in cluster_by] + [F.xxhash64(*df.columns)]
         df = df.repartitionByRange(*([num_partitions] if num_partitions else []), *order)
     elif num_partitions:

@@ -141,6 +141,35 @@ def las_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return widened(read_las(spark, path, POINT_FORMATS[1]))
 
 
+def las_write_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return widened(read_las(spark, fixtures.curve_las(spark, sf_dir), POINT_FORMATS[1]))
+
+
+BOX = "x > 20000 AND NOT (x > 60000 OR y <= 10) AND z < 0.2"
+
+
+def hdr_box_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds and count in a box: headers of files inside, points of files astride."""
+    aggs = {**BOUNDS, "points": "count(*)", "timed": "count(gps_time)", "width": "max(x) - min(x)"}
+    return las_agg(spark, fixtures.curve_las(spark, sf_dir), aggs, where=BOX)
+
+
+FOLDERS = "event_type LIKE 'p%' OR event_type IN ('view', 'click')"
+
+
+def hdr_where_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate on folders alone: no points are read."""
+    aggs = {"points": "count(*)", "min_y": "min(y)", "max_x": "max(x)"}
+    return las_agg(spark, fixtures.events_las(spark, sf_dir), aggs, where=FOLDERS, group_by=["event_type"])
+
+
+def hdr_box_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate on folders and coordinates, by folder."""
+    aggs = {"points": "count(x)", "min_x": "min(x)", "max_z": "max(z)"}
+    path = fixtures.events_las(spark, sf_dir)
+    return las_agg(spark, path, aggs, where=f"({FOLDERS}) AND x >= 10 AND z BETWEEN -5 AND 2000", group_by=["event_type"])
+
+
 def las_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         points = fixtures.lineitem_points(spark, sf_dir, 2)
@@ -265,6 +294,7 @@ def queries() -> dict[str, Query]:
             "las_sql_view": las_sql_view,
             "las_stream_ingest": las_stream_ingest,
             "las_write_roundtrip": las_write_roundtrip,
+            "las_write_curve": las_write_curve,
             "las_unsigned": las_unsigned,
             "las_strict": las_strict,
             "las_column_pruning": las_column_pruning,
@@ -300,6 +330,9 @@ def queries() -> dict[str, Query]:
                 }
             ),
             "hdr_group_folder": hdr_group_folder,
+            "hdr_box_agg": hdr_box_agg,
+            "hdr_where_folder": hdr_where_folder,
+            "hdr_box_folder": hdr_box_folder,
             "las_where_folder": las_where_folder,
             "hdr_after_cache": hdr_after_cache,
             "las_headers": las_headers,
@@ -405,6 +438,7 @@ def oracle_sql() -> dict[str, str]:
             "las_sql_view": f"SELECT count(*) AS points, max(x) AS max_x FROM {p}",
             "las_stream_ingest": f"SELECT count(*) AS points, {sums} FROM ({both}) AS b",
             "las_write_roundtrip": lineitem_sql(*POINT_FORMATS[1]),
+            "las_write_curve": lineitem_sql(*POINT_FORMATS[1]),
             "las_unsigned": f"SELECT {LINEITEM_SQL['x']} AS x, CAST(l_partkey % 32768 + 32768 AS BIGINT) AS "
             f"intensity, CAST({LINEITEM_SQL['classification']} + 200 AS BIGINT) AS classification, "
             "CAST(l_orderkey % 32768 AS BIGINT) AS r FROM lineitem",
@@ -431,6 +465,12 @@ def oracle_sql() -> dict[str, str]:
             f"count(DISTINCT y) AS distinct_y, count(*) AS points FROM {p}",
             "hdr_group_folder": f"SELECT event_type, count(*) AS points, min({EVENT_SQL['x']}) AS min_x, "
             f"max({EVENT_SQL['x']}) AS max_x FROM events GROUP BY event_type",
+            "hdr_box_agg": f"SELECT {bounds}, count(*) AS points, count(*) AS timed, max(x) - min(x) AS width FROM {p} WHERE {BOX}",
+            "hdr_where_folder": f"SELECT event_type, count(*) AS points, min({EVENT_SQL['y']}) AS min_y, "
+            f"max({EVENT_SQL['x']}) AS max_x FROM events WHERE {FOLDERS} GROUP BY event_type",
+            "hdr_box_folder": f"SELECT event_type, count(*) AS points, min(x) AS min_x, max(z) AS max_z FROM (SELECT event_type, "
+            f"{columns_sql(EVENT_SQL, COORDINATES)} FROM events) AS e WHERE ({FOLDERS}) AND x >= 10 AND z BETWEEN -5 AND 2000 "
+            "GROUP BY event_type",
             "las_where_folder": f"SELECT x, CAST(classification AS BIGINT) AS classification FROM (SELECT event_type, "
             f"{columns_sql(EVENT_SQL, ['x', 'y', 'classification'])} FROM events) AS e "
             "WHERE event_type LIKE 'p%' AND x > 10 AND y >= 1",

@@ -55,6 +55,7 @@ EVENT_POINTS = {
 
 POINTS_PER_FILE = 1_000_000
 TILES = 12
+CURVE_FILES = 48
 _written: dict[tuple, str] = {}
 
 
@@ -123,6 +124,17 @@ def tiles_las(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "tiles", write)
 
 
+def curve_las(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem in 48 files along a Hilbert curve over x and y."""
+    points = lineitem_points(spark, sf_dir, 1)
+    return once(
+        spark,
+        sf_dir,
+        "curve",
+        lambda path: write_las(points, path, curve_by=["x", "y"], num_partitions=CURVE_FILES, pointFormat=1, maxPointsPerFile=POINTS_PER_FILE),
+    )
+
+
 def events_las(spark: SparkSession, sf_dir: str) -> str:
     """Events in one folder per event type."""
     points = event_points(spark, sf_dir, "event_type")

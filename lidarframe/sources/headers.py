@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lidarframe.sources.boxes import Box
 from lidarframe.sources.files import (
     ByteRange,
     FileEntry,
@@ -80,6 +81,7 @@ class HeaderReader(DataSourceReader):
         if bad_files not in ("fail", "keep"):
             raise ValueError(f"badFiles must be 'fail' or 'keep', not {bad_files!r}")
         self.keep_bad = bad_files == "keep"
+        self.box = Box(options)
 
     def partitions(self) -> list[FilePartition]:
         return chunk_files(list_files(self.options), self.options)
@@ -87,7 +89,7 @@ class HeaderReader(DataSourceReader):
     def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return
-        rows = [self._row(file, head) for file, head in _read_heads(partition.files)]
+        rows = [row for file, head in _read_heads(partition.files) if (row := self._row(file, head))]
         columns = {f.name: [row.get(f.name) for row in rows] for f in self.arrow_schema}
         arrays = []
         for field in self.arrow_schema:
@@ -95,9 +97,12 @@ class HeaderReader(DataSourceReader):
             arrays.append(array if array.type == field.type else array.cast(field.type))
         yield pa.RecordBatch.from_arrays(arrays, schema=self.arrow_schema)
 
-    def _row(self, file: FileEntry, head: bytes) -> dict:
+    def _row(self, file: FileEntry, head: bytes) -> dict | None:
+        """None for a file that the option ``box`` leaves out."""
         try:
             header = parse_header(head, file.name)
+            if not self.box.takes(header):
+                return None
             short = self.keep_bad and header.end > file.size
             return header_row(file, header, "points end behind the end of the file" if short else None)
         except LasFormatError as e:

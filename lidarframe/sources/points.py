@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_type
 
+from lidarframe.sources.boxes import Box
 from lidarframe.sources.files import (
     ByteRange,
     FileEntry,
@@ -93,6 +94,7 @@ class PointRanges:
         self.folders = json.loads(folders) if folders else None
         if self.folders is not None:
             self.folders = {tuple(tuple(pair) for pair in keys) for keys in self.folders}
+        self.box = Box(options)
         self.filters = parse_filters(options.get("filters"))
         self.tested = list(dict.fromkeys(name for name, _, _ in self.filters))
         # type in which a filter sees a column: as declared, else as by default
@@ -178,6 +180,8 @@ class PointRanges:
         filters = [f for f in self.filters if f[0] in ATTRIBUTES]
         if any(not codec.has(n) for n in tested):
             return  # a comparison with null never holds
+        if not self.box.takes(header):
+            return
         if self.trust_bounds and not all(_within_bounds(f, header) for f in filters):
             return
         decoded = list(dict.fromkeys(wanted + tested))
