@@ -4,6 +4,7 @@ from lidarframe.functions.fields import format_schema, point_schema
 from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
+from lidarframe.operators.header_index import header_index, refresh_header_index
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.streaming.files import stream_las
@@ -12,12 +13,14 @@ __all__ = [
     "decode_points",
     "encode_points",
     "format_schema",
+    "header_index",
     "las_agg",
     "las_audit",
     "las_view",
     "point_schema",
     "read_headers",
     "read_las",
+    "refresh_header_index",
     "register",
     "stream_las",
     "write_las",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lidarframe.operators.header_index import indexed_headers
 from lidarframe.operators.predicates import box_tree, column_names, split_by_columns
 from lidarframe.operators.tables import (
     LITERAL,
@@ -40,6 +41,7 @@ def las_agg(
     group_by: Sequence[str] = (),
     verify: bool = False,
     filters: Sequence[tuple[str, str, object]] = (),
+    index: str | None = None,
     **options,
 ) -> DataFrame:
     """Aggregate LAS files; ``aggs`` maps result names to SQL text, e.g. ``{"dx": "max(x)-min(x)"}``.
@@ -49,7 +51,8 @@ def las_agg(
     splits them by their bounds: files wholly inside are answered from their headers, those
     outside are left out, and only points of files astride are read and tested. Anything else, ``filters`` (see
     ``read_las``) or ``verify=True`` scans the points with just the columns the texts
-    mention. All ways give the same result as long as headers tell the truth (see ``las_audit``).
+    mention. With ``index`` headers come from that index, which is refreshed first (see ``refresh_header_index``); files inside
+    or outside are then not opened at all. All ways give the same result as long as headers tell the truth (see ``las_audit``).
     """
     if not aggs:
         raise ValueError("no aggregates given")
@@ -57,6 +60,8 @@ def las_agg(
     if filters or verify:
         return _from_points(spark, path, aggs, where, group_by, {"filters": filters, **options})
     plan = header_plan(spark, aggs)
+    if index:
+        options = {**options, "index": index}
     if plan is None or not all(_NAME.fullmatch(g) for g in group_by):
         return _from_points(spark, path, aggs, where, group_by, options)
     folders = partition_fields(path_options(path, options)) if where or set(group_by) - {PATH_COLUMN} else []
@@ -74,8 +79,8 @@ def las_agg(
     box = {**options, "box": json.dumps(tree)}
     if not inside:  # the predicate needs points of every file, but of those outside
         return _from_points(spark, path, aggs, where, group_by, box if outside else options)
-    astride = _point_totals(spark, path, plan, where, group_by, {**box, "boxFiles": ASTRIDE})
     whole = _header_totals(spark, path, plan, group_by, {**box, "boxFiles": INSIDE}, own)
+    astride = _point_totals(spark, path, plan, where, group_by, {**box, "boxFiles": ASTRIDE})
     return _from_totals(whole.unionByName(astride), plan, group_by)
 
 
@@ -163,7 +168,8 @@ def _header_totals(spark, path, plan, group_by: Sequence[str], options: dict, wh
     columns += [n.removeprefix("__") for n in names if not n.startswith("__count")]
     narrow = None if where or set(group_by) - {PATH_COLUMN} else columns
     # files without points carry meaningless bounds
-    headers = read_headers(spark, path, narrow, **options).where("point_count > 0")
+    headers = (indexed_headers if "index" in options else read_headers)(spark, path, columns=narrow, **options)
+    headers = headers.where("point_count > 0")
     for text in where:
         headers = headers.where(text)
     keys = [F.col("path").alias(g) if g == PATH_COLUMN else F.col(f"`{g}`") for g in group_by]

@@ -13,21 +13,21 @@ from weakref import WeakSet
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
-from lidarframe.sources.headers import LasHeaderSource, LasRangeStatsSource
+from lidarframe.sources.headers import LasFileSource, LasHeaderSource, LasRangeStatsSource
 from lidarframe.sources.points import LasDataSource
 
 _registered: WeakSet[SparkSession] = WeakSet()
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``las``, ``las_headers`` and ``las_range_stats`` known; safe to call again.
+    """Make ``las``, ``las_files``, ``las_headers`` and ``las_range_stats`` known; safe to call again.
 
     Ships this package to the Python workers, which run the sources.
     """
     if spark in _registered:
         return
     _ship_package(spark)
-    for source in (LasDataSource, LasHeaderSource, LasRangeStatsSource):
+    for source in (LasDataSource, LasFileSource, LasHeaderSource, LasRangeStatsSource):
         spark.dataSource.register(source)
     _registered.add(spark)
 

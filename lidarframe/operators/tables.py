@@ -93,6 +93,7 @@ def read_las(
     columns: Sequence[str] | None = None,
     filters: Sequence[tuple[str, str, object]] = (),
     where: str | None = None,
+    index: str | None = None,
     **options,
 ) -> DataFrame:
     """Points of LAS files; only the named columns are decoded.
@@ -102,9 +103,14 @@ def read_las(
     ("day", "in", [1, 2])]`` must all hold; they skip k=v folders and drop points before these
     enter Spark. ``where`` is an SQL predicate, which may use attributes that are not among ``columns``;
     folders whose k=v columns rule it out are not opened, nor, with ``trustBounds``, the points of files whose
-    bounds do. Options are those of ``format("las")``.
+    bounds do. ``index`` names a header index (see ``refresh_header_index``): with ``trustBounds`` such files are not
+    even opened. Options are those of ``format("las")``.
     """
     register(spark)
+    if index:
+        from lidarframe.operators.header_index import index_option
+
+        options = {**options, **index_option(index)}
     if where is not None:
         fields = partition_fields(path_options(path, options))
         folders = passing_folders(spark, path, where, fields, options) if fields else None

@@ -11,6 +11,7 @@ from lidarframe.functions.fields import format_schema, point_schema
 from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
+from lidarframe.operators.header_index import refresh_header_index
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.plans import fixtures
@@ -154,6 +155,12 @@ def hdr_box_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return las_agg(spark, fixtures.curve_las(spark, sf_dir), aggs, where=BOX)
 
 
+def hdr_index_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kept index after two drops and a replacement of files answers like the headers that are there."""
+    path, index = fixtures.index_drops(spark, sf_dir, lambda tiles, index: refresh_header_index(spark, tiles, index))
+    return las_agg(spark, path, {**BOUNDS, "points": "count(*)"}, index=index)
+
+
 FOLDERS = "event_type LIKE 'p%' OR event_type IN ('view', 'click')"
 
 
@@ -332,6 +339,7 @@ def queries() -> dict[str, Query]:
             "hdr_group_folder": hdr_group_folder,
             "hdr_box_agg": hdr_box_agg,
             "hdr_where_folder": hdr_where_folder,
+            "hdr_index_refresh": hdr_index_refresh,
             "hdr_box_folder": hdr_box_folder,
             "las_where_folder": las_where_folder,
             "hdr_after_cache": hdr_after_cache,
@@ -466,6 +474,8 @@ def oracle_sql() -> dict[str, str]:
             "hdr_group_folder": f"SELECT event_type, count(*) AS points, min({EVENT_SQL['x']}) AS min_x, "
             f"max({EVENT_SQL['x']}) AS max_x FROM events GROUP BY event_type",
             "hdr_box_agg": f"SELECT {bounds}, count(*) AS points, count(*) AS timed, max(x) - min(x) AS width FROM {p} WHERE {BOX}",
+            "hdr_index_refresh": f"SELECT {bounds}, count(*) AS points FROM (SELECT l_returnflag, "
+            f"{columns_sql(LINEITEM_SQL, COORDINATES)} FROM lineitem) AS f WHERE l_returnflag <> 'N'",
             "hdr_where_folder": f"SELECT event_type, count(*) AS points, min({EVENT_SQL['y']}) AS min_y, "
             f"max({EVENT_SQL['x']}) AS max_x FROM events WHERE {FOLDERS} GROUP BY event_type",
             "hdr_box_folder": f"SELECT event_type, count(*) AS points, min(x) AS min_x, max(z) AS max_z FROM (SELECT event_type, "

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lidarframe.functions.records import encode_points
 from lidarframe.operators.tables import write_las
-from lidarframe.sources.files import filesystem
+from lidarframe.sources.files import filesystem, list_files
 from lidarframe.sources.layouts import POINT_FORMATS, pack_header
 from lidarframe.sources.writer import codec_from_options
 
@@ -169,6 +169,29 @@ def flagged_las(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def index_drops(spark: SparkSession, sf_dir: str, refresh: Callable[[str, str], object]) -> tuple[str, str]:
+    """Folder and header index: lineitem's flag A, later N, then R in place of one of N's files; refreshed after each."""
+
+    def write(path: str) -> None:
+        def drop(flag: str, folder: str) -> None:
+            points = lineitem_points(spark, sf_dir, 1, "l_returnflag as flag").where(f"flag = '{flag}'").drop("flag")
+            write_las(points, folder, "append", num_partitions=3, pointFormat=1)
+            refresh(f"{path}/tiles", f"{path}/index")
+
+        fs, inner = filesystem(path)
+        drop("A", f"{path}/tiles/a")
+        drop("N", f"{path}/tiles/n")
+        drop("R", f"{path}/r")
+        # the files of N are replaced by those of R, under the names of N's
+        old, new = (sorted(f.path for f in list_files({"path": f"{path}/{p}"})) for p in ("tiles/n", "r"))
+        for a, b in zip(old, new, strict=True):
+            fs.move(b, a)
+        refresh(f"{path}/tiles", f"{path}/index")
+
+    path = once(spark, sf_dir, "index", write)
+    return f"{path}/tiles", f"{path}/index"
+
+
 def packed_lineitem(spark: SparkSession, sf_dir: str) -> str:
     """A parquet table with one packed point record per lineitem row."""
     points = lineitem_points(spark, sf_dir, 1, "l_orderkey")

@@ -56,9 +56,59 @@ STATS_SCHEMA = T.StructType(
     + [T.StructField("scanned_points", T.LongType())]
     + [T.StructField(f"scanned_{m}_{c}", T.DoubleType()) for c in COORDINATES for m in ("min", "max")]
 )
+# A listed file: what ``las_files`` gives, and what an index of headers is kept by
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("file_length", T.LongType(), False),
+        T.StructField("modified_ns", T.LongType(), False),
+        T.StructField("root", T.StringType(), False),
+        T.StructField("inner", T.StringType(), False),
+        T.StructField("keys", T.MapType(T.StringType(), T.StringType()), False),
+    ]
+)
 HEADER_THREADS = 16
 
 
+class LasFileSource(DataSource):
+    """One row per file, none of which is opened."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "las_files"
+
+    def schema(self) -> T.StructType:
+        return FILE_SCHEMA
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return FileReader(self.options)
+
+
+class FileReader(DataSourceReader):
+    def __init__(self, options):
+        self.options = options
+
+    def partitions(self) -> list[FilePartition]:
+        return chunk_files(list_files(self.options), self.options)
+
+    def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
+        rows = [
+            {"path": f.name, "file_length": f.size, "modified_ns": f.mtime_ns, "root": f.root, "inner": f.path, "keys": f.keys}
+            for f in (partition.files if partition else [])
+        ]
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=to_arrow_schema(FILE_SCHEMA))
+
+
+class BoundedRow:
+    """A row of header values as far as ``boxes.relation`` looks at it."""
+
+    def __init__(self, row: dict):
+        self.point_count = row["point_count"]
+        self.scale = [row[f"scale_{c}"] for c in COORDINATES]
+        self.minimum, self.maximum = ([row[f"{m}_{c}"] for c in COORDINATES] for m in ("min", "max"))
+
+
 class LasHeaderSource(DataSource):
     """One row per file. ``badFiles=keep`` reports unreadable files in ``error`` instead of failing."""
 
@@ -89,7 +139,7 @@ class HeaderReader(DataSourceReader):
     def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         if partition is None:
             return
-        rows = [row for file, head in _read_heads(partition.files) if (row := self._row(file, head))]
+        rows = list(header_rows(partition.files, self.keep_bad, self.box))
         columns = {f.name: [row.get(f.name) for row in rows] for f in self.arrow_schema}
         arrays = []
         for field in self.arrow_schema:
@@ -97,18 +147,20 @@ class HeaderReader(DataSourceReader):
             arrays.append(array if array.type == field.type else array.cast(field.type))
         yield pa.RecordBatch.from_arrays(arrays, schema=self.arrow_schema)
 
-    def _row(self, file: FileEntry, head: bytes) -> dict | None:
-        """None for a file that the option ``box`` leaves out."""
+
+def header_rows(files: list[FileEntry], keep_bad: bool = False, box: Box | None = None) -> Iterator[dict]:
+    """Header values of each file that ``box`` takes; a broken file is an error, or has one with ``keep_bad``."""
+    for file, head in _read_heads(files):
         try:
             header = parse_header(head, file.name)
-            if not self.box.takes(header):
-                return None
-            short = self.keep_bad and header.end > file.size
-            return header_row(file, header, "points end behind the end of the file" if short else None)
         except LasFormatError as e:
-            if not self.keep_bad:
+            if not keep_bad:
                 raise
-            return header_row(file, None, str(e))
+            yield header_row(file, None, str(e))
+            continue
+        if box is None or box.takes(header):
+            short = keep_bad and header.end > file.size
+            yield header_row(file, header, "points end behind the end of the file" if short else None)
 
 
 def _read_heads(files: list[FileEntry]) -> Iterator[tuple[FileEntry, bytes]]:

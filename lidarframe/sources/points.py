@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_type
@@ -29,6 +30,7 @@ from lidarframe.sources.layouts import (
     MAX_HEADER_BYTES,
     PATH_COLUMN,
     POINT_COLUMN,
+    POINT_FORMATS,
     Header,
     LasFormatError,
     column_type,
@@ -239,12 +241,34 @@ class PointReader(DataSourceReader):
     def partitions(self) -> list[RangePartition]:
         files = list_files(self.options)
         self.points.check_keys(files)
-        return split_files([f for f in files if self.points.keep_file(f)], self.options)
+        kept = [f for f in files if self.points.keep_file(f)]
+        if self.options.get("headerIndex") and self.points.box.tree is not None:
+            kept = list(_not_ruled_out(kept, json.loads(self.options["headerIndex"]), self.points))
+        return split_files(kept, self.options)
 
     def read(self, partition: RangePartition | None) -> Iterator[pa.RecordBatch]:
         yield from self.points.batches(partition.ranges if partition else [])
 
 
+def _not_ruled_out(files: list[FileEntry], index: list[str], points: PointRanges) -> Iterator[FileEntry]:
+    """Files that a kept header does not leave out; what the index does not know, or knows otherwise, stays."""
+    from lidarframe.sources.headers import BoundedRow
+
+    names = ["path", "file_length", "modified_ns", "point_count", "point_format"]
+    names += [f"{n}_{c}" for n in ("scale", "min", "max") for c in COORDINATES]
+    ruled_out = set()
+    for version in index:
+        fs, inner = filesystem(version)
+        for batch in ds.dataset(inner, filesystem=fs, format="parquet").to_batches(columns=names):
+            for row in batch.to_pylist():
+                lacking = any(n in ATTRIBUTES and n not in POINT_FORMATS.get(row["point_format"], ()) for n in points.arrow_types)
+                if row["point_count"] is None or (lacking and not points.null_missing):
+                    continue  # broken, or without a column: the scan must say so
+                if not points.box.takes(BoundedRow(row)):
+                    ruled_out.add((row["path"], row["file_length"], row["modified_ns"]))
+    return (f for f in files if (f.name, f.size, f.mtime_ns) not in ruled_out)
+
+
 class open_points:
     """Open a file, read its header and check that all announced points are in it."""
 
