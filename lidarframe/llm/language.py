@@ -15,8 +15,8 @@ are many languages, and ``STRETCH`` words of each text; labelling is one pass ov
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,15 +25,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import crc_text, materialise, table, text_slices
+from lidarframe.llm.common import crc_text, materialise, named, table, text_slices
 
 PER_LANGUAGE = 1000
 ALL_LANGUAGES = 16_000  # texts of all languages, but LEAST of each in any case
 LEAST = 16
+MAX_LANGUAGES = 400  # the driver fits 1.5 MB of weights and steps for each; more is an error
 STRETCH = 96
 SEQUENCE = 64  # words of a training sequence
 SWITCH = 16  # words between two switches, on average
 TABLE = 1 << 16
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd number without pattern
 ROUNDS = 60
 BLOCK = 256  # words that are labelled together
 UNKNOWN = "und"
@@ -55,21 +57,51 @@ def words_of(text: str) -> list[str]:
     """
     text = text.lower()
     words = _WORD.findall(text)
-    if max(map(len, words), default=0) <= _LONGEST and (text.isascii() or not _HAS_UNSPACED.search(text)):
+    if not all(map(str.isalpha, words)):  # fractions, Roman numerals, circled numbers, ... are no letters
+        words = "".join(c if c.isalpha() else " " for c in text).split()
+    if not text.isascii() and _HAS_UNSPACED.search(text):
+        return [piece for word in words for piece in _PIECE.findall(word)]
+    if max(map(len, words), default=0) <= _LONGEST:
         return words
-    return [piece for word in words for piece in _PIECE.findall(word)]
+    cuts = ((word,) if len(word) <= _LONGEST else _PIECE.findall(word) for word in words)
+    return list(chain.from_iterable(cuts))
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the table, number of the word) of all features of words, by words: the word itself (lexicon),
+    its first one to three and last one to four letters, and its n-grams of one to three letters."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    begin = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(letters)) - begin[owner]
+    left = sizes[owner] - place
+    hashes, owners = [], []
+
+    def add(kind: int, at: np.ndarray, length: int, who: np.ndarray) -> None:
+        h = np.full(len(at), kind, np.uint64)
+        for k in range(length):
+            h = (h + letters[at + k]) * _MIX
+        hashes.append(h)
+        owners.append(who)
 
-
-def features(word: str) -> list[int]:
-    """Places in the table: lexicon, affixes and n-grams."""
-    found = {f"={word}"}
-    for k in (1, 2, 3):
-        found.add(f"<{word[:k]}")
-        found.add(f"{word[-k:]}>")
-    found.add(f"{word[-4:]}>")
     for n in (1, 2, 3):
-        found.update(word[k : k + n] for k in range(len(word) - n + 1))
-    return [zlib.crc32(f.encode("utf-8", "replace")) % TABLE for f in sorted(found)]
+        at = np.flatnonzero(left >= n)
+        add(n, at, n, owner[at])
+    for n in (1, 2, 3):
+        who = np.flatnonzero(sizes >= n)
+        add(10 + n, begin[who], n, who)
+    for n in (1, 2, 3, 4):
+        who = np.flatnonzero(sizes >= n)
+        add(20 + n, begin[who] + sizes[who] - n, n, who)
+    some = np.flatnonzero(sizes > 0)
+    if some.size:
+        powers = np.cumprod(np.full(int(sizes.max()), _MIX))
+        hashes.append((np.add.reduceat(letters * powers[place], begin[some]) + np.uint64(30)) * _MIX)
+        owners.append(some)
+    found, who = np.concatenate(hashes), np.concatenate(owners)
+    order = np.argsort(who, kind="stable")
+    return (found[order] >> np.uint64(64 - TABLE.bit_length() + 1)).astype(np.int64), who[order]
 
 
 class Field(NamedTuple):
@@ -78,15 +110,13 @@ class Field(NamedTuple):
     transitions: np.ndarray  # labels x labels, from row to column
 
 
-def _ragged(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(f) for f in found])
-    return np.concatenate([np.asarray(f, np.int64) for f in found]), np.r_[0, np.cumsum(sizes)[:-1]]
+def emissions(weights: np.ndarray, words: list[str]) -> np.ndarray:
+    """Sums of the weights of each word's features."""
+    return _sums(weights, *features(words), len(words))
 
 
-def emissions(weights: np.ndarray, found: list[list[int]]) -> np.ndarray:
-    """Sums of the weights of each word's features."""
-    flat, starts = _ragged(found)
-    return np.add.reduceat(weights[flat], starts, axis=0)
+def _sums(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(owner, weights[flat, k], n) for k in range(weights.shape[1])], 1)
 
 
 def forward_backward(emission: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,8 +176,7 @@ def fit_field(texts: list[tuple[str, list[str]]], rounds: int = ROUNDS, rate: fl
     known: dict[str, int] = {}
     ids = np.array([[known.setdefault(w, len(known)) for w in s] for s in sequences])
     y = np.array([[labels.index(t) for t in s] for s in tags])
-    flat, starts = _ragged([features(w) for w in known])
-    owner = np.repeat(np.arange(len(known)), np.diff(np.r_[starts, len(flat)]))
+    flat, owner = features(list(known))
     size = len(labels)
     truth = np.zeros((len(known), size))
     np.add.at(truth, (ids.ravel(), y.ravel()), 1)
@@ -158,7 +187,7 @@ def fit_field(texts: list[tuple[str, list[str]]], rounds: int = ROUNDS, rate: fl
     weights, transitions = np.zeros((TABLE, size)), np.zeros((size, size))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, transitions)]
     for step in range(1, rounds + 1):
-        emission = np.add.reduceat(weights[flat], starts, axis=0)
+        emission = _sums(weights, flat, owner, len(known))
         excess, pairs = truth.copy(), np.zeros((size, size))
         for at in range(0, len(ids), group):
             some = ids[at : at + group]
@@ -200,7 +229,7 @@ class Labeller:
                 grown = np.empty((2 * len(known), self.size))
                 grown[:before] = self.rows[:before]
                 self.rows = grown
-            e = emissions(self.field.weights, [features(w) for w in new])
+            e = emissions(self.field.weights, new)
             self.rows[before : len(known)] = np.exp(e - e.max(1, keepdims=True))
         return ids
 
@@ -259,12 +288,14 @@ def learn(docs: DataFrame, train: Column | None = None, per_language: int = PER_
     """A field from (doc_id, text, lang) of the rows that ``train`` admits.
 
     Rows without id, text or language teach nothing. Texts are taken by a hash of id and text, repeated rows
-    once. Every language is learned; of more than ALL_LANGUAGES / per_language, from fewer texts each. One language is always predicted; none: UNKNOWN.
+    once. Every language is learned, up to MAX_LANGUAGES (more are an error); of more than ALL_LANGUAGES / per_language, from fewer texts each. One language is always predicted; none: UNKNOWN.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "lang", "text").where("doc_id is not null and lang is not null and text is not null")
     if train is not None:
         rows = rows.where(train)
     languages = rows.select("lang").distinct().count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"{languages} languages; at most {MAX_LANGUAGES} can be learned")
     per_language = min(per_language, max(LEAST, ALL_LANGUAGES // max(1, languages)))
     order = F.xxhash64("doc_id", "text")
     light = rows.select("lang", "doc_id", order.alias("h")).distinct()  # a repeated row counts once
@@ -285,8 +316,10 @@ def learn(docs: DataFrame, train: Column | None = None, per_language: int = PER_
     return fit_field(texts)
 
 
-def predict(docs: DataFrame, field: Field, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, words, shares map) for each row of ``docs``.
+def predict(
+    docs: DataFrame, field: Field, id_column: str = "doc_id", text_column: str = "text", with_shares: bool = True
+) -> DataFrame:
+    """(doc_id, lang_pred, score, words, and, if wanted, shares map) for each row of ``docs``.
 
     Null texts and texts without a letter are UNKNOWN with score 0. A tie goes to the first label in
     order of names. shares has each label's part of the words. Repeated rows come out as often
@@ -302,30 +335,25 @@ def predict(docs: DataFrame, field: Field, id_column: str = "doc_id", text_colum
             if names:
                 share = labeller.sums(words) / np.maximum(count, 1)[:, None]
                 best = share.argmax(1)
-            pred, score, shares = [], [], []
+            pred, score = [], []
             for k, n in enumerate(count):
                 known = bool(n) and bool(names)
                 pred.append(names[best[k]] if known else UNKNOWN)
                 score.append(float(min(1.0, share[k, best[k]])) if known else 0.0)
-                shares.append(list(zip(names, share[k].tolist())) if known else [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array(pred, pa.string()),
-                    pa.array(score, pa.float64()),
-                    pa.array(count, pa.int64()),
-                    pa.array(shares, pa.map_(pa.string(), pa.float64())),
-                ],
-                ["doc_id", "lang_pred", "score", "words", "shares"],
-            )
-
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, words long, shares map<string,double>")
+            arrays = [part.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(count, pa.int64())]
+            if with_shares:
+                shares = [list(zip(names, share[k].tolist())) if n and names else [] for k, n in enumerate(count)]
+                arrays.append(pa.array(shares, pa.map_(pa.string(), pa.float64())))
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "words", "shares"][: len(arrays)])
+
+    rows = docs.select(named(id_column).cast("long").alias("doc_id"), named(text_column).alias("text"))
+    schema = "doc_id long, lang_pred string, score double, words long"
+    return rows.mapInArrow(run, schema + (", shares map<string,double>" if with_shares else ""))
 
 
 def op4_language(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_text("doc_id") % 3 == 1, F.lit(False))
-    return predict(docs, learn(docs, ~held_out)).select(
+    return predict(docs, learn(docs, ~held_out), with_shares=False).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
