@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -10,8 +11,11 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lidarframe.llm import (
+    common,
     language,
     mixing,
     packing,
@@ -34,6 +38,55 @@ def prose(seed, n=60):
     return " ".join(r.choice(WORDS) + r.choice(WORDS) for _ in range(n)) + "."
 
 
+HELPERS = (
+    "row __row bucket __bucket size __size n k before to group first id rank row_file row_at places spans __source __tokens "
+    "__places __name __group __id c0 c1 c7 digest component_id fp key a b toxic hits weight words copy phrase vec cid member "
+    "record_id kind number chunk length start text2"
+).split()
+
+
+@pytest.mark.parametrize("extra", [HELPERS, ["_metadata"]])
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d: sharding.shard(d, 3),
+        simhash.drop_near_duplicates,
+        substrings.remove_repeats,
+        mixing.mix,
+        lambda d: toxicity.drop_toxic(d, toxicity.Model({"long9": 2.0}, (), (-30.0, 1.0, 1.0))),
+        lambda d: corpus_pipeline.one_of_near_copies(d.sparkSession, d, None),
+        lambda d: corpus_pipeline.cut_repeats(d.sparkSession, d, None),
+        lambda d: corpus_pipeline.mix_sources(d.sparkSession, d, None),
+    ],
+)
+def test_clashing_names(odd_docs, stored, operator, extra):
+    """Extra columns of any name come out as they went in, on the rows they belong to."""
+    rows = [(*r, *[f"{r.doc_id} {k}" for k in range(len(extra))]) for r in odd_docs.collect()]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in odd_docs.schema] + [f"`{n}` string" for n in extra])
+    table = stored(rows, schema)
+    plain, found = operator(odd_docs), operator(table)
+    assert [c for c in found.columns if c not in extra] == plain.columns
+    assert set(extra) <= set(found.columns)
+    assert Counter(r.doc_id for r in found.collect()) == Counter(r.doc_id for r in plain.collect())
+    for r in found.collect():
+        assert [r[n] for n in extra] == [f"{r.doc_id} {k}" for k in range(len(extra))]
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d: toxicity.score(d, toxicity.Model({"long9": 2.0}, (), (-3.0, 1.0, 1.0))),
+        lambda d: language.predict(d, language.Field(["a"], np.zeros((language.TABLE, 1)), np.zeros((1, 1))), with_shares=False),
+        lambda d: packing.pack(d).select("doc_id", "piece", "start", "length", "ids_crc32"),
+        quality.ledger,
+        simhash.near_duplicates,
+    ],
+)
+def test_clashing_names_that_are_not_read(odd_docs, operator):
+    table = odd_docs.withColumns({n: F.lit(n) for n in HELPERS})
+    assert Counter(map(tuple, operator(table).collect())) == Counter(map(tuple, operator(odd_docs).collect()))
+
+
 def groups(n, pairs):
     parent = list(range(n))
 
@@ -69,6 +122,14 @@ def test_shards_of_nothing_and_clashing_names(docs, spark):
     assert sharding.shard(rows, 1).columns == ["doc_id", "shard", "slot"]
 
 
+def test_buckets_are_numbered_in_groups(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_GROUP", 3)
+    rows = sharding.shard(docs([(k, prose(k)) for k in range(200)]), 7, "100", bucket_bytes=900).toPandas()
+    counts = rows.groupby("shard").size()
+    assert len(rows) == 200 and counts.max() - counts.min() <= 1
+    assert all(sorted(slots) == list(range(len(slots))) for _, slots in rows.groupby("shard").slot)
+
+
 def test_write_shards(docs, spark, tmp_path):
     rows = sharding.shard(docs([(k, prose(k)) for k in range(90)]), 3)
     sharding.write_shards(rows, str(tmp_path / "shards"), rows_per_file=10)
@@ -232,6 +293,55 @@ def test_toxicity_exceptions():
     assert toxicity.fold("Ｉｄ１оt​") == "idiot"
 
 
+def slow_hits(terms, phrases, text):
+    def places(what):
+        for k in range(len(text) - len(what) + 1):
+            if text.startswith(what, k):
+                around = text[max(0, k - 1) : k], text[k + len(what) : k + len(what) + 1]
+                if not any(c.isalpha() for c in around):
+                    yield k, k + len(what)
+
+    covers = [p for phrase in phrases if phrase not in terms for p in places(phrase)]
+    return sorted(
+        (a, b, w) for t, w in terms.items() for a, b in places(t) if not any(s <= a and b <= e for s, e in covers)
+    )
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.dictionaries(st.sampled_from(["a", "b", "ab", "b a", "c", "a b c"]), st.floats(0.1, 3), max_size=4),
+    st.lists(st.sampled_from(["a b", "b a b", "b b", "a", "c c c c", "a b a b a", "b c"]), max_size=5),
+    st.lists(st.sampled_from(["a", "b", "ab", "c", "1"]), max_size=40).map(" ".join),
+)
+def test_matcher_like_plain_scan(terms, phrases, text):
+    assert sorted(toxicity.Matcher(terms, tuple(phrases)).hits(text)) == slow_hits(terms, phrases, text)
+
+
+def test_long_exception_behind_many_short_ones():
+    short = [f"b{c}" for c in "cdefghijk"]
+    text = "z " + " ".join(short) + " clown fish"
+    m = toxicity.Matcher({"z": 1.0, "clown": 2.0}, (*short, text))
+    assert m.hits(text) == []
+
+
+def test_every_significant_word_is_learned(docs, spark):
+    words = [f"{'x' * (30 + k)}bad{WORDS[k % 17]}{WORDS[k // 17]}" for k in range(40)]
+    rows = [(k, prose(k, 30) + (" " + " ".join(words) if k % 8 == 0 else "")) for k in range(400)]
+    rows += [(0, rows[0][1])] * 50  # a repeated row teaches once
+    labels = [(k, int(k % 8 == 0)) for k in range(400)]
+    model = toxicity.learn(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert set(words) <= set(model.terms)
+
+
+def test_toxicity_of_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    found = [r for r in toxicity.op3_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
+    bad = [r for r in found if labels[r.doc_id]]
+    assert sum(r.predicted for r in bad) >= 0.6 * len(bad)
+    assert sum(r.predicted for r in found) - sum(r.predicted for r in bad) <= 0.01 * len(found)
+
+
 def test_toxicity_without_labels(docs, spark):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     model = toxicity.learn(docs([(1, "a b c")]), none)
@@ -264,7 +374,7 @@ def test_labeller_like_forward_backward():
         want = np.zeros(2)
         for k in range(0, len(words), language.BLOCK):
             block = words[k : k + language.BLOCK]
-            e = language.emissions(field.weights, [language.features(w) for w in block])
+            e = language.emissions(field.weights, block)
             want += language.forward_backward(e[None], field.transitions)[0][0].sum(0)
         assert np.allclose(sums, want)
 
@@ -281,6 +391,32 @@ def test_language_accuracy_and_odd_rows(spark, odd_docs):
     assert language.predict(odd_docs, language.learn(odd_docs.limit(0))).first().lang_pred == "und"
 
 
+def test_numbers_are_no_letters(docs):
+    field = language.fit_field([("de", "eins zwei drei vier".split()), ("en", "one two three four".split())])
+    rows = [(1, "½ ²"), (2, "Ⅻ"), (3, "①② ٣"), (4, "½zwei²drei"), (5, "_ 12")]
+    found = {r.doc_id: r for r in language.predict(docs(rows), field).collect()}
+    assert [found[k].lang_pred for k in (1, 2, 3, 5)] == ["und"] * 4 and found[4].words == 2
+    assert language.words_of("x½é²中_7Ⅻz") == ["x", "é", "中", "z"]
+
+
+def test_features_are_those_of_each_word():
+    words = ["a", "ab", "abcab", "é", "x" * 24, "a", "中文"]
+    flat, owner = language.features(words)
+    assert (np.diff(owner) >= 0).all() and (flat < language.TABLE).all() and (flat >= 0).all()
+    for k, w in enumerate(words):
+        one, _ = language.features([w])
+        n = len(w)
+        assert Counter(one.tolist()) == Counter(flat[owner == k].tolist())
+        grams = n + max(0, n - 1) + max(0, n - 2)
+        assert len(one) == grams + min(n, 3) + min(n, 4) + 1
+
+
+def test_too_many_languages_are_an_error(docs, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        language.learn(docs([(k, "a b", f"l{k}") for k in range(3)]))
+
+
 def test_every_language_is_learned(docs):
     names = [f"l{k:02d}" for k in range(70)]
     rows = [(100 * k + d, f"{name}word {name}thing", name) for k, name in enumerate(names) for d in range(3 if k < 69 else 1)]
@@ -342,6 +478,38 @@ def test_exact_complements_come_first():
     assert packing.plan({}, 10) == [] and packing.plan({1: 25}, 10)[0] == ([1] * 10, 2)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.integers(1, 29), st.integers(1, 3), max_size=12), st.integers(1, 29))
+def test_complements_like_all_combinations(counts, gap):
+    left = np.zeros(31, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    pieces = sorted(n for length, k in counts.items() for n in [length] * k)
+    for taken in [[], *[[n] for n in counts]]:
+        rest = list(pieces)
+        for n in taken:
+            rest.remove(n)
+        want = {c for n in (1, 2, 3) for c in combinations(rest, n) if sum(c) == gap}
+        found = packing.Complements(left).find(gap, taken)
+        assert (found is None) == (not want)
+        if found:
+            assert tuple(sorted(found)) in want and len(found) == min(map(len, want))
+
+
+def test_words_are_remembered_in_generations(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED", 5)
+    monkeypatch.setattr(packing, "_GROUP", 20)
+    encode = packing.Encoder()
+    calls = []
+    inner = encode._encode
+    encode._encode = lambda texts: (calls.extend(texts), inner(texts))[1]
+    plain = packing.Encoder()
+    for k in range(40):
+        text = f"again w{k}x"
+        assert encode(text) == plain._encode([text])[0]
+    assert calls.count("again") == 1 and len(encode.young) <= 5 + 4
+
+
 @pytest.mark.parametrize("size", [5, 40, 1 << 16])
 def test_blocks_give_the_ids_of_whole_texts(monkeypatch, size):
     import public_tokenizers
@@ -436,6 +604,60 @@ def test_repeats_of_sentences_glued_at_both_ends(docs):
     assert b not in {r.doc_id: r.text for r in substrings.remove_repeats(docs(rows)).collect()}[1]
 
 
+def scattered(spark, tmp_path, name, rows, schema):
+    path = str(tmp_path / name)
+    spark.createDataFrame(rows, schema).repartition(6).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of files that depend on the parallelism, which the returned function changes."""
+    keys = "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set(keys[0], "4096")
+    spark.conf.set(keys[1], "1")
+    yield lambda n: spark.conf.set(keys[1], str(n))
+    for key in keys:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("table", ["files", "filtered", "other"])
+def test_repeats_whatever_the_parallelism(spark, tmp_path, monkeypatch, small_splits, table):
+    passage = ". ".join(prose(k, 15)[:-1] for k in range(4)) + "."
+    rows = [(k % 300, f"{prose(1000 + k, 20)} {passage if k % 2 else ''} {prose(3000 + k % 500, 30)}") for k in range(600)]
+    docs = scattered(spark, tmp_path, "docs", rows, "doc_id long, text string")
+    splits = lambda: spark.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions()
+    docs = {"files": docs, "filtered": docs.where("doc_id >= 0").select("text", "doc_id"), "other": docs.distinct()}[table]
+    want = Counter((r.doc_id, r.text) for r in substrings.remove_repeats(docs).collect())
+    write, parts = substrings.materialise, []
+
+    def other_cores(df, name, *how):
+        found = write(df, name, *how)
+        parts.append(splits())
+        small_splits(16)
+        parts.append(splits())
+        return found
+
+    monkeypatch.setattr(substrings, "materialise", other_cores)
+    got = Counter((r.doc_id, r.text) for r in substrings.remove_repeats(docs).collect())
+    assert got == want and parts[0] != parts[1]
+
+
+def test_archives_whatever_the_parallelism(spark, tmp_path, small_splits):
+    rows = [(k % 200, f"http://a/{k}", "<p>" + prose(k % 50, 300)) for k in range(400)]
+    pages = scattered(spark, tmp_path, "pages", rows, "page_id long, url string, html string")
+    found = []
+    for cores in (1, 16):
+        small_splits(cores)
+        again = common.with_row_keys(spark.read.parquet(str(tmp_path / "pages")), F.col("url").alias("u"))
+        parts = again.rdd.getNumPartitions()
+        found.append((parts, {(r.row_file, r.row_at): r.u for r in again.collect()}))
+    assert found[0][0] != found[1][0] and found[0][1] == found[1][1] and len(found[0][1]) == 400
+    warc.write_warc(pages, str(tmp_path / "warc"))
+    captures = warc.assemble(warc.read_records(spark, str(tmp_path / "warc"))).collect()
+    assert Counter(c.target_uri for c in captures) == Counter(r[1] for r in rows)
+
+
 def test_repeats_odd_rows(odd_docs):
     found = substrings.remove_repeats(odd_docs).collect()
     assert len(found) == 10 and substrings.remove_repeats(odd_docs.limit(0)).count() == 0
@@ -463,6 +685,23 @@ def test_archives_like_sql(stored, spark, tmp_path):
     assert {c.target_uri for c in captures} >= {None, "bad%0D%0Aurl"}
 
 
+def test_archives_are_bounded_by_bytes(stored, spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    monkeypatch.setattr(warc, "ARCHIVES", ((1000, 5), (20_000, 2), (None, 1)))
+    rows = [(k, f"u{k}", prose(k, 4000) if k % 10 == 0 else prose(k, 300) if k % 3 == 0 else "x") for k in range(40)]
+    pages = stored(rows, "page_id long, url string, html string")
+    warc.write_warc(pages, str(tmp_path / "warc"))
+    most = Counter()
+    for file in Path(tmp_path / "warc").rglob("*.gz"):
+        sizes = [len(b) for h, b in warc.parse(file.read_bytes()) if h["warc-type"] == "response"]
+        most[file.parent.name] = max(most[file.parent.name], len(sizes))
+        assert len({(n > 1200) + (n > 20_200) for n in sizes}) == 1
+    assert most == {"payloads-from-0": 5, "payloads-from-1000": 2, "payloads-from-20000": 1}
+    captures = warc.assemble(warc.read_records(spark, str(tmp_path / "warc"))).collect()
+    assert Counter(bytes(c.payload).decode() for c in captures) == Counter(r[2] for r in rows)
+
+
 def test_archive_members_follow_each_other():
     import gzip
 
@@ -483,6 +722,18 @@ def test_quality_repeats_and_measures():
     assert quality.measure(b"x y\nx y\n \n")[3:5] == (2, 1)
 
 
+def test_op8_like_sql(spark, odd_docs, docs, tmp_path):
+    path = tmp_path / "sf"
+    more = docs([(k, prose(k, 3 + k % 20) + " ##" * (k % 7), "en") for k in range(60)])
+    odd_docs.unionByName(more).write.parquet(str(path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS FROM '{path}/documents.parquet/*.parquet'")
+    want = con.sql(quality.OP8_SQL)
+    found = quality.op8_quality_rules(spark, str(path)).select(want.columns)
+    assert Counter(map(repr, map(tuple, found.collect()))) == Counter(map(repr, want.fetchall()))
+    assert any(r.kept_without_rule for r in found.collect())
+
+
 def test_quality_policies_and_ablations(odd_docs):
     found = quality.ledger(odd_docs)
     rows = found.collect()
