@@ -6,7 +6,7 @@ from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.header_index import header_index, refresh_header_index
 from lidarframe.operators.session import register
-from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
+from lidarframe.operators.tables import las_view, publish_las, read_headers, read_las, write_las
 from lidarframe.streaming.files import stream_las
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "las_audit",
     "las_view",
     "point_schema",
+    "publish_las",
     "read_headers",
     "read_las",
     "refresh_header_index",

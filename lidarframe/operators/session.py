@@ -15,19 +15,20 @@ from pyspark.sql import SparkSession
 
 from lidarframe.sources.headers import LasFileSource, LasHeaderSource, LasRangeStatsSource
 from lidarframe.sources.points import LasDataSource
+from lidarframe.sources.publication import LasPublishSource
 
 _registered: WeakSet[SparkSession] = WeakSet()
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``las``, ``las_files``, ``las_headers`` and ``las_range_stats`` known; safe to call again.
+    """Make ``las`` and the other sources (``las_files``, ``las_headers``, ...) known; safe to call again.
 
     Ships this package to the Python workers, which run the sources.
     """
     if spark in _registered:
         return
     _ship_package(spark)
-    for source in (LasDataSource, LasFileSource, LasHeaderSource, LasRangeStatsSource):
+    for source in (LasDataSource, LasFileSource, LasHeaderSource, LasRangeStatsSource, LasPublishSource):
         spark.dataSource.register(source)
     _registered.add(spark)
 

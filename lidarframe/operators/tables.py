@@ -14,9 +14,11 @@ from lidarframe.functions.curves import hilbert_key
 from lidarframe.functions.fields import point_schema
 from lidarframe.operators.predicates import box_tree, split_by_columns
 from lidarframe.operators.session import register
-from lidarframe.sources.files import flag, list_files, partition_fields
+from lidarframe.sources.files import filesystem, flag, list_files, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
+from lidarframe.sources.journal import make_folders, pending
 from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN
+from lidarframe.sources.writer import finish
 
 Paths = str | Sequence[str]
 LITERAL = r"'(?:[^'\\]|\\.|'')*'" + r'|"(?:[^"\\]|\\.|"")*"'
@@ -202,4 +204,24 @@ def write_las(
         df = df.sortWithinPartitions(*partition_by)
         options["partitionColumns"] = ",".join(partition_by)
     text = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}
-    df.write.format("las").mode(mode).options(**text).save(path)
+    publish_las(df.sparkSession, path)  # of a write before that did not get that far
+    df.write.format("las").mode(mode).options(**{**text, "publishLater": "true"}).save(path)
+    publish_las(df.sparkSession, path)
+
+
+def publish_las(spark: SparkSession, path: str) -> int:
+    """Moves committed files to their places and deletes replaced ones, in Spark jobs; returns how many were left to do.
+
+    ``write_las`` ends with it. Readers see the result of a write as soon as its journal is there, and a
+    write that failed on the way goes on here.
+    """
+    register(spark)
+    fs, inner = filesystem(path)
+    done = 0
+    for journal in pending(fs, inner.rstrip("/")):
+        make_folders(fs, journal.base, journal.moves)
+        for work in ("move", "delete"):
+            job = spark.read.format("las_publish").options(**source_options(spark, {"job": journal.name, "work": work}))
+            done += job.load(path).agg(F.sum("files")).first()[0] or 0
+        finish(fs, journal)
+    return done

@@ -6,7 +6,7 @@ import fnmatch
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import lru_cache
@@ -16,6 +16,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import InputPartition
 
+from lidarframe.sources.journal import overlay, pending
+
 MIB = 1024 * 1024
 DEFAULT_SPLIT_BYTES = 128 * MIB  # like spark.sql.files.maxPartitionBytes
 OPEN_COST = MIB  # what opening a file weighs when files are packed into tasks
@@ -147,11 +149,11 @@ def list_files(options) -> list[FileEntry]:
             for top in tops:
                 base = _base(options, top)
                 found = []
-                for info in _files_below(fs, top, pool):
-                    below = info.path[len(base):].split("/")
+                for info, path in _visible(fs, top, pool):
+                    below = path[len(base):].split("/")
                     if info is not top and any(_hidden(part) for part in below):
                         continue
-                    if name_filter and not fnmatch.fnmatchcase(info.base_name, name_filter):
+                    if name_filter and not fnmatch.fnmatchcase(below[-1], name_filter):
                         continue
                     keys = _keys(below[:-1])
                     found.append(FileEntry(root, info.path, info.size, info.mtime_ns or 0, keys))
@@ -169,6 +171,17 @@ def _base(options, top: pafs.FileInfo) -> str:
     return (top.path if top.type == pafs.FileType.Directory else os.path.dirname(top.path)).rstrip("/") + "/"
 
 
+def _visible(
+    fs: pafs.FileSystem, top: pafs.FileInfo, pool: ThreadPoolExecutor
+) -> Iterable[tuple[pafs.FileInfo, str]]:
+    """Files of a folder and the paths they count as, with regard to commits whose files are still being moved."""
+    journals = pending(fs, top.path) if top.type == pafs.FileType.Directory else []
+    if not journals:
+        return ((info, info.path) for info in _files_below(fs, top, pool))
+    staged = fs.get_file_info(pafs.FileSelector(f"{top.path}/_temporary", recursive=True, allow_not_found=True))
+    return overlay(fs, top.path, journals, staged, list(_files_below(fs, top, pool)))
+
+
 def _files_below(
     fs: pafs.FileSystem, top: pafs.FileInfo, pool: ThreadPoolExecutor
 ) -> Iterator[pafs.FileInfo]:

@@ -68,6 +68,11 @@ class LasDataSource(DataSource):
 
         return LasWriter(self.options, schema, overwrite)
 
+    def streamWriter(self, schema: T.StructType, overwrite: bool):
+        from lidarframe.sources.writer import LasStreamWriter
+
+        return LasStreamWriter(self.options, schema, overwrite)
+
     def streamReader(self, schema: T.StructType):
         from lidarframe.streaming.ingest import LasStreamReader
 

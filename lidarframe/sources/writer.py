@@ -1,11 +1,10 @@
-"""The LAS sink: each task writes whole files, the commit moves them into place."""
+"""The LAS sinks, for tables and streams: each task writes whole files, a journal commits them."""
 
 from __future__ import annotations
 
-import os
+import hashlib
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import quote
@@ -15,9 +14,10 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 
 from lidarframe.sources.files import MIB, NULL_PARTITION, filesystem, flag, list_files
+from lidarframe.sources.journal import Journal, make_folders, move, pending, read_journal, remove, side_by_side
 from lidarframe.sources.layouts import (
     ATTRIBUTES,
     COORDINATES,
@@ -33,7 +33,6 @@ DEFAULT_SCALE = 0.01
 DEFAULT_MAX_POINTS = 16_000_000
 HELD_BYTES = 128 * MIB  # records a task holds; beyond, its largest open file is finished
 OPEN_FILES = 16
-MOVE_THREADS = 16
 
 
 def codec_from_options(options) -> PointCodec:
@@ -159,47 +158,107 @@ class LasWriter(DataSourceArrowWriter):
             yield folder, batch.take(groups["=row_list"][group].values)
 
     def commit(self, messages: list) -> None:
+        """One journal commits all files. With the option ``publish=later`` nothing else is done here."""
         fs, inner = filesystem(self.target)
         base = inner.rstrip("/")
         fs.create_dir(base, recursive=True)
-        old = []
-        if self.overwrite:
-            old = [f.path for f in list_files({"path": self.target})]
-        files = [pair for m in messages if m is not None for pair in m.files]
-        for folder in {os.path.dirname(name) for _, name in files} - {""}:
-            fs.create_dir(f"{base}/{folder}", recursive=True)
-        try:
-            with ThreadPoolExecutor(MOVE_THREADS) as pool:
-                list(pool.map(lambda pair: fs.move(pair[0], f"{base}/{pair[1]}"), files))
-        except BaseException:
-            self._take_back(fs, [f"{base}/{name}" for _, name in files])
-            raise
-        with ThreadPoolExecutor(MOVE_THREADS) as pool:
-            list(pool.map(fs.delete_file, old))
-        self._drop_staging(fs, base)
-        with fs.open_output_stream(f"{base}/_SUCCESS"):
-            pass
+        for journal in pending(fs, base) if self.overwrite else []:
+            publish(fs, journal)  # what it would replace must be in place
+        old = [f.path[len(base) + 1 :] for f in list_files({"path": self.target})] if self.overwrite else []
+        files = [(source[len(base) + 1 :], name) for m in messages if m is not None for source, name in m.files]
+        journal = Journal(base, self.job, files, old)
+        if not flag(self.options, "publishLater"):
+            make_folders(fs, base, files)
+            try:  # first the moves, which can be taken back; nothing is replaced before the journal is there
+                side_by_side(lambda pair: fs.move(f"{base}/{pair[0]}", f"{base}/{pair[1]}"), files)
+            except BaseException:
+                self._take_back(fs, [f"{base}/{name}" for _, name in files])
+                raise
+            files.clear()
+        if files or old:
+            journal.write(fs)
+            if flag(self.options, "publishLater"):
+                return
+        publish(fs, journal)
 
     def abort(self, messages: list) -> None:
         fs, inner = filesystem(self.target)
-        self._drop_staging(fs, inner.rstrip("/"))
+        journal = Journal(inner.rstrip("/"), self.job)
+        if read_journal(fs, journal.base, self.job) is None:  # else the job is committed
+            journal.drop(fs)
 
     @staticmethod
     def _take_back(fs: pafs.FileSystem, paths: list[str]) -> None:
         """Removes those of a failed commit's files that are in place; their names are its own."""
         found = fs.get_file_info(paths)
-        with ThreadPoolExecutor(MOVE_THREADS) as pool:
-            list(pool.map(fs.delete_file, [i.path for i in found if i.type == pafs.FileType.File]))
-
-    def _drop_staging(self, fs: pafs.FileSystem, base: str) -> None:
-        staging = self._staging(base)
-        if fs.get_file_info(staging).type == pafs.FileType.Directory:
-            fs.delete_dir(staging)
-        shared = f"{base}/_temporary"
-        if fs.get_file_info(shared).type == pafs.FileType.Directory and not fs.get_file_info(
-            pafs.FileSelector(shared)
-        ):
-            fs.delete_dir(shared)
+        side_by_side(fs.delete_file, [i.path for i in found if i.type == pafs.FileType.File])
+
+
+def publish(fs: pafs.FileSystem, journal: Journal) -> None:
+    """Does what a journal says, or what is left of it, and marks the folder as complete."""
+    make_folders(fs, journal.base, journal.moves)
+    side_by_side(lambda pair: move(fs, journal.base, pair), journal.moves)
+    side_by_side(lambda name: remove(fs, journal.base, name), journal.gone)
+    finish(fs, journal)
+
+
+def finish(fs: pafs.FileSystem, journal: Journal) -> None:
+    with fs.open_output_stream(f"{journal.base}/_SUCCESS"):
+        pass
+    journal.drop(fs, *{source.split("/")[1] for source, _ in journal.moves})
+
+
+class LasStreamWriter(LasWriter, DataSourceStreamArrowWriter):
+    """``writeStream.format("las")``: each batch is committed once, however often it is run.
+
+    The journal of a batch is named by the query and the batch. A batch that is run again finds the journal of
+    the first run, or the number of the last published batch, and drops what it has written itself. The query is named by
+    the option ``sinkId``, else by its checkpoint folder.
+    """
+
+    def __init__(self, options, schema: T.StructType, overwrite: bool):
+        super().__init__(options, schema, False)
+        if overwrite:
+            raise ValueError("a stream of points can only be appended")
+        name = options.get("sinkId") or options.get("checkpointLocation")
+        if not name:
+            raise ValueError("set checkpointLocation or sinkId, so that a repeated batch can be told")
+        self.sink = hashlib.sha1(name.rstrip("/").encode()).hexdigest()[:16]
+
+    def _last(self, fs: pafs.FileSystem, base: str) -> int:
+        try:
+            with fs.open_input_file(f"{base}/_batches/{self.sink}") as stream:
+                return int(stream.read())
+        except FileNotFoundError:
+            return -1
+
+    def commit(self, messages: list, batchId: int) -> None:
+        fs, inner = filesystem(self.target)
+        base = inner.rstrip("/")
+        fs.create_dir(base, recursive=True)
+        own = [pair for m in messages if m is not None for pair in m.files]
+        name = f"{self.sink}-{batchId}"
+        journal = Journal(base, name, [(source[len(base) + 1 :], to) for source, to in own])
+        first = read_journal(fs, base, name)
+        if batchId > self._last(fs, base):
+            if first is None and own:
+                journal.write(fs)
+            done = first or journal
+            make_folders(fs, base, done.moves)
+            side_by_side(lambda pair: move(fs, base, pair), done.moves)
+            fs.create_dir(f"{base}/_batches", recursive=True)
+            with fs.open_output_stream(f"{base}/_batches/{self.sink}-draft") as out:
+                out.write(str(batchId).encode())
+            fs.move(f"{base}/_batches/{self.sink}-draft", f"{base}/_batches/{self.sink}")
+            finish(fs, done)
+        elif first is not None:
+            finish(fs, first)
+        journal.drop(fs, *{source.split("/")[1] for source, _ in journal.moves})
+
+    def abort(self, messages: list, batchId: int) -> None:
+        fs, inner = filesystem(self.target)
+        for job in {s.split("/")[-2] for m in messages if m is not None for s, _ in m.files} | {self.job}:
+            Journal(inner.rstrip("/"), job).drop(fs)
 
 
 def _folder_text(value) -> str:
