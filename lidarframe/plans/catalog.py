@@ -104,31 +104,65 @@ def las_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT count(*) AS points, max(x) AS max_x FROM las_points")
 
 
-def las_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingest(spark: SparkSession, path: str, columns, target: str = "parquet", **how) -> None:
+    """Takes what has arrived in ``inbox`` into ``table``, file by file."""
+    options = {"max_files_per_trigger": 1, "pathGlobFilter": "*.las", **how}
+    stream = (
+        stream_las(spark, f"{path}/inbox", columns, **options)
+        .writeStream.format(target)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{path}/table")
+    )
+    stream.awaitTermination()
+
+
+def two_drops(spark: SparkSession, sf_dir: str, name: str, **how) -> str:
     """Lineitem arrives, is ingested, then events arrive; the second run resumes from its checkpoint."""
 
     def run(path: str) -> None:
         inbox = f"{path}/inbox"
         write_las(fixtures.lineitem_points(spark, sf_dir, 1), inbox, pointFormat=1)
-        ingest(path)
+        ingest(spark, path, COORDINATES, **how)
         write_las(fixtures.event_points(spark, sf_dir), inbox, mode="append")
-        ingest(path)
-
-    def ingest(path: str) -> None:
-        stream = (
-            stream_las(spark, f"{path}/inbox", ["x", "y", "z"], max_files_per_trigger=1, pathGlobFilter="*.las")
-            .writeStream.format("parquet")
-            .option("path", f"{path}/table")
-            .option("checkpointLocation", f"{path}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        stream.awaitTermination()
+        ingest(spark, path, COORDINATES, **how)
 
-    register(spark)
-    path = fixtures.once(spark, sf_dir, "stream", run)
-    cents = [F.sum(F.round(F.col(c) / 0.01).cast("bigint")).alias(f"sum_{c}_cents") for c in COORDINATES]
-    return spark.read.parquet(f"{path}/table").agg(F.count("*").alias("points"), *cents)
+    return f"{fixtures.once(spark, sf_dir, name, run)}/table"
+
+
+def summed(points: DataFrame) -> DataFrame:
+    sums = [F.sum(F.round(F.col(c) / 0.01).cast("bigint")).alias(f"sum_{c}_cents") for c in COORDINATES]
+    return points.agg(F.count("*").alias("points"), *sums)
+
+
+def las_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summed(spark.read.parquet(two_drops(spark, sf_dir, "stream")))
+
+
+def las_stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LAS files in, LAS files out, with a restart in between."""
+    return summed(read_las(spark, two_drops(spark, sf_dir, "stream-las", target="las"), COORDINATES))
+
+
+def las_stream_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files dated back, or that arrive after files of the future, are ingested like others."""
+    path = fixtures.dated_drops(spark, sf_dir, lambda p: ingest(spark, p, COORDINATES))
+    return summed(spark.read.parquet(f"{path}/table"))
+
+
+def las_stream_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folder columns and paths of a stream."""
+
+    def run(path: str) -> None:
+        points = fixtures.event_points(spark, sf_dir, "event_type", "cast(event_id % 3 as int) as third")
+        write_las(points, f"{path}/inbox", partition_by=["event_type", "third"])
+        ingest(spark, path, ["third", "x", "_path", "event_type"], max_files_per_trigger=7)
+
+    table = spark.read.parquet(f"{fixtures.once(spark, sf_dir, 'stream-folders', run)}/table")
+    folder = F.regexp_extract("_path", "event_type=([^/]*)/third=([0-9])/", 2).cast("bigint")
+    return table.groupBy("event_type", F.col("third").cast("bigint").alias("third")).agg(
+        F.count("*").alias("points"), F.max("x").alias("max_x"), F.min(folder).alias("path_third")
+    )
 
 
 def las_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,6 +305,18 @@ def las_header_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def las_audit_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit finds in headers with wrong counts and bounds, by folder."""
+    audit = las_audit(spark, fixtures.faulty_las(spark, sf_dir))
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint").alias("part")
+    files = F.count("*")
+    return audit.groupBy(part).agg(
+        F.sum("scanned_points").alias("scanned_points"),
+        ((F.sum("header_points") - F.sum("scanned_points")) / files).cast("bigint").alias("off_by"),
+        *[F.when(F.every(c), 1).when(~F.some(c), 0).cast("bigint").alias(c) for c in ("count_ok", "bounds_ok", "length_ok", "ok")],
+    )
+
+
 def records_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = fixtures.lineitem_points(spark, sf_dir, 0, "l_orderkey", "cast(l_linenumber as bigint) as l_linenumber")
     packed = encode_points(points, 0, keep=["l_orderkey", "l_linenumber"])
@@ -300,6 +346,9 @@ def queries() -> dict[str, Query]:
             "las_partition_pruning": las_partition_pruning,
             "las_sql_view": las_sql_view,
             "las_stream_ingest": las_stream_ingest,
+            "las_stream_roundtrip": las_stream_roundtrip,
+            "las_stream_dated": las_stream_dated,
+            "las_stream_folders": las_stream_folders,
             "las_write_roundtrip": las_write_roundtrip,
             "las_write_curve": las_write_curve,
             "las_unsigned": las_unsigned,
@@ -345,6 +394,7 @@ def queries() -> dict[str, Query]:
             "hdr_after_cache": hdr_after_cache,
             "las_headers": las_headers,
             "las_header_audit": las_header_audit,
+            "las_audit_faults": las_audit_faults,
             "records_encode": records_encode,
             "records_decode": records_decode,
         }
@@ -445,6 +495,10 @@ def oracle_sql() -> dict[str, str]:
             "las_partition_pruning": events_sql("x", "classification", where="WHERE event_type = 'purchase'"),
             "las_sql_view": f"SELECT count(*) AS points, max(x) AS max_x FROM {p}",
             "las_stream_ingest": f"SELECT count(*) AS points, {sums} FROM ({both}) AS b",
+            "las_stream_roundtrip": f"SELECT count(*) AS points, {sums} FROM ({both}) AS b",
+            "las_stream_dated": f"SELECT count(*) AS points, {sums} FROM ({both}) AS b",
+            "las_stream_folders": f"SELECT event_type, event_id % 3 AS third, count(*) AS points, max({EVENT_SQL['x']}) AS max_x, "
+            "event_id % 3 AS path_third FROM events GROUP BY event_type, event_id % 3",
             "las_write_roundtrip": lineitem_sql(*POINT_FORMATS[1]),
             "las_write_curve": lineitem_sql(*POINT_FORMATS[1]),
             "las_unsigned": f"SELECT {LINEITEM_SQL['x']} AS x, CAST(l_partkey % 32768 + 32768 AS BIGINT) AS "
@@ -495,6 +549,11 @@ def oracle_sql() -> dict[str, str]:
             "las_header_audit": "SELECT CAST(6 AS BIGINT) AS point_format, count(*) AS header_points, count(*) AS "
             "scanned_points, CAST(0 AS BIGINT) AS bad_files FROM lineitem UNION ALL SELECT CAST(0 AS BIGINT), "
             "count(*), count(*), CAST(0 AS BIGINT) FROM events",
+            "las_audit_faults": "SELECT part, count(*) AS scanned_points, CAST(off AS BIGINT) AS off_by, "
+            "CAST(off = 0 AS BIGINT) AS count_ok, CAST(shift = 0 AS BIGINT) AS bounds_ok, CAST(off <= 0 AS BIGINT) AS length_ok, "
+            f"CAST(off = 0 AND shift = 0 AS BIGINT) AS ok FROM (SELECT l_orderkey % {len(fixtures.FAULTS)} AS part FROM lineitem) AS l "
+            "JOIN (VALUES " + ", ".join(f"({k}, {n}, {shift}::DOUBLE)" for k, (n, _, shift) in fixtures.FAULTS.items())
+            + ") AS f(k, off, shift) ON k = part GROUP BY part, off, shift",
             "records_encode": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
             + " || ".join(
                 [bytes_sql(cents(v), 4) for v in ("l_extendedprice", "l_quantity", "l_discount")]

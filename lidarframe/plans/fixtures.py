@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import struct
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
 import numpy as np
+from pyarrow.fs import LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 from lidarframe.functions.records import encode_points
@@ -192,6 +196,66 @@ def index_drops(spark: SparkSession, sf_dir: str, refresh: Callable[[str, str],
     return f"{path}/tiles", f"{path}/index"
 
 
+# Folder of `faulty_las` -> what its headers say: change of the count, place of a bound (max x, min x, max y, ...), its change.
+FAULTS = {
+    0: (0, 0, 0.0),
+    1: (-1, 0, 0.0),
+    2: (5, 0, 0.0),
+    3: (0, 0, 1000.0),
+    4: (0, 5, -50.0),
+    5: (0, 2, -10.0),
+    6: (-1, 4, 3.0),
+    7: (0, 3, 0.25),
+}
+
+
+def faulty_las(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem in folders by order key, with wrong counts and bounds in the headers (``FAULTS``)."""
+
+    def spoil(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                count, place, change = FAULTS[int(dict(row["keys"])["part"])]
+                fs, _ = filesystem(row["root"])
+                with fs.open_input_file(row["inner"]) as stream:
+                    data = bytearray(stream.read())
+                (points,) = struct.unpack_from("<I", data, 107)
+                struct.pack_into("<I", data, 107, points + count)
+                (bound,) = struct.unpack_from("<d", data, 179 + 8 * place)
+                struct.pack_into("<d", data, 179 + 8 * place, bound + change)
+                with fs.open_output_stream(row["inner"]) as out:
+                    out.write(data)
+            yield batch.select(["path"])
+
+    def write(path: str) -> None:
+        points = lineitem_points(spark, sf_dir, 1, f"l_orderkey % {len(FAULTS)} as part")
+        write_las(points.repartition("part"), path, partition_by=["part"], pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
+        spark.read.format("las_files").load(path).mapInArrow(spoil, "path string").count()
+
+    return once(spark, sf_dir, "faulty", write)
+
+
+def dated_drops(spark: SparkSession, sf_dir: str, ingest: Callable[[str], object]) -> str:
+    """Flags of lineitem arrive one by one and are ingested: A, N with times of years ago, events with times of
+    tomorrow, then R with plain times. Only local files can be dated."""
+
+    def write(path: str) -> None:
+        inbox, seen = f"{path}/inbox", set()
+        lineitem = lineitem_points(spark, sf_dir, 1, "l_returnflag as flag")
+        drops = [(lineitem.where("flag = 'A'").drop("flag"), 0), (lineitem.where("flag = 'N'").drop("flag"), -3000)]
+        drops += [(event_points(spark, sf_dir), 1), (lineitem.where("flag = 'R'").drop("flag"), 0)]
+        for points, days in drops:
+            write_las(points, inbox, "append", num_partitions=2, pointFormat=1 if "gps_time" in points.columns else 0)
+            for file in list_files({"path": inbox}):
+                if file.path not in seen and isinstance(filesystem(file.root)[0], LocalFileSystem):
+                    then = time.time() + 86400 * days
+                    os.utime(file.path, (then, then))
+                seen.add(file.path)
+            ingest(path)
+
+    return once(spark, sf_dir, "dated", write)
+
+
 def packed_lineitem(spark: SparkSession, sf_dir: str) -> str:
     """A parquet table with one packed point record per lineitem row."""
     points = lineitem_points(spark, sf_dir, 1, "l_orderkey")

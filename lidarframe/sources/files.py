@@ -155,7 +155,7 @@ def list_files(options) -> list[FileEntry]:
                         continue
                     if name_filter and not fnmatch.fnmatchcase(below[-1], name_filter):
                         continue
-                    keys = _keys(below[:-1])
+                    keys = folder_keys(below[:-1])
                     found.append(FileEntry(root, info.path, info.size, info.mtime_ns or 0, keys))
                 entries.extend(sorted(found, key=lambda e: e.path))
     return entries
@@ -193,7 +193,7 @@ def _files_below(
         yield from (i for i in infos if i.type == pafs.FileType.File)
 
 
-def _keys(folders: list[str]) -> tuple[tuple[str, str | None], ...]:
+def folder_keys(folders: list[str]) -> tuple[tuple[str, str | None], ...]:
     pairs = (f.split("=", 1) for f in folders if "=" in f[1:])
     return tuple((k, None if v == NULL_PARTITION else unquote(v)) for k, v in pairs)
 

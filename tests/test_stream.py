@@ -6,8 +6,7 @@ import time
 import golden
 import pytest
 
-from lidarframe import stream_las
-from lidarframe import point_schema
+from lidarframe import point_schema, stream_las, write_las
 from lidarframe.streaming.ingest import LasStreamReader
 
 
@@ -154,3 +153,26 @@ def test_las_stream_source_without_age_takes_old_files(tmp_path):
     before = aged.latestOffset()
     golden.cloud(tmp_path / "new.las", 1)
     assert taken(aged, before, aged.latestOffset()) == ["new.las"]
+
+
+def test_stream_with_folders_paths_and_types(spark, tmp_path):
+    inbox = tmp_path / "in"
+    points = spark.range(12).selectExpr("cast(id as double) as x", "0D as y", "0D as z", "cast(id % 3 as int) as day", "if(id < 6, null, 'é=b') as name")
+    write_las(points, str(inbox), partition_by=["day", "name"])
+
+    def run(name, **how):
+        query = (
+            stream_las(spark, str(inbox), ["name", "x", "day", "_path"], **how)
+            .writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return spark.table(name)
+
+    found = run("folders", pathGlobFilter="*.las")
+    assert dict(found.dtypes)["day"] == "int"
+    want = sorted((int(r.x), r.day, r.name) for r in points.collect())
+    assert sorted((int(r.x), r.day, r.name) for r in found.collect()) == want
+    assert all(f"/day={r.day}/" in r._path and r._path.startswith("/") for r in found.collect())
+    typed = run("typed", pathGlobFilter="*.las", folders={"day": "bigint"}, filters='[["day", "=", 1]]')
+    assert dict(typed.dtypes)["day"] == "bigint"
+    assert sorted(int(r.x) for r in typed.collect()) == [1, 4, 7, 10]
