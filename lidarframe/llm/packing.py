@@ -2,9 +2,9 @@
 
 Only the number of pieces of each length matters for the plan, at most as many numbers as a
 sequence has tokens. The plan is a list of patterns (lengths that share a sequence) with how often
-each is used, made from these counts: from the longest length down, the gap is looked up among
-single lengths, sums of two and sums of three; a combination that fills it exactly is used as often
-as there are pieces for it. What stays is packed by best fit, longest first. Pieces are numbered
+each is used, made from these counts: sums of two and of three lengths are indexed; from the longest length
+down, the gap is looked up among single lengths, pairs and triples, and a combination that fills it exactly is used
+as often as there are pieces for it. What stays is packed by best fit, longest first. Pieces are numbered
 within their length and look up their place in the plan, so the corpus is read once and only light
 rows are shuffled.
 """
@@ -15,6 +15,7 @@ import os
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -26,17 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lidarframe.llm.common import materialise, table, text_slices
+from lidarframe.llm.common import materialise, named, table, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_CACHED = 200_000  # words whose ids a worker remembers; beyond it, words are encoded each time
+_CACHED = 200_000  # words whose ids a worker remembers, in two generations
+_JOINED = 512  # new words that are encoded as one text
 _BLOCK = 1 << 16  # characters of a text that are split into words together
 _GROUP = 1 << 18  # characters of blocks whose new words are encoded together
 # A place between two words whatever is around it: words hold a blank only as their first character.
 _CUT = re.compile("(?<=[A-Za-z0-9.,])(?=[ \n])")
 # Blocks of other characters are encoded whole: tables of letters and spaces differ between libraries.
-_OTHER = re.compile("[^\n\t\x20-\x7e¡-¬®-ɏ]|<\\|")
+_OTHER = re.compile("[^\n\t\x20-\x7e¡-¬®-ɏ]")
 # The split before the merges (public_tokenizers.PATTERN), with the letters and numbers of these characters.
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _WORDS = re.compile(
@@ -53,15 +55,6 @@ def blocks(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-class _Known(dict):
-    """Ids of words; what is not remembered comes from ``extra``."""
-
-    extra: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.extra[word]
-
-
 class Encoder:
     """Texts to their ids as little-endian bytes, 32 bits each. A word's ids do not depend on its
     neighbours, so each different word is encoded once."""
@@ -72,12 +65,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.known = _Known()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
+    def _encode_joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words of a blank and letters: one text of many words, as a blank always begins a word."""
+        out: list[bytes] = []
+        for start in range(0, len(words), _JOINED):
+            part = words[start : start + _JOINED]
+            (found,) = self.tokenizer.encode_batch(["".join(part)], add_special_tokens=False)
+            cuts = np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1
+            if len(cuts) + 1 != len(part):  # the tokenizer sees other words
+                out += self._encode(part)
+                continue
+            data = np.asarray(found.ids, "<u4").tobytes()
+            ends = [0, *(4 * cuts).tolist(), len(data)]
+            out += [data[a:b] for a, b in zip(ends, ends[1:])]
+        return out
+
     def many(self, texts: list[str]) -> list[bytes]:
         found: list[list[bytes]] = [[] for _ in texts]
         group: list[tuple[int, str]] = []
@@ -94,14 +103,20 @@ class Encoder:
 
     def _add(self, group: list[tuple[int, str]], found: list[list[bytes]]) -> None:
         """Appends the ids of each block of a group to those of its text."""
-        words = [None if _OTHER.search(block) else _WORDS.findall(block) for _, block in group]
-        new = [w for w in set().union(*filter(None, words)) if w not in self.known]
-        ids = dict(zip(new, self._encode(new)))
-        if len(self.known) < _CACHED:
-            self.known.update(ids)
-        else:
-            self.known.extra = ids
-        get = self.known.__getitem__
+        words = [None if "<|" in block or _OTHER.search(block) else _WORDS.findall(block) for _, block in group]
+        missing = set().union(*filter(None, words)).difference(self.young)
+        if missing:
+            if len(self.young) > _CACHED:  # what this group uses of the older words stays
+                self.old, self.young = self.young, {}
+                missing = set().union(*filter(None, words))
+            again = missing & self.old.keys()
+            self.young.update((w, self.old[w]) for w in again)
+            new = missing - again
+            spaced = [w for w in new if w[0] == " " and w[1:].isalpha()]
+            self.young.update(zip(spaced, self._encode_joined(spaced)))
+            rest = list(new.difference(spaced))
+            self.young.update(zip(rest, self._encode(rest)))
+        get = self.young.__getitem__
         for (k, block), w in zip(group, words):
             found[k].append(self._encode([block])[0] if w is None else b"".join(map(get, w)))
 
@@ -153,27 +168,64 @@ class Pattern(NamedTuple):
     times: int
 
 
-def _exact(left: np.ndarray, gap: int, parts: int, most: int) -> list[int] | None:
-    """At most ``parts`` available lengths of at most ``most`` that sum up to ``gap``; few and long first."""
-    if gap <= most and left[gap] > 0:
-        return [gap]
-    if parts == 1:
+class Complements:
+    """Index of the sums of one, two and three lengths, of which pieces are left.
+
+    ``pairs[s]`` has the longer lengths of all pairs with sum s in ascending order, ``triples[s]`` the longest
+    lengths of triples. What has been used up is struck off when a search meets it: numbers of pieces only
+    fall, so it never comes back.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        size = len(left)
+        there = np.flatnonzero(left).tolist()
+        self.pairs: list[list[int]] = [[] for _ in range(size)]
+        for longer in there:
+            for shorter in there:
+                if shorter > longer or longer + shorter >= size:
+                    break
+                self.pairs[longer + shorter].append(longer)
+        self.triples: list[list[int]] = [[] for _ in range(size)]
+        sums = [s for s in range(size) if self.pairs[s]]
+        for first in there:
+            for s in sums:
+                if first + s >= size:
+                    break
+                if self.pairs[s][0] <= first:  # the most even pair
+                    self.triples[first + s].append(first)
+
+    def _there(self, lengths: list[int], taken: list[int] = ()) -> bool:
+        all_taken = [*lengths, *taken]
+        return all(self.left[n] >= all_taken.count(n) for n in lengths)
+
+    def _pair(self, total: int, most: int, taken: list[int]) -> list[int] | None:
+        """The pair with the longest length of at most ``most``."""
+        longer = self.pairs[total]
+        k = bisect_right(longer, most) - 1
+        while k >= 0:
+            pair = [longer[k], total - longer[k]]
+            if self._there(pair, taken):
+                return pair
+            if not self._there(pair):
+                del longer[k]
+            k -= 1
+        return None
+
+    def find(self, gap: int, taken: list[int]) -> list[int] | None:
+        """Lengths with sum ``gap``, besides pieces of the lengths ``taken``; few before many, long before short."""
+        if self._there([gap], taken):
+            return [gap]
+        if pair := self._pair(gap, gap, taken):
+            return pair
+        firsts = self.triples[gap]
+        for k in range(len(firsts) - 1, -1, -1):
+            first = firsts[k]
+            if not self.left[first] or not self.pairs[gap - first]:
+                del firsts[k]
+            elif self._there([first], taken) and (pair := self._pair(gap - first, first, [*taken, first])):
+                return [first, *pair]
         return None
-    longer = np.arange(min(most, gap - 1), (gap + 1) // 2 - 1, -1)
-    shorter = gap - longer
-    fits = (left[longer] > 0) & (left[shorter] > 0) & ((longer != shorter) | (left[longer] > 1))
-    if fits.any():
-        k = int(fits.argmax())
-        return [int(longer[k]), int(shorter[k])]
-    if parts == 3:
-        for first in range(min(most, gap - 2), -(-gap // 3) - 1, -1):
-            if left[first] > 0:
-                left[first] -= 1
-                two = _exact(left, gap - first, 2, first)
-                left[first] += 1
-                if two and len(two) == 2:
-                    return [first, *two]
-    return None
 
 
 def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[Pattern]:
@@ -183,19 +235,15 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[Pattern]:
         left[length] += n
     patterns = [Pattern([capacity], int(left[capacity]))] if left[capacity] else []
     left[capacity] = 0
+    index = Complements(left)
     for longest in range(capacity - 1, 0, -1):
-        while left[longest]:
-            left[longest] -= 1
-            others = _exact(left, capacity - longest, 3, longest)
-            left[longest] += 1
-            if others is None:
-                break
-            pattern = [longest, *others]
-            need = Counter(pattern)
+        # lengths that found no complement stay without one, so none above ``longest`` is met
+        while left[longest] and (others := index.find(capacity - longest, [longest])):
+            need = Counter([longest, *others])
             times = min(int(left[length]) // n for length, n in need.items())
             for length, n in need.items():
                 left[length] -= n * times
-            patterns.append(Pattern(pattern, times))
+            patterns.append(Pattern([longest, *others], times))
     return patterns + _best_fit(left, capacity)
 
 
@@ -257,7 +305,7 @@ def pack(
     Repeated rows are packed as often as they are there; a null doc_id stays null; an empty
     table gives an empty table; other columns are not read. ``path`` names the tokenizer's file.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    rows = docs.select(named(id_column).cast("long").alias("doc_id"), named(text_column).alias("text"))
     pieces = materialise(tokenised_pieces(rows, path, capacity), "pieces")
     counts = materialise(pieces.groupBy("length", "chunk").agg(F.count("*").alias("n")), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
