@@ -5,6 +5,7 @@ from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.header_index import header_index, refresh_header_index
+from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, publish_las, read_headers, read_las, write_las
 from lidarframe.streaming.files import stream_las
@@ -18,9 +19,11 @@ __all__ = [
     "las_audit",
     "las_view",
     "point_schema",
+    "list_las",
     "publish_las",
     "read_headers",
     "read_las",
+    "read_listed",
     "refresh_header_index",
     "register",
     "stream_las",

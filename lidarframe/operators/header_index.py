@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lidarframe.operators.listing import Listing
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import Paths, load, path_options, source_options
 from lidarframe.sources.boxes import Box
@@ -34,14 +35,19 @@ def header_index(spark: SparkSession, index: str) -> DataFrame | None:
     return spark.read.schema(INDEX_SCHEMA).parquet(found[-1]) if found else None
 
 
-def refresh_header_index(spark: SparkSession, path: Paths, index: str, **options) -> DataFrame:
-    """Brings the index up to date with the files below ``path`` and returns it.
+def refresh_header_index(
+    spark: SparkSession, path: Paths, index: str, listing: Listing | None = None, **options
+) -> DataFrame:
+    """Brings the index up to date with the files below ``path``, or those of ``listing``, and returns it.
 
     Options are those of ``read_headers``; with ``badFiles="keep"`` broken files have a row with their error. Two versions
     are kept: a query that began with the last one can end. If nothing has changed, no version is written.
     """
     register(spark)
-    files = load(spark.read.format("las_files").options(**source_options(spark, options)), path)
+    if listing is not None:
+        files = listing.files
+    else:
+        files = load(spark.read.format("las_files").options(**source_options(spark, options)), path)
     old = header_index(spark, index)
     fresh, kept = files, None
     if old is not None:

@@ -12,6 +12,7 @@ from lidarframe.functions.records import decode_points, encode_points
 from lidarframe.operators.aggregate import las_agg
 from lidarframe.operators.audit import las_audit
 from lidarframe.operators.header_index import refresh_header_index
+from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.plans import fixtures
@@ -28,7 +29,7 @@ DOUBLES = {"x", "y", "z", "gps_time"}
 def widened(points: DataFrame) -> DataFrame:
     """Integer columns as bigint, so that results compare with SQL engines by value."""
     return points.select(
-        *[F.col(c) if c in DOUBLES else F.col(c).cast("bigint").alias(c) for c in points.columns]
+        *[F.col(c) if c in DOUBLES or t == "string" else F.col(c).cast("bigint").alias(c) for c, t in points.dtypes]
     )
 
 
@@ -282,6 +283,22 @@ def las_where_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return widened(read_las(spark, path, ["x", "classification"], where="event_type LIKE 'p%' AND x > 10 AND y >= 1"))
 
 
+LISTED = "third >= 1 AND event_type <> 'error' AND x > 10"
+
+
+def las_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of folders listed by Spark jobs; one listing serves types, pruning and scan."""
+
+    def write(path: str) -> None:
+        points = fixtures.event_points(spark, sf_dir, "event_type", "cast(event_id % 3 as int) as third")
+        write_las(points, path, partition_by=["event_type", "third"])
+
+    path = fixtures.once(spark, sf_dir, "tree", write)
+    listing = list_las(spark, path, fixtures.fresh(spark, "listing"), pathGlobFilter="*.las")
+    points = read_listed(spark, listing, ["event_type", "third", "x", "y", "classification"], where=LISTED)
+    return widened(points)
+
+
 def las_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = read_headers(spark, fixtures.flagged_las(spark, sf_dir))
     return headers.groupBy("flag").agg(
@@ -392,6 +409,7 @@ def queries() -> dict[str, Query]:
             "hdr_box_folder": hdr_box_folder,
             "las_where_folder": las_where_folder,
             "hdr_after_cache": hdr_after_cache,
+            "las_listed": las_listed,
             "las_headers": las_headers,
             "las_header_audit": las_header_audit,
             "las_audit_faults": las_audit_faults,
@@ -538,6 +556,8 @@ def oracle_sql() -> dict[str, str]:
             "las_where_folder": f"SELECT x, CAST(classification AS BIGINT) AS classification FROM (SELECT event_type, "
             f"{columns_sql(EVENT_SQL, ['x', 'y', 'classification'])} FROM events) AS e "
             "WHERE event_type LIKE 'p%' AND x > 10 AND y >= 1",
+            "las_listed": "SELECT * FROM (SELECT event_type, event_id % 3 AS third, "
+            f"{columns_sql(EVENT_SQL, ['x', 'y', 'classification'])} FROM events) AS e WHERE {LISTED}",
             "hdr_after_cache": f"SELECT {bounds}, count(x) AS points FROM {p}",
             "las_headers": "SELECT flag, '1.2' AS version, CAST(227 AS BIGINT) AS header_size, "
             f"CAST(28 AS BIGINT) AS record_length, count(*) AS points, 28 * count(*) AS point_bytes, "

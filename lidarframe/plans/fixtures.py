@@ -85,11 +85,16 @@ def scratch(spark: SparkSession) -> str:
     return _written[key]
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path that nothing has been written to."""
+    return f"{scratch(spark)}/{uuid.uuid4().hex[:12]}-{name}"
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
     """Path of a fixture; ``write`` fills it at the first request."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = f"{scratch(spark)}/{uuid.uuid4().hex[:12]}-{name}"  # a retry gets a new one
+        path = fresh(spark, name)  # a retry gets a new one
         write(path)
         _written[key] = path
     return _written[key]

@@ -98,7 +98,7 @@ def given_paths(options) -> list[str]:
     raise ValueError("no path: use load(path) or the option 'path'")
 
 
-def _hidden(name: str) -> bool:
+def hidden(name: str) -> bool:
     return name.startswith((".", "_")) and "=" not in name
 
 
@@ -110,7 +110,7 @@ def _alternatives(pattern: str) -> list[str]:
     return [p for part in found[1].split(",") for p in _alternatives(head + part + tail)]
 
 
-def _expand(fs: pafs.FileSystem, path: str) -> list[pafs.FileInfo]:
+def expand(fs: pafs.FileSystem, path: str) -> list[pafs.FileInfo]:
     """File infos of a path, which may hold the wildcards * ? [..] {a,b}."""
     if not re.search(r"[*?\[{]", path):
         return [fs.get_file_info(path)]
@@ -130,7 +130,7 @@ def _expand(fs: pafs.FileSystem, path: str) -> list[pafs.FileInfo]:
                 if parent.type == pafs.FileType.Directory
                 for child in fs.get_file_info(pafs.FileSelector(parent.path))
                 if fnmatch.fnmatchcase(child.base_name, segment)
-                and not _hidden(child.base_name)
+                and not hidden(child.base_name)
             ]
         found.update((i.path, i) for i in level if i.type != pafs.FileType.NotFound)
     return [found[p] for p in sorted(found)]
@@ -143,15 +143,15 @@ def list_files(options) -> list[FileEntry]:
     with ThreadPoolExecutor(LIST_THREADS) as pool:
         for root in given_paths(options):
             fs, inner = filesystem(root)
-            tops = _expand(fs, inner)
+            tops = expand(fs, inner)
             if not tops or tops[0].type == pafs.FileType.NotFound:
                 raise FileNotFoundError(f"path does not exist: {root}")
             for top in tops:
-                base = _base(options, top)
+                base = base_folder(options, top)
                 found = []
                 for info, path in _visible(fs, top, pool):
                     below = path[len(base):].split("/")
-                    if info is not top and any(_hidden(part) for part in below):
+                    if info is not top and any(hidden(part) for part in below):
                         continue
                     if name_filter and not fnmatch.fnmatchcase(below[-1], name_filter):
                         continue
@@ -161,7 +161,7 @@ def list_files(options) -> list[FileEntry]:
     return entries
 
 
-def _base(options, top: pafs.FileInfo) -> str:
+def base_folder(options, top: pafs.FileInfo) -> str:
     """Folder below which k=v folders count: the option ``basePath``, else the path that is read."""
     if options.get("basePath"):
         base = filesystem(options["basePath"])[1].rstrip("/") + "/"
@@ -187,7 +187,7 @@ def _files_below(
 ) -> Iterator[pafs.FileInfo]:
     """All files of a folder; its sub-folders are listed side by side."""
     level = fs.get_file_info(pafs.FileSelector(top.path)) if top.type == pafs.FileType.Directory else [top]
-    folders = [i.path for i in level if i.type == pafs.FileType.Directory and not _hidden(i.base_name)]
+    folders = [i.path for i in level if i.type == pafs.FileType.Directory and not hidden(i.base_name)]
     deeper = pool.map(lambda p: fs.get_file_info(pafs.FileSelector(p, recursive=True)), folders)
     for infos in (level, *deeper):
         yield from (i for i in infos if i.type == pafs.FileType.File)
@@ -204,7 +204,7 @@ def has_key_folders(options) -> bool:
         return True
     for root in given_paths(options):
         fs, inner = filesystem(root)
-        for top in _expand(fs, inner):
+        for top in expand(fs, inner):
             if top.type == pafs.FileType.Directory and any(
                 "=" in child.base_name for child in fs.get_file_info(pafs.FileSelector(top.path))
             ):
