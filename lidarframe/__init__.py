@@ -8,6 +8,7 @@ from lidarframe.operators.header_index import header_index, refresh_header_index
 from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, publish_las, read_headers, read_las, write_las
+from lidarframe.operators.vlrs import read_vlrs, write_vlrs
 from lidarframe.streaming.files import stream_las
 
 __all__ = [
@@ -24,8 +25,10 @@ __all__ = [
     "read_headers",
     "read_las",
     "read_listed",
+    "read_vlrs",
     "refresh_header_index",
     "register",
     "stream_las",
     "write_las",
+    "write_vlrs",
 ]

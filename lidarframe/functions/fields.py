@@ -8,15 +8,18 @@ from lidarframe.sources.layouts import ATTRIBUTES, POINT_FORMATS, column_type
 
 
 def point_schema(
-    *names: str, unsigned: bool = False, strict: bool = False, nullable: bool = False
+    *names: str, unsigned: bool = False, strict: bool = False, nullable: bool = False, exact: int | None = None
 ) -> T.StructType:
-    """Schema of the named point attributes in the given order; without names all of them."""
+    """Schema of the named point attributes in the given order; without names all of them.
+
+    With ``exact`` x, y, z are decimals with so many digits after the point, computed without doubles.
+    """
     for name in names:
         if name not in ATTRIBUTES:
             raise ValueError(f"{name!r} is no point attribute; known: {', '.join(ATTRIBUTES)}")
     return T.StructType(
         [
-            T.StructField(n, column_type(n, unsigned, strict), nullable)
+            T.StructField(n, column_type(n, unsigned, strict, exact), nullable)
             for n in names or ATTRIBUTES
         ]
     )

@@ -142,8 +142,8 @@ def _totals(plan: Mapping[str, str]) -> list[str]:
     return _totals_in(plan) or ["__count"]
 
 
-def _header_total(name: str, null_missing: bool) -> str:
-    """SQL of a file's part of a total."""
+def _header_total(name: str, null_missing: bool, exact: int | None = None) -> str:
+    """SQL of a file's part of a total; with ``exact``, bounds as the decimals that a scan gives."""
     if name == "__count":
         return f"point_count AS {name}"
     if name.startswith("__count_"):
@@ -157,7 +157,15 @@ def _header_total(name: str, null_missing: bool) -> str:
             listed = ", ".join(map(str, formats))
             held = f"CASE WHEN point_format IN ({listed}) THEN point_count ELSE {other} END"
         return f"{held} AS {name}"
-    return f"{name.removeprefix('__')} AS {name}"
+    bound, c = name.removeprefix("__"), name[-1]
+    if exact is None:
+        return f"{bound} AS {name}"
+    kind = f"DECIMAL(18, {exact})"
+    scale, offset = (f"CAST(CAST({n}_{c} AS STRING) AS {kind})" for n in ("scale", "offset"))
+    raw = f"CAST(round(({bound} - offset_{c}) / scale_{c}) AS DECIMAL(11, 0))"
+    fits = f"CAST({scale} AS DOUBLE) = scale_{c} AND CAST({offset} AS DOUBLE) = offset_{c}"
+    problem = f"CAST(raise_error(concat(path, ': scale or offset need more than {exact} digits')) AS {kind})"
+    return f"CASE WHEN {fits} THEN CAST({raw} * {scale} + {offset} AS {kind}) ELSE {problem} END AS {name}"
 
 
 def _header_totals(spark, path, plan, group_by: Sequence[str], options: dict, where: Sequence[str] = ()) -> DataFrame:
@@ -166,6 +174,9 @@ def _header_totals(spark, path, plan, group_by: Sequence[str], options: dict, wh
     names = _totals(plan)
     columns = ["path", "point_format", "point_count"]
     columns += [n.removeprefix("__") for n in names if not n.startswith("__count")]
+    exact = kinds(options)["exact"]
+    if exact is not None:
+        columns += [f"{k}_{c}" for c in COORDINATES for k in ("scale", "offset") if any(n[-1] == c for n in names)]
     narrow = None if where or set(group_by) - {PATH_COLUMN} else columns
     # files without points carry meaningless bounds
     headers = (indexed_headers if "index" in options else read_headers)(spark, path, columns=narrow, **options)
@@ -173,7 +184,7 @@ def _header_totals(spark, path, plan, group_by: Sequence[str], options: dict, wh
     for text in where:
         headers = headers.where(text)
     keys = [F.col("path").alias(g) if g == PATH_COLUMN else F.col(f"`{g}`") for g in group_by]
-    return headers.select(*keys, *[F.expr(_header_total(n, null_missing)) for n in names])
+    return headers.select(*keys, *[F.expr(_header_total(n, null_missing, exact)) for n in names])
 
 
 def _point_totals(spark, path, plan, where: str, group_by: Sequence[str], options: dict) -> DataFrame:

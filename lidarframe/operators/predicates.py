@@ -58,7 +58,8 @@ def box_tree(spark: SparkSession, where: str, fields: Sequence[T.StructField] =
 
     Spark's optimizer has folded constants, moved NOT inwards and brought literals to the column's type before.
     """
-    schema = T.StructType([*point_schema(**kinds), T.StructField(PATH_COLUMN, T.StringType(), False), *fields])
+    # doubles decide in any case: boxes are widened by far more than what they round
+    schema = T.StructType([*point_schema(**{**kinds, "exact": None}), T.StructField(PATH_COLUMN, T.StringType(), False), *fields])
     # not known to be empty, or the optimizer would drop the predicate
     points = spark.createDataFrame(spark.sparkContext.emptyRDD(), schema)
     plan = points.where(where)._jdf.queryExecution().optimizedPlan()

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from lidarframe.sources.headers import LasFileSource, LasHeaderSource, LasRangeStatsSource
 from lidarframe.sources.points import LasDataSource
 from lidarframe.sources.publication import LasPublishSource
+from lidarframe.sources.vlrs import VlrSource
 
 _registered: WeakSet[SparkSession] = WeakSet()
 
@@ -28,7 +29,7 @@ def register(spark: SparkSession) -> None:
     if spark in _registered:
         return
     _ship_package(spark)
-    for source in (LasDataSource, LasFileSource, LasHeaderSource, LasRangeStatsSource, LasPublishSource):
+    for source in (LasDataSource, LasFileSource, LasHeaderSource, LasRangeStatsSource, LasPublishSource, VlrSource):
         spark.dataSource.register(source)
     _registered.add(spark)
 

@@ -35,9 +35,11 @@ def path_options(path: Paths, options: dict) -> dict:
     return {**options, **base}
 
 
-def kinds(options: dict) -> dict[str, bool]:
+def kinds(options: dict) -> dict:
     """The options that decide the types of point attributes."""
-    return {name: flag(options, name) for name in ("unsigned", "strict")}
+    exact = options.get("exact")
+    found = {name: flag(options, name) for name in ("unsigned", "strict")}
+    return {**found, "exact": None if exact in (None, "") else int(exact)}
 
 
 def load(reader, path: Paths) -> DataFrame:
@@ -130,6 +132,8 @@ def read_las(
     if filters:
         options["filters"] = json.dumps([list(f) for f in filters])
     reader = spark.read.format("las").options(**options)
+    if columns is None and options.get("exact") is not None:
+        columns = [*COORDINATES, *(f.name for f in partition_fields(path_options(path, options)))]
     if columns is None:
         return load(reader, path)
     if not columns:

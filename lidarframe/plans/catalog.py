@@ -15,6 +15,7 @@ from lidarframe.operators.header_index import refresh_header_index
 from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
+from lidarframe.operators.vlrs import read_vlrs
 from lidarframe.plans import fixtures
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS
 from lidarframe.streaming.files import stream_las
@@ -212,6 +213,42 @@ def hdr_box_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return las_agg(spark, path, aggs, where=f"({FOLDERS}) AND x >= 10 AND z BETWEEN -5 AND 2000", group_by=["event_type"])
 
 
+EXACT = "x > 1000.05 AND y <= 40"
+
+
+def las_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of coordinates without rounding, as text."""
+    points = read_las(spark, fixtures.lineitem_las(spark, sf_dir), ["x", "y", "z", "classification"], where=EXACT, exact=2)
+    sums = [F.sum(c).cast("string").alias(f"sum_{c}") for c in COORDINATES]
+    return points.groupBy(F.col("classification").cast("bigint").alias("classification")).agg(
+        *sums, F.max("x").cast("string").alias("max_x")
+    )
+
+
+def hdr_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds as decimals, from headers."""
+    texts = {f"{m}_{c}": f"CAST({m}({c}) AS STRING)" for m in ("min", "max") for c in COORDINATES}
+    return las_agg(spark, fixtures.tiles_las(spark, sf_dir), texts, exact=2)
+
+
+def las_vlr_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of part as variable-length records of files, and back."""
+    found = read_vlrs(spark, fixtures.recorded_las(spark, sf_dir))
+    return found.select(
+        "user_id",
+        F.col("record_id").cast("bigint").alias("record_id"),
+        "description",
+        "length",
+        F.md5("data").alias("digest"),
+        F.col("extended").cast("bigint").alias("extended"),
+    )
+
+
+def las_vlr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of files that were given records."""
+    return summed(read_las(spark, fixtures.recorded_las(spark, sf_dir), COORDINATES))
+
+
 def las_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         points = fixtures.lineitem_points(spark, sf_dir, 2)
@@ -368,6 +405,10 @@ def queries() -> dict[str, Query]:
             "las_stream_folders": las_stream_folders,
             "las_write_roundtrip": las_write_roundtrip,
             "las_write_curve": las_write_curve,
+            "las_exact": las_exact,
+            "hdr_exact": hdr_exact,
+            "las_vlr_roundtrip": las_vlr_roundtrip,
+            "las_vlr_points": las_vlr_points,
             "las_unsigned": las_unsigned,
             "las_strict": las_strict,
             "las_column_pruning": las_column_pruning,
@@ -456,6 +497,7 @@ LINEITEM_SQL = {
     "scan_angle": "round(l_tax * 100)",
     "nir": "(l_orderkey + 3) % 32768",
 }
+LINEITEM_SQL_VALUES = {"x": "l_extendedprice", "y": "l_quantity", "z": "l_discount"}  # before they are rounded
 EVENT_SQL = {
     "x": grid("value"),
     "y": grid("user_id"),
@@ -490,6 +532,12 @@ def oracle_sql() -> dict[str, str]:
     bounds = ", ".join(f"{text} AS {name}" for name, text in BOUNDS.items())
     both = f"{lineitem_sql('x', 'y', 'z')} UNION ALL {events_sql('x', 'y', 'z')}"
     sums = ", ".join(f"CAST(sum({cents(c)}) AS BIGINT) AS sum_{c}_cents" for c in COORDINATES)
+    decimals = "(SELECT " + ", ".join(
+        f"CAST({LINEITEM_SQL_VALUES[c]} AS DECIMAL(18, 2)) AS {c}" for c in COORDINATES
+    ) + f", CAST({LINEITEM_SQL['classification']} AS BIGINT) AS classification FROM lineitem) AS d"
+    lineitem_sums = ", ".join(
+        f"CAST(sum({cents(v)}) AS BIGINT) AS sum_{c}_cents" for c, v in LINEITEM_SQL_VALUES.items()
+    )
     found = {
         "las_scan": xyz,
         "las_read_shortcut": xyz,
@@ -519,6 +567,15 @@ def oracle_sql() -> dict[str, str]:
             "event_id % 3 AS path_third FROM events GROUP BY event_type, event_id % 3",
             "las_write_roundtrip": lineitem_sql(*POINT_FORMATS[1]),
             "las_write_curve": lineitem_sql(*POINT_FORMATS[1]),
+            "las_exact": f"SELECT classification, {', '.join(f'CAST(sum({c}) AS VARCHAR) AS sum_{c}' for c in COORDINATES)}, "
+            f"CAST(max(x) AS VARCHAR) AS max_x FROM {decimals} WHERE {EXACT} GROUP BY classification",
+            "hdr_exact": "SELECT "
+            + ", ".join(f"CAST({m}({c}) AS VARCHAR) AS {m}_{c}" for m in ("min", "max") for c in COORDINATES)
+            + f" FROM {decimals}",
+            "las_vlr_roundtrip": "SELECT p_brand AS user_id, p_partkey % 65536 AS record_id, substr(p_type, 1, 32) AS description, "
+            "strlen(d) AS length, md5(d) AS digest, CAST(strlen(d) > 65535 AS BIGINT) AS extended FROM (SELECT *, "
+            "p_name || ' ' || p_partkey || CASE WHEN p_partkey % 10 = 0 THEN repeat('.', 70000) ELSE '' END AS d FROM part) AS q",
+            "las_vlr_points": f"SELECT count(*) AS points, {lineitem_sums} FROM lineitem",
             "las_unsigned": f"SELECT {LINEITEM_SQL['x']} AS x, CAST(l_partkey % 32768 + 32768 AS BIGINT) AS "
             f"intensity, CAST({LINEITEM_SQL['classification']} + 200 AS BIGINT) AS classification, "
             "CAST(l_orderkey % 32768 AS BIGINT) AS r FROM lineitem",

@@ -12,9 +12,11 @@ from collections.abc import Callable
 import numpy as np
 from pyarrow.fs import LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lidarframe.functions.records import encode_points
 from lidarframe.operators.tables import write_las
+from lidarframe.operators.vlrs import write_vlrs
 from lidarframe.sources.files import filesystem, list_files
 from lidarframe.sources.layouts import POINT_FORMATS, pack_header
 from lidarframe.sources.writer import codec_from_options
@@ -261,6 +263,28 @@ def dated_drops(spark: SparkSession, sf_dir: str, ingest: Callable[[str], object
     return once(spark, sf_dir, "dated", write)
 
 
+# Records of `part`; every tenth is longer than a plain record may be.
+PART_RECORDS = {
+    "user_id": "p_brand",
+    "record_id": "p_partkey % 65536",
+    "description": "substr(p_type, 1, 32)",
+    "data": "encode(concat(p_name, ' ', p_partkey, if(p_partkey % 10 = 0, repeat('.', 70000), '')), 'UTF-8')",
+}
+
+
+def recorded_las(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem in eight LAS 1.4 files that carry the rows of `part` as variable-length records."""
+
+    def write(path: str) -> None:
+        write_las(lineitem_points(spark, sf_dir, 6), path, num_partitions=8, pointFormat=6, maxPointsPerFile=POINTS_PER_FILE)
+        ring = [r.path for r in spark.read.format("las_files").load(path).orderBy("path").limit(8).collect()]
+        names = F.array(*map(F.lit, ring))
+        parts = table(spark, sf_dir, "part").selectExpr(*[f"{v} as {k}" for k, v in PART_RECORDS.items()], "p_partkey")
+        write_vlrs(parts.withColumn("path", F.element_at(names, (F.pmod("p_partkey", F.lit(len(ring))) + 1).cast("int"))))
+
+    return once(spark, sf_dir, "recorded", write)
+
+
 def packed_lineitem(spark: SparkSession, sf_dir: str) -> str:
     """A parquet table with one packed point record per lineitem row."""
     points = lineitem_points(spark, sf_dir, 1, "l_orderkey")

@@ -7,6 +7,7 @@ without a per-point step. The same dtypes serve the scan, the sink and the recor
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -129,8 +130,10 @@ def stored_dtype(name: str, unsigned: bool, strict: bool) -> str:
     return "<" + disk
 
 
-def column_type(name: str, unsigned: bool = False, strict: bool = False) -> T.DataType:
+def column_type(name: str, unsigned: bool = False, strict: bool = False, exact: int | None = None) -> T.DataType:
     disk, default = ATTRIBUTES[name]
+    if exact is not None and name in COORDINATES:
+        return T.DecimalType(18, exact)
     if strict and disk == "f4":
         default = "float"
     if unsigned and disk in _WIDENED:
@@ -189,6 +192,8 @@ class PointCodec:
         values = np.ascontiguousarray(records[name])
         if name in COORDINATES:
             axis = COORDINATES.index(name)
+            if pa.types.is_decimal(arrow_type):
+                return exact_coordinates(values, self.scale[axis], self.offset[axis], arrow_type)
             values = values * self.scale[axis] + self.offset[axis]
         array = pa.array(values)
         return array if array.type == arrow_type else array.cast(arrow_type)
@@ -226,6 +231,20 @@ class PointCodec:
         return raw.astype("<i4")
 
 
+def exact_coordinates(raw: np.ndarray, scale: float, offset: float, kind: pa.Decimal128Type) -> pa.Array:
+    """raw * scale + offset as decimals, with scale and offset read as the decimal numbers that they are written as."""
+    unit = Decimal(1).scaleb(-kind.scale)
+    step, start = (Decimal(repr(v)) / unit for v in (scale, offset))
+    if step != step.to_integral_value() or start != start.to_integral_value():
+        raise pa.ArrowInvalid(f"scale {scale} and offset {offset} need more than {kind.scale} digits after the point")
+    ends = [int(step) * int(r) + int(start) for r in ((raw.min(), raw.max()) if len(raw) else ())]
+    if any(abs(e) >= min(10**kind.precision, 2**63) for e in ends):
+        raise pa.ArrowInvalid(f"coordinates need more than {min(kind.precision, 18)} digits")
+    low = raw.astype(np.int64) * int(step) + int(start)
+    words = np.stack([low, low >> 63], 1)  # 128 bits, the lower half first
+    return pa.Array.from_buffers(kind, len(raw), [None, pa.py_buffer(np.ascontiguousarray(words))])
+
+
 @dataclass(frozen=True)
 class Header:
     """The parsed values of one public header block."""
@@ -317,8 +336,10 @@ def pack_header(
     minimum: list[float],
     maximum: list[float],
     created: tuple[int, int],
+    n_vlr: int = 0,
+    vlr_bytes: int = 0,
 ) -> bytes:
-    """Header bytes of a file without variable-length records."""
+    """Header bytes of a file; ``vlr_bytes`` of variable-length records lie between them and the points."""
     dtype = HEADER_DTYPES[minor]
     block = np.zeros(1, dtype)
     head = block[0]
@@ -326,7 +347,9 @@ def pack_header(
     head["version_major"], head["version_minor"] = 1, minor
     head["generating_software"] = b"lidarframe"
     head["creation_year"], head["creation_day"] = created
-    head["header_size"] = head["point_offset"] = dtype.itemsize
+    head["header_size"] = dtype.itemsize
+    head["point_offset"] = dtype.itemsize + vlr_bytes
+    head["n_vlr"] = n_vlr
     head["point_format"] = codec.point_format
     head["record_length"] = codec.record_length
     head["scale"], head["offset"] = codec.scale, codec.offset

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import operator
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -144,7 +145,7 @@ class PointRanges:
                 found = None
             if isinstance(found, str) != isinstance(sample, str) or found is None:
                 raise LasFormatError(f"{file.name}: cannot compare {name}={keys[name]} with {value!r}")
-            passed = _passes(np.array([found]), test, value)[0]
+            passed = _passes(pa.array([found]), test, value)[0]
             if not passed:
                 return False
         return True
@@ -213,7 +214,7 @@ class PointRanges:
                         columns[name] = codec.column(records, name, self.tested_types[name])
                     keep = np.ones(rows, bool)
                     for name, test, value in filters:
-                        keep &= _passes(columns[name].to_numpy(zero_copy_only=False), test, value)
+                        keep &= _passes(columns[name], test, value)
                     if not keep.any():
                         continue
                     if not keep.all():
@@ -354,9 +355,16 @@ def parse_filters(text: str | None) -> list[tuple[str, str, object]]:
     return filters
 
 
-def _passes(values: np.ndarray, test: str, value) -> np.ndarray:
+def _passes(column: pa.Array, test: str, value) -> np.ndarray:
     """Rows for which the comparison holds: floats as doubles, NaN equal to itself and above all
-    numbers, as everywhere in Spark."""
+    numbers, as everywhere in Spark; decimals with the decimal number that a value is written as."""
+    values = column.to_numpy(zero_copy_only=False)
+    if pa.types.is_decimal(column.type):
+        if test == "in":
+            wanted = {Decimal(repr(v)) for v in value}
+            return np.array([v in wanted for v in values], bool)
+        number = Decimal(repr(value))
+        return np.array([_COMPARISONS[test](v, number) if number == number else test in ("<", "<=") for v in values], bool)
     if values.dtype.kind != "f":
         if test == "in":
             return np.isin(values, [v for v in value if v == v]) if value else np.zeros(len(values), bool)

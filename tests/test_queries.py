@@ -9,7 +9,7 @@ import __spark_entry__ as entry_module
 from lidarframe.plans.catalog import oracle_sql, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ["lineitem", "events"]
+TABLES = ["lineitem", "events", "part"]
 
 
 @pytest.fixture(scope="module")

@@ -1,0 +1,109 @@
+"""Variable-length records: reading, writing, broken chains."""
+
+import struct
+from pathlib import Path
+
+import pytest
+
+from lidarframe import read_headers, read_las, read_vlrs, write_las, write_vlrs
+from lidarframe.sources.layouts import parse_header
+from lidarframe.sources.vlrs import Vlr, put_records
+
+
+def points(spark, n=50):
+    return spark.range(0, n, 1, 1).selectExpr("cast(id as double) as x", "1D as y", "2D as z")
+
+
+def las(spark, tmp_path, name="p", **how):
+    path = tmp_path / name
+    write_las(points(spark), str(path), **how)
+    (file,) = path.glob("*.las")
+    return file
+
+
+def rows(spark, path, **how):
+    found = read_vlrs(spark, str(path), **how).orderBy("extended", "place").collect()
+    return [(r.extended, r.place, r.user_id, r.record_id, r.description, r.length) for r in found]
+
+
+def record(user, number, text, data, extended=False):
+    return Vlr(extended, user.encode().ljust(16, b"\0"), number, text.encode().ljust(32, b"\0"), len(data), data)
+
+
+def test_hand_packed_records(spark, tmp_path):
+    file = las(spark, tmp_path, pointFormat=6)
+    data = bytearray(file.read_bytes())
+    plain = struct.pack("<H16sHH32s", 43707, b"LASF_Projection\0", 2112, 5, b"WKT") + b"hello"
+    plain += struct.pack("<H16sHH32s", 0, b"sixteen bytes id", 65535, 0, "é".encode() * 16)
+    extended = struct.pack("<H16sHQ32s", 0, b"big", 7, 3, b"last") + b"xyz"
+    struct.pack_into("<II", data, 96, 375 + len(plain), 2)
+    struct.pack_into("<QI", data, 235, len(data) + len(plain), 1)
+    file.write_bytes(bytes(data[:375]) + plain + bytes(data[375:]) + extended)
+    want = [(False, 0, "LASF_Projection", 2112, "WKT", 5), (False, 1, "sixteen bytes id", 65535, "é" * 16, 0), (True, 0, "big", 7, "last", 3)]
+    assert rows(spark, file) == want == rows(spark, file, with_data=False)
+    found = read_vlrs(spark, str(file)).orderBy("extended", "place").collect()
+    assert [bytes(r.data) for r in found] == [b"hello", b"", b"xyz"]
+    assert "data" not in read_vlrs(spark, str(file), with_data=False).columns
+    assert read_las(spark, str(file)).count() == 50
+
+
+def test_put_and_put_again(spark, tmp_path):
+    file = las(spark, tmp_path, pointFormat=6)
+    schema = "path string, user_id string, record_id int, description string, data binary, place string"
+    name = str(file)
+    new = [(name, "a", 1, "one", b"1" * 10, "x"), (name, None, 2, None, None, "x"), (name, "a", 3, "three", b"3" * 70_000, "x")]
+    table = spark.createDataFrame([*new, new[0]], schema)
+    assert [tuple(r) for r in write_vlrs(table).collect()] == [(name, 3)]
+    want = [(False, 0, "a", 1, "one", 10), (False, 1, "", 2, "", 0), (True, 0, "a", 3, "three", 70_000)]
+    assert sorted(rows(spark, file)) == sorted(want)
+    before = file.read_bytes()
+    assert [r.added for r in write_vlrs(table).collect()] == [0] and file.read_bytes() == before
+    more = spark.createDataFrame([(name, "b", 9, "nine", b"9", "x")], schema)
+    assert [r.added for r in write_vlrs(more).collect()] == [1]
+    assert sorted(r[3] for r in rows(spark, file)) == [1, 2, 3, 9]
+    assert sorted(int(r.x) for r in read_las(spark, name).collect()) == list(range(50))
+    assert read_headers(spark, name).first().n_vlr == 3
+    write_vlrs(more, "replace")
+    assert rows(spark, file) == [(False, 0, "b", 9, "nine", 1)]
+    assert read_las(spark, name).count() == 50 and [p.name for p in file.parent.glob("_*.las*")] == []
+    assert write_vlrs(more.limit(0)).count() == 0
+
+
+def test_waveforms_behind_the_points_move_along(spark, tmp_path):
+    file = las(spark, tmp_path, pointFormat=6)
+    data = bytearray(file.read_bytes())
+    struct.pack_into("<Q", data, 227, len(data))
+    file.write_bytes(bytes(data) + b"waveforms")
+    assert put_records(str(file), [record("a", 1, "t", b"12345"), record("b", 2, "u", b"x" * 70_000, True)], False) == 2
+    new = file.read_bytes()
+    (at,) = struct.unpack_from("<Q", new, 227)
+    assert new[at : at + 9] == b"waveforms" and at == len(data) + 54 + 5
+    assert parse_header(new[:375], "x").records_held(len(new)) == 50
+    assert [r[3] for r in rows(spark, file)] == [1, 2]
+
+
+def test_refusals(spark, tmp_path):
+    old = las(spark, tmp_path, pointFormat=1)
+    schema = "path string, user_id string, record_id int, description string, data binary"
+    for row, message in (
+        ((str(old), "a", 1, "t", b"x" * 70_000), "LAS 1.4"),
+        ((str(old), "a" * 17, 1, "t", b""), "longer than 16"),
+        ((str(old), "a", 1, "é" * 17, b""), "longer than 32"),
+        ((str(old), "a", 70_000, "t", b""), "format"),
+    ):
+        with pytest.raises(Exception, match=message):
+            write_vlrs(spark.createDataFrame([row], schema)).collect()
+    assert read_las(spark, str(old)).count() == 50 and rows(spark, old) == []
+    with pytest.raises(ValueError, match="mode"):
+        write_vlrs(spark.createDataFrame([], schema), "merge")
+
+
+@pytest.mark.parametrize("spoil", [lambda d: struct.pack_into("<I", d, 100, 9), lambda d: struct.pack_into("<H", d, 375 + 20, 60_000)])
+def test_broken_chains(spark, tmp_path, spoil):
+    file = las(spark, tmp_path, pointFormat=6)
+    put_records(str(file), [record("a", 1, "t", b"12345")], False)
+    data = bytearray(file.read_bytes())
+    spoil(data)
+    Path(file).write_bytes(data)
+    with pytest.raises(Exception, match="behind byte"):
+        read_vlrs(spark, str(file)).collect()
