@@ -83,8 +83,9 @@ def with_row_keys(rows: DataFrame, *more: Column) -> DataFrame:
             F.xxhash64("_metadata.file_path").alias("row_file"),
             F.col("_metadata.row_index").alias("row_at"),
         )
-    row = F.monotonically_increasing_id()
-    return materialise(rows.select(*columns, F.lit(0).cast("long").alias("row_file"), row.alias("row_at")), "numbered", "zstd")
+    row = F.monotonically_increasing_id()  # number of the partition in the upper bits, place in it in 33 lower ones
+    keys = F.shiftright(row, 33).alias("row_file"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("row_at")
+    return materialise(rows.select(*columns, *keys), "numbered", "zstd")
 
 
 def _rows_of_files(rows: DataFrame) -> bool:

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,11 +26,12 @@ from pyspark.sql import types as T
 from lidarframe.llm.common import materialise, named, shown, table, text_slices, with_row_keys
 
 MIN_WORDS = 20
-MIN_LINE_WORDS = 8
+MIN_LINE_WORDS = 20  # shorter lines that repeat are mostly single stock sentences (README)
 SHORT_UNIT = 4  # units of fewer words are not looked up
 LONG_UNIT = 12  # longer ones are cut
 LONGEST_UNIT = 32  # also without a word to cut at
 NEAR = SHORT_UNIT - 1
+PLACE_BITS = 28  # a text of at most 2^31 bytes has fewer than 2^28 units of four words
 _BREAK = re.compile(r"(?<=[.!?…。！？])\s+|[^\S\n]*\n\s*")
 _WORD = re.compile(r"\S+")
 
@@ -87,7 +89,9 @@ def digest(unit: str) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(unit.lower().split()).rstrip(" .!?…。！？,;:").encode("utf-8", "replace"))
 
 
-def removed_spans(text: str, repeated: set[int]) -> list[tuple[int, int]]:
+def removed_spans(
+    text: str, repeated: set[int], min_words: int = MIN_WORDS, min_line_words: int = MIN_LINE_WORDS
+) -> list[tuple[int, int]]:
     """Spans to take out, given the numbers of the units that are repeated."""
     all_units = units(text)
     spans: list[tuple[int, int]] = []
@@ -103,7 +107,7 @@ def removed_spans(text: str, repeated: set[int]) -> list[tuple[int, int]]:
         after = all_units[run[-1] + 1][0] if run[-1] + 1 < len(all_units) else len(text)
         line_start = not text[:start].rpartition("\n")[2].strip()
         line_end = "\n" in text[end:after] or not text[end:].strip()
-        if words >= MIN_WORDS or (line_start and line_end and words >= MIN_LINE_WORDS):
+        if words >= min_words or (line_start and line_end and words >= min_line_words):
             if "\n" in text[end:after] and not line_start:
                 after = end  # what stays keeps its line end
             spans.append((start, after))
@@ -126,6 +130,9 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*kept, text[at:]])
 
 
+_UNITS = ["d0", "d1", "rank", "row_file", "spot"]  # digest; spot: place in the file, then the unit's number
+
+
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in text_slices(batches):
         digests, row, place = [], [], []
@@ -139,34 +146,46 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row.append(doc)
                     place.append(k)
         if digests:
-            keys = [part.column(name).take(pa.array(row)) for name in ("rank", "row_file", "row_at")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), *keys, pa.array(place, pa.int32())],
-                ["digest", "rank", "row_file", "row_at", "place"],
-            )
-
-
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+            both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            rank, file, at = (part.column(name).to_numpy()[row] for name in ("rank", "row_file", "row_at"))
+            if (at >> (63 - PLACE_BITS)).any():
+                raise ValueError(f"a file of more than 2^{63 - PLACE_BITS} rows")
+            columns = [both[:, 0], both[:, 1], rank, file, at << PLACE_BITS | np.asarray(place)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _UNITS)
+
+
+def remove_repeats(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    min_words: int = MIN_WORDS,
+    min_line_words: int = MIN_LINE_WORDS,
+) -> DataFrame:
     """The rows of ``docs`` with repeated passages cut out of the text, and a column removed_spans.
 
     removed_spans (array of start, end in characters of the original text) says what is gone; it is
     empty for texts that stay as they are. Null texts stay null, a text may become empty, no row is dropped. Rows with a
     null id rank last. Repeated rows rank one after the other, so the second loses what the first has.
-    An empty table gives an empty table. A column named removed_spans is replaced, other names are free.
+    An empty table gives an empty table. A column named removed_spans is replaced, other names are free. Runs of
+    ``min_words`` words are removed, and whole lines (or runs of them) of ``min_line_words``.
     """
     columns = [c for c in docs.columns if c.lower() != "removed_spans"]
     rank = F.coalesce(named(id_column).cast("long"), F.lit(2**63 - 1)).alias("rank")
     numbered = with_row_keys(docs.select(*map(named, columns)), rank, named(text_column).alias("text"))
     row = ["row_file", "row_at"]
-    found = numbered.select("rank", *row, "text").mapInArrow(
-        _unit_rows, "digest binary, rank long, row_file long, row_at long, place int"
-    )
+    found = numbered.select("rank", *row, "text").mapInArrow(_unit_rows, ", ".join(f"{c} long" for c in _UNITS))
     found = materialise(found, "units", "zstd")
-    at = F.struct("rank", *row, "place")
-    first = found.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    at = F.struct("rank", "row_file", "spot")
+    first = found.groupBy("d0", "d1").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("d0", "d1", F.col("first.row_file").alias("first_file"), F.col("first.spot").alias("first_spot"))
     first = materialise(first, "firsts", "zstd")  # written, so that AQE can split a frequent digest's rows in the join
-    later = found.join(first, "digest").where(at != F.col("first"))
-    places = later.groupBy(*row).agg(F.collect_list("place").alias("places"))
+    later = found.drop("rank").join(first, ["d0", "d1"]).where("row_file <> first_file or spot <> first_spot")
+    places = later.select(
+        "row_file",
+        F.shiftright("spot", PLACE_BITS).alias("row_at"),
+        F.col("spot").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("place"),
+    )
+    places = places.groupBy(*row).agg(F.collect_list("place").alias("places"))
     joined = numbered.drop("rank", "text").join(places, row, "left").drop(*row)
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -179,7 +198,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             new, gone = [], []
             for text, places_found in zip(texts, part.column("places").to_pylist()):
                 text = None if text is None else text.decode()
-                out = removed_spans(text, set(places_found)) if places_found else []
+                out = removed_spans(text, set(places_found), min_words, min_line_words) if places_found else []
                 new.append(cut(text, out) if out else text)
                 gone.append([{"start": a, "end": b} for a, b in out])
             arrays = [part.column(f"c{k}") for k in range(len(columns))]

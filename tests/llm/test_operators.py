@@ -551,7 +551,7 @@ def test_packing_like_whole_texts(odd_docs):
 # repeated passages
 
 
-def slow_repeats(rows):
+def slow_repeats(rows, min_line_words):
     seen, out = set(), []
     for _, text in sorted(rows, key=lambda r: r[0]):
         repeated = set()
@@ -561,15 +561,15 @@ def slow_repeats(rows):
                 if d in seen:
                     repeated.add(k)
                 seen.add(d)
-        out.append(substrings.cut(text, substrings.removed_spans(text, repeated)))
+        out.append(substrings.cut(text, substrings.removed_spans(text, repeated, min_line_words=min_line_words)))
     return out
 
 
 def test_repeats_like_one_by_one(docs):
     passage = ". ".join(prose(k, 15)[:-1].capitalize() for k in range(5)) + "."
     rows = [(k, f"{prose(100 + k, 20)} {passage} {prose(200 + k, 20)}\n{prose(7, 12)}\nEnd {k}.") for k in range(6)]
-    found = {r.doc_id: r for r in substrings.remove_repeats(docs(rows)).collect()}
-    assert [found[k].text for k in range(6)] == slow_repeats(rows)
+    found = {r.doc_id: r for r in substrings.remove_repeats(docs(rows), min_line_words=8).collect()}
+    assert [found[k].text for k in range(6)] == slow_repeats(rows, 8)
     assert found[0].text == rows[0][1] and not found[0].removed_spans
     for k in range(1, 6):
         spans = [(s.start, s.end) for s in found[k].removed_spans]
@@ -577,6 +577,15 @@ def test_repeats_like_one_by_one(docs):
         assert passage[-200:] not in found[k].text and f"End {k}." in found[k].text and prose(7, 12) not in found[k].text
 
 
+def test_short_lines_stay_unless_asked_for(docs):
+    line, long_line = prose(7, 12), prose(8, 21)
+    rows = [(k, f"{prose(100 + k, 20)}\n{line}\n{prose(200 + k, 20)}\n{long_line}\nEnd {k}.") for k in range(3)]
+    found = {r.doc_id: r.text for r in substrings.remove_repeats(docs(rows)).collect()}
+    assert all(line in found[k] and long_line not in found[k] and f"End {k}." in found[k] for k in (1, 2))
+    found = {r.doc_id: r.text for r in substrings.remove_repeats(docs(rows), min_line_words=8).collect()}
+    assert all(line not in found[k] and long_line not in found[k] for k in (1, 2))
+
+
 @pytest.mark.parametrize("words", [51, 60])
 def test_repeats_without_sentence_ends(docs, words):
     rng = random.Random(words)
