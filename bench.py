@@ -11,13 +11,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lidarframe import las_agg, las_audit, read_las, write_las
+from lidarframe import las_agg, las_audit, read_las, refresh_header_index, write_las
 from lidarframe.plans import catalog, fixtures
 from lidarframe.sources.layouts import POINT_FORMATS
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+COPIES = int(os.environ.get("BENCH_COPIES", "32"))
 
 
 def drain(df: DataFrame) -> None:
@@ -46,6 +47,17 @@ def main() -> None:
     one = folders[1]
     size = sum(f.stat().st_size for f in Path(one).glob("*.las"))
     seven = {**catalog.BOUNDS, "points": "count(x)"}
+
+    # a cloud large enough for scans to cost something: lineitem, COPIES times, a little apart
+    large = f"{fixtures.scratch(spark)}/large"
+    apart = F.explode(F.sequence(F.lit(1), F.lit(COPIES)))
+    copies = points.withColumn("copy", apart).withColumn("x", F.col("x") + 0.01 * F.col("copy")).drop("copy")
+    start = time.perf_counter()
+    write_las(copies, large, curve_by=["x", "y"], num_partitions=64, pointFormat=1)
+    large_write = round(time.perf_counter() - start, 4)
+    index = f"{fixtures.scratch(spark)}/large-index"
+    refresh_header_index(spark, large, index)
+    box = "x > 20000 AND x < 60000 AND y > 10 AND y < 40"
     outputs = iter(range(10**6))
 
     cases = {
@@ -61,6 +73,16 @@ def main() -> None:
         "records_decode": lambda: drain(catalog.records_decode(spark, SF_DIR)),
         "hdr_fallback_group": lambda: catalog.queries()["hdr_fallback_group"](spark, SF_DIR).collect(),
     }
+    cases |= {
+        "large_scan_all_columns": lambda: drain(read_las(spark, large, POINT_FORMATS[1])),
+        "large_scan_two_columns": lambda: drain(read_las(spark, large, ["x", "gps_time"])),
+        "large_scan_exact": lambda: drain(read_las(spark, large, ["x"], exact=2)),
+        "large_bounds_headers": lambda: las_agg(spark, large, seven).collect(),
+        "large_bounds_index": lambda: las_agg(spark, large, seven, index=index).collect(),
+        "large_bounds_scan": lambda: las_agg(spark, large, seven, verify=True).collect(),
+        "large_box_headers": lambda: las_agg(spark, large, seven, where=box).collect(),
+        "large_box_scan": lambda: las_agg(spark, large, seven, where=box, verify=True).collect(),
+    }
     for splits in (1, 4, 16):
         cases[f"las_split_scan_{splits}"] = lambda splits=splits: (
             read_las(spark, one, ["x"], splitBytes=-(-size // splits)).agg(F.sum("x")).collect()
@@ -71,7 +93,7 @@ def main() -> None:
             las_agg(spark, path, seven, verify=True).collect()
         )
 
-    timings = {}
+    timings = {"large_write_curve": large_write}
     for name, run in cases.items():
         run()
         taken = []
@@ -90,6 +112,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": Path(SF_DIR).name,
                 "points": total,
+                "large_points": total * COPIES,
             }
         )
     )
