@@ -9,9 +9,11 @@ from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, publish_las, read_headers, read_las, write_las
 from lidarframe.operators.vlrs import read_vlrs, write_vlrs
+from lidarframe.operators.waveforms import amplitudes, read_descriptors, read_waveforms
 from lidarframe.streaming.files import stream_las
 
 __all__ = [
+    "amplitudes",
     "decode_points",
     "encode_points",
     "format_schema",
@@ -22,10 +24,12 @@ __all__ = [
     "point_schema",
     "list_las",
     "publish_las",
+    "read_descriptors",
     "read_headers",
     "read_las",
     "read_listed",
     "read_vlrs",
+    "read_waveforms",
     "refresh_header_index",
     "register",
     "stream_las",

@@ -41,7 +41,7 @@ from lidarframe.sources.files import (
 )
 from lidarframe.sources.headers import FILE_SCHEMA
 from lidarframe.sources.journal import pending
-from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN
+from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, WAVE_COLUMN
 from lidarframe.sources.points import PointRanges
 
 FOLDERS_PER_TASK = 64
@@ -208,6 +208,8 @@ def _schema(listing: Listing, columns: Sequence[str], options: dict) -> T.Struct
             fields.append(point_schema(name, **kinds(options), nullable=nullable)[0])
         elif name == PATH_COLUMN:
             fields.append(T.StructField(PATH_COLUMN, T.StringType(), False))
+        elif name == WAVE_COLUMN:
+            fields.append(T.StructField(WAVE_COLUMN, T.BinaryType()))
         elif name in known:
             fields.append(known[name])
         else:

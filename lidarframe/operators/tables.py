@@ -17,7 +17,7 @@ from lidarframe.operators.session import register
 from lidarframe.sources.files import filesystem, flag, list_files, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.journal import make_folders, pending
-from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN
+from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN, WAVE_COLUMN
 from lidarframe.sources.writer import finish
 
 Paths = str | Sequence[str]
@@ -56,6 +56,8 @@ def declared_schema(path: Paths, columns: Sequence[str], options: dict) -> T.Str
             schema = schema.add(point_schema(name, **kinds(options), nullable=nullable)[0])
         elif name == PATH_COLUMN:
             schema = schema.add(PATH_COLUMN, T.StringType(), False)
+        elif name == WAVE_COLUMN:
+            schema = schema.add(WAVE_COLUMN, T.BinaryType())
         else:
             if folders is None:
                 folders = {f.name: f for f in partition_fields(path_options(path, options))}

@@ -16,6 +16,7 @@ from lidarframe.operators.listing import list_las, read_listed
 from lidarframe.operators.session import register
 from lidarframe.operators.tables import las_view, read_headers, read_las, write_las
 from lidarframe.operators.vlrs import read_vlrs
+from lidarframe.operators.waveforms import amplitudes, read_waveforms
 from lidarframe.plans import fixtures
 from lidarframe.sources.layouts import COORDINATES, POINT_FORMATS
 from lidarframe.streaming.files import stream_las
@@ -249,6 +250,21 @@ def las_vlr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed(read_las(spark, fixtures.recorded_las(spark, sf_dir), COORDINATES))
 
 
+def las_waveforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waveforms of points, found by descriptor, place and size, and sums of their amplitudes."""
+    found = read_waveforms(spark, fixtures.waveform_las(spark, sf_dir), ["x", "gps_time"])
+    total = F.aggregate(amplitudes("_waveform"), F.lit(0.0), lambda a, b: a + b)
+    return found.select(
+        "x",
+        "gps_time",
+        F.md5("_waveform").alias("digest"),
+        F.length("_waveform").cast("bigint").alias("size"),
+        F.col("wave_packet_descriptor_index").cast("bigint").alias("descriptor"),
+        "picoseconds",
+        total.alias("amplitude"),
+    )
+
+
 def las_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         points = fixtures.lineitem_points(spark, sf_dir, 2)
@@ -405,6 +421,7 @@ def queries() -> dict[str, Query]:
             "las_stream_folders": las_stream_folders,
             "las_write_roundtrip": las_write_roundtrip,
             "las_write_curve": las_write_curve,
+            "las_waveforms": las_waveforms,
             "las_exact": las_exact,
             "hdr_exact": hdr_exact,
             "las_vlr_roundtrip": las_vlr_roundtrip,
@@ -567,6 +584,12 @@ def oracle_sql() -> dict[str, str]:
             "event_id % 3 AS path_third FROM events GROUP BY event_type, event_id % 3",
             "las_write_roundtrip": lineitem_sql(*POINT_FORMATS[1]),
             "las_write_curve": lineitem_sql(*POINT_FORMATS[1]),
+            "las_waveforms": f"SELECT {columns_sql(LINEITEM_SQL, ['x', 'gps_time'])}, md5(w) AS digest, strlen(w) AS size, "
+            "CASE WHEN w IS NULL THEN 0 ELSE l_linenumber END::BIGINT AS descriptor, "
+            "CASE WHEN w IS NOT NULL THEN 1000 * l_linenumber END::BIGINT AS picoseconds, "
+            "list_sum(list_transform(string_split(w, ''), lambda c: 0.5::DOUBLE * ascii(c) - 1))::DOUBLE AS amplitude FROM (SELECT *, "
+            "CASE WHEN l_linenumber <> 7 THEN l_orderkey || '-' || l_partkey || '-' || l_linenumber || '-' || "
+            "repeat('w', l_suppkey % 40) END AS w FROM lineitem) AS l",
             "las_exact": f"SELECT classification, {', '.join(f'CAST(sum({c}) AS VARCHAR) AS sum_{c}' for c in COORDINATES)}, "
             f"CAST(max(x) AS VARCHAR) AS max_x FROM {decimals} WHERE {EXACT} GROUP BY classification",
             "hdr_exact": "SELECT "

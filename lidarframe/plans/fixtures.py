@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import tempfile
@@ -263,6 +264,19 @@ def dated_drops(spark: SparkSession, sf_dir: str, ingest: Callable[[str], object
     return once(spark, sf_dir, "dated", write)
 
 
+WAVEFORM = "concat_ws('-', l_orderkey, l_partkey, l_linenumber, repeat('w', cast(l_suppkey % 40 as int)))"
+
+
+def waveform_las(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem with a waveform of ASCII samples for each point but every seventh line."""
+    left_out = {"byte_offset_to_waveform_data", "waveform_packet_size_in_bytes"}
+    packet = f"if(l_linenumber = 7, null, encode({WAVEFORM}, 'UTF-8')) as _waveform"
+    points = lineitem_points(spark, sf_dir, 9, packet).drop(*left_out)
+    wave = json.dumps({k: [8, 0, 1000 * k, 0.5, -1.0] for k in range(1, 7)})
+    how = {"pointFormat": 9, "num_partitions": 6, "waveDescriptors": wave, "maxPointsPerFile": POINTS_PER_FILE}
+    return once(spark, sf_dir, "waveforms", lambda path: write_las(points, path, **how))
+
+
 # Records of `part`; every tenth is longer than a plain record may be.
 PART_RECORDS = {
     "user_id": "p_brand",

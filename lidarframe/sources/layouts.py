@@ -101,6 +101,7 @@ MAX_HEADER_BYTES = HEADER_DTYPES[4].itemsize
 
 COORDINATES = ("x", "y", "z")
 PATH_COLUMN = "_path"
+WAVE_COLUMN = "_waveform"  # a point's waveform packet
 POINT_COLUMN = "_point"  # a constant byte per point, known without reading points
 COMPRESSED_BIT = 0x80
 LEGACY_COUNT_LIMIT = 2**32 - 1
@@ -260,6 +261,8 @@ class Header:
     offset: tuple[float, float, float]
     minimum: tuple[float, float, float]
     maximum: tuple[float, float, float]
+    waveform_offset: int = 0  # of the record that holds the waveform packets, 0 if the file has none
+    waveforms_outside: bool = False  # in a file of the same name that ends in .wdp
     next_block: int = 0  # where the first block after the points begins, 0 if the file has none
 
     def records_held(self, file_length: int) -> int:
@@ -306,9 +309,10 @@ def parse_header(data: bytes, path: str) -> Header:
             raise LasFormatError(f"{path}: file ends inside the header")
         # the 64-bit count rules; some writers fill the legacy count only
         count = int(np.frombuffer(data, full, 1)[0]["point_count"]) or count
-    following = []
+    following, waves = [], 0
     if minor >= 3 and int(head["header_size"]) >= HEADER_DTYPES[3].itemsize <= len(data):
-        following.append(int(np.frombuffer(data, HEADER_DTYPES[3], 1)[0]["waveform_offset"]))
+        waves = int(np.frombuffer(data, HEADER_DTYPES[3], 1)[0]["waveform_offset"])
+        following.append(waves)
     if minor >= 4 and int(head["header_size"]) >= full.itemsize:
         last = np.frombuffer(data, full, 1)[0]
         following.append(int(last["evlr_offset"]) if last["n_evlr"] else 0)
@@ -324,6 +328,8 @@ def parse_header(data: bytes, path: str) -> Header:
         offset=tuple(head["offset"].tolist()),
         minimum=tuple(head["bounds"][:, 1].tolist()),
         maximum=tuple(head["bounds"][:, 0].tolist()),
+        waveform_offset=waves,
+        waveforms_outside=bool(int(head["global_encoding"]) & 4),
         next_block=min((f for f in following if f > int(head["point_offset"])), default=0),
     )
 
@@ -338,8 +344,10 @@ def pack_header(
     created: tuple[int, int],
     n_vlr: int = 0,
     vlr_bytes: int = 0,
+    waveforms: bool = False,
 ) -> bytes:
-    """Header bytes of a file; ``vlr_bytes`` of variable-length records lie between them and the points."""
+    """Header bytes of a file; ``vlr_bytes`` of variable-length records lie between them and the points,
+    ``waveforms`` says that a record of waveform packets follows the points."""
     dtype = HEADER_DTYPES[minor]
     block = np.zeros(1, dtype)
     head = block[0]
@@ -357,6 +365,11 @@ def pack_header(
     extended = codec.point_format >= 6
     if extended:
         head["global_encoding"] = 1 << 4  # formats 6-10 carry WKT coordinate systems
+    if waveforms:
+        head["global_encoding"] |= 2  # waveform packets are in this file
+        head["waveform_offset"] = int(head["point_offset"]) + point_count * codec.record_length
+        if minor >= 4:
+            head["evlr_offset"], head["n_evlr"] = head["waveform_offset"], 1
     if not extended and point_count <= LEGACY_COUNT_LIMIT:
         head["legacy_count"] = point_count
         head["legacy_by_return"] = by_return[1:6]

@@ -32,11 +32,13 @@ from lidarframe.sources.layouts import (
     PATH_COLUMN,
     POINT_COLUMN,
     POINT_FORMATS,
+    WAVE_COLUMN,
     Header,
     LasFormatError,
     column_type,
     parse_header,
 )
+from lidarframe.sources.waveforms import WAVE_FIELDS, Packets, slices
 
 BATCH_POINTS = 1 << 17
 READ_BYTES = 8 << 20
@@ -114,7 +116,7 @@ class PointRanges:
 
     def check_keys(self, files: list[FileEntry]) -> None:
         """Every declared name must be a point attribute, the path column or a k=v folder."""
-        known = {PATH_COLUMN, POINT_COLUMN, *ATTRIBUTES}
+        known = {PATH_COLUMN, POINT_COLUMN, WAVE_COLUMN, *ATTRIBUTES}
         unknown = [n for n in dict.fromkeys([*self.arrow_types, *self.tested]) if n not in known]
         for file in files if unknown else []:
             present = {key for key, _ in file.keys}
@@ -161,7 +163,7 @@ class PointRanges:
                 for batch in self._decode(stream, header, piece):
                     small.append(batch)
                     rows += batch.num_rows
-                    if rows >= SMALL_BATCH or not self.arrow_types:
+                    if rows >= SMALL_BATCH or not self.arrow_types or batch.nbytes > READ_BYTES:
                         yield pa.concat_batches(small) if len(small) > 1 else batch
                         small, rows = [], 0
         if small:
@@ -173,6 +175,10 @@ class PointRanges:
         wanted = [n for n in self.arrow_types if n in ATTRIBUTES and codec.has(n)]
         tested = [n for n in self.tested if n in ATTRIBUTES]
         absent = [n for n in self.arrow_types if n in ATTRIBUTES and not codec.has(n)]
+        waves = WAVE_COLUMN in self.arrow_types
+        if waves and not codec.has(WAVE_FIELDS[0]):
+            absent.append(WAVE_COLUMN)
+            waves = False
         lacking = absent + [n for n in tested if not codec.has(n)]
         if lacking and not self.null_missing:
             raise LasFormatError(
@@ -192,7 +198,8 @@ class PointRanges:
             return
         if self.trust_bounds and not all(_within_bounds(f, header) for f in filters):
             return
-        decoded = list(dict.fromkeys(wanted + tested))
+        decoded = list(dict.fromkeys([*wanted, *tested, *(WAVE_FIELDS if waves else ())]))
+        packets = Packets(piece.file, header) if waves else None
         constants = {PATH_COLUMN: path, POINT_COLUMN: "1", **dict(piece.file.keys)}
         first, last = point_range(header, piece)
         if decoded:
@@ -204,6 +211,8 @@ class PointRanges:
             # the number of points is all that is needed, not their bytes
             starts = range(first, last, self.batch_points)
             blocks = (np.empty(min(self.batch_points, last - at), "V1") for at in starts)
+        if waves:
+            blocks = (part for block in blocks for part in slices(block))
         for records in blocks:
             rows = len(records)
             columns: dict[str, pa.Array] = {}
@@ -223,6 +232,8 @@ class PointRanges:
                 for name in wanted:
                     if name not in columns:
                         columns[name] = codec.column(records, name, self.arrow_types[name])
+                if waves:
+                    columns[WAVE_COLUMN] = packets.column(records, self.arrow_types[WAVE_COLUMN])
             except pa.ArrowInvalid as e:
                 raise LasFormatError(f"{path}: column {name!r} does not fit its declared type: {e}") from e
             for name, kind in self.arrow_types.items():
@@ -237,6 +248,8 @@ class PointRanges:
                 )
             else:
                 yield pa.record_batch([pa.nulls(rows)], names=["row"]).select([])
+        if waves:
+            packets.close()
 
 
 class PointReader(DataSourceReader):

@@ -24,10 +24,12 @@ from lidarframe.sources.layouts import (
     HEADER_DTYPES,
     LEGACY_COUNT_LIMIT,
     POINT_FORMATS,
+    WAVE_COLUMN,
     PointCodec,
     format_length,
     pack_header,
 )
+from lidarframe.sources.waveforms import HEAD_BYTES, WAVE_FIELDS, descriptors, packets_head
 
 DEFAULT_SCALE = 0.01
 DEFAULT_MAX_POINTS = 16_000_000
@@ -93,7 +95,13 @@ class LasWriter(DataSourceArrowWriter):
         keys = options.get("partitionColumns") or ""
         self.keys = [k.strip() for k in keys.split(",") if k.strip()]
         names = schema.fieldNames()
-        self.attributes = [n for n in names if n not in self.keys]
+        self.attributes = [n for n in names if n not in self.keys and n != WAVE_COLUMN]
+        self.waves = WAVE_COLUMN in names
+        self.descriptors = descriptors(options.get("waveDescriptors"))
+        if self.waves and (not self.codec.has(WAVE_FIELDS[0]) or self.codec.unsigned):
+            raise ValueError("waveforms need point format 4, 5, 9 or 10, without the option unsigned")
+        if self.waves and {*WAVE_FIELDS[1:]} & {*names}:
+            raise ValueError(f"places of waveforms follow from {WAVE_COLUMN}: leave out {WAVE_FIELDS[1]} and {WAVE_FIELDS[2]}")
         for name in self.keys:
             if name not in names or name in ATTRIBUTES:
                 raise ValueError(f"partition column {name!r} must be a column that is no point attribute")
@@ -130,14 +138,15 @@ class LasWriter(DataSourceArrowWriter):
             for folder, part in self._by_folder(batch):
                 columns = {n: part.column(n) for n in self.attributes}
                 records = self.codec.encode(columns, part.num_rows)
+                packets = part.column(WAVE_COLUMN).to_pylist() if self.waves else None
                 while len(records):
                     if folder not in open_files:
                         if len(open_files) >= OPEN_FILES:
                             close(next(iter(open_files)))
                         open_files[folder] = _PointFile(self)
                     room = self.max_points - open_files[folder].count
-                    open_files[folder].append(records[:room])
-                    records = records[room:]
+                    open_files[folder].append(records[:room], packets and packets[:room])
+                    records, packets = records[room:], packets and packets[room:]
                     if open_files[folder].count >= self.max_points:
                         close(folder)
                 if sum(f.size for f in open_files.values()) >= HELD_BYTES:
@@ -280,12 +289,16 @@ class _PointFile:
         self.count = 0
         self.size = 0
         self.by_return = np.zeros(16, np.int64)
+        self.packets: list[bytes] = []
+        self.packet_bytes = 0
         self.low: dict[str, int] = {}
         self.high: dict[str, int] = {}
 
-    def append(self, records: np.ndarray) -> None:
+    def append(self, records: np.ndarray, packets: list[bytes | None] | None = None) -> None:
         if not len(records):
             return
+        if packets:
+            self._place(records, packets)
         self.chunks.append(records)
         self.count += len(records)
         self.size += records.nbytes
@@ -296,6 +309,23 @@ class _PointFile:
         packed = records["r_n_c_s_s_e"] & 15 if extended else records["r_n_s_e"] & 7
         self.by_return += np.bincount(packed.astype(np.int64), minlength=16)
 
+    def _place(self, records: np.ndarray, packets: list[bytes | None]) -> None:
+        """Writes down where each point's packet will lie; a point without one has descriptor 0."""
+        sizes = np.array([len(p) if p is not None else 0 for p in packets], np.int64)
+        some = np.array([p is not None for p in packets])
+        index = records[WAVE_FIELDS[0]]
+        if WAVE_FIELDS[0] not in self.writer.attributes:
+            index[:] = 1
+        elif (some & (index == 0)).any():
+            raise ValueError("a point with a waveform needs a descriptor from 1 on")
+        index[~some] = 0
+        places = HEAD_BYTES + self.packet_bytes + np.cumsum(sizes) - sizes
+        records[WAVE_FIELDS[1]] = np.where(some, places, 0)
+        records[WAVE_FIELDS[2]] = sizes.astype(np.uint32).astype(np.int32)
+        self.packets += [p for p in packets if p]
+        self.packet_bytes += int(sizes.sum())
+        self.size += int(sizes.sum())
+
     def finish(self, fs: pafs.FileSystem, path: str) -> None:
         codec = self.writer.codec
         # the same arithmetic as the scan, so header bounds equal scanned bounds bit for bit
@@ -303,10 +333,18 @@ class _PointFile:
             [raw[c] * codec.scale[i] + codec.offset[i] for i, c in enumerate(COORDINATES)]
             for raw in (self.low, self.high)
         )
+        vlrs = [v.packed() for v in self.writer.descriptors]
+        size = sum(map(len, vlrs))
         head = pack_header(
-            self.writer.minor, codec, self.count, self.by_return, minimum, maximum, self.writer.created
+            self.writer.minor, codec, self.count, self.by_return, minimum, maximum, self.writer.created, len(vlrs), size, self.writer.waves
         )
         with fs.open_output_stream(path) as out:
             out.write(head)
+            for record in vlrs:
+                out.write(record)
             for records in self.chunks:
                 out.write(records.tobytes())
+            if self.writer.waves:
+                out.write(packets_head(self.packet_bytes))
+                for packet in self.packets:
+                    out.write(packet)

@@ -20,7 +20,7 @@ from lidarframe.sources.files import (
     folder_keys,
     partition_fields,
 )
-from lidarframe.sources.layouts import ATTRIBUTES, PATH_COLUMN
+from lidarframe.sources.layouts import ATTRIBUTES, PATH_COLUMN, WAVE_COLUMN
 from lidarframe.sources.points import PointRanges
 
 _ALWAYS = "36500d"  # Spark's stream forgets files older than maxFileAge; a century keeps all
@@ -79,6 +79,8 @@ def _schema(path: str, columns: Sequence[str], folders: dict[str, str], options:
             fields.append(point_schema(name, **kinds, nullable=nullable)[0])
         elif name == PATH_COLUMN:
             fields.append(T.StructField(PATH_COLUMN, T.StringType(), False))
+        elif name == WAVE_COLUMN:
+            fields.append(T.StructField(WAVE_COLUMN, T.BinaryType()))
         elif name in folders:
             fields.append(T.StructField(name, T.DataType.fromDDL(folders[name])))
         else:

@@ -1,0 +1,116 @@
+"""Waveform packets: places, merged reads, files that keep them outside, writing."""
+
+import struct
+from pathlib import Path
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lidarframe import amplitudes, las_audit, read_descriptors, read_headers, read_las, read_waveforms, write_las
+from lidarframe.sources import waveforms
+from lidarframe.sources.files import FileEntry
+from lidarframe.sources.layouts import parse_header
+
+DESCRIPTORS = '{"1": [8, 4, 500, 0.5, 1.0], "200": [16, 2, 1000, 2.0, 0.0]}'
+
+
+def points(spark, n=300):
+    return spark.range(0, n, 1, 2).selectExpr(
+        "cast(id as double) as x", "0D as y", "0D as z",
+        "cast(if(id % 3 = 0, 1, -56) as byte) as wave_packet_descriptor_index",
+        "if(id % 5 = 4, null, encode(concat(id, repeat('ab', cast(id % 4 as int))), 'UTF-8')) as _waveform",
+    )
+
+
+def stored(n=300):
+    return {k: None if k % 5 == 4 else (str(k) + "ab" * (k % 4)).encode() for k in range(n)}
+
+
+@pytest.mark.parametrize("fmt,version", [(4, "1.3"), (5, "1.4"), (9, "1.4"), (10, "1.4")])
+def test_roundtrip(spark, tmp_path, fmt, version):
+    path = str(tmp_path / "p")
+    write_las(points(spark), path, pointFormat=fmt, version=version, waveDescriptors=DESCRIPTORS, maxPointsPerFile=70)
+    found = read_waveforms(spark, path, ["x"])
+    assert {int(r.x): None if r._waveform is None else bytes(r._waveform) for r in found.collect()} == stored()
+    rows = {int(r.x): r for r in found.withColumn("a", amplitudes("_waveform")).collect()}
+    assert rows[0].bits == 8 and rows[0].a == [0.5 * ord("0") + 1.0] and rows[4].bits is None and rows[4].a is None
+    assert rows[13].wave_packet_descriptor_index == 200 and rows[13].picoseconds == 1000
+    assert rows[13].a == [2.0 * int.from_bytes(b"13", "little"), 2.0 * int.from_bytes(b"ab", "little")]
+    assert read_descriptors(spark, path).count() == 2 * read_headers(spark, path).count()
+    assert las_audit(spark, path).where("not ok").count() == 0
+    few = read_las(spark, path, ["x", "_waveform"], filters=[("x", "in", [7, 9])]).collect()
+    assert {int(r.x): r._waveform and bytes(r._waveform) for r in few} == {k: stored()[k] for k in (7, 9)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 900), st.integers(0, 60)), max_size=30), st.integers(0, 50), st.integers(1, 200))
+def test_packets_like_single_reads(places, gap, most):
+    data = bytes(np.random.default_rng(1).integers(0, 256, 1000, np.uint8))
+
+    class Stream:
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            return data[self.at : self.at + n]
+
+    packets = waveforms.Packets(None, None)
+    packets.stream, packets.begin = Stream(), 0
+    old = waveforms.GAP, waveforms.MOST
+    waveforms.GAP, waveforms.MOST = gap, most
+    try:
+        found = packets.fetch(np.array([p[0] for p in places], np.int64), np.array([p[1] for p in places], np.int64))
+    finally:
+        waveforms.GAP, waveforms.MOST = old
+    assert found == [data[a : a + n] for a, n in places]
+
+
+def test_neighbours_share_reads(spark, tmp_path):
+    path = tmp_path / "p"
+    write_las(points(spark, 2000).coalesce(1), str(path), pointFormat=9, waveDescriptors=DESCRIPTORS)
+    (file,) = path.glob("*.las")
+    header = parse_header(file.read_bytes()[:375], str(file))
+    packets = waveforms.Packets(FileEntry(str(file), str(file), file.stat().st_size, 0, ()), header)
+    sizes = np.array([len(v) for v in stored(2000).values() if v is not None])
+    offsets = waveforms.HEAD_BYTES + np.cumsum(sizes) - sizes
+    order = np.random.default_rng(2).permutation(len(sizes))
+    found = packets.fetch(offsets[order], sizes[order])
+    packets.close()
+    want = [v for v in stored(2000).values() if v is not None]
+    assert found == [want[k] for k in order] and packets.reads == 1
+
+
+def test_packets_in_a_file_of_their_own(spark, tmp_path):
+    path = tmp_path / "p"
+    write_las(points(spark, 40).coalesce(1), str(path), pointFormat=4, waveDescriptors=DESCRIPTORS)
+    (file,) = path.glob("*.las")
+    data = bytearray(file.read_bytes())
+    (at,) = struct.unpack_from("<Q", data, 227)
+    Path(str(file)[:-4] + ".wdp").write_bytes(data[at:])
+    struct.pack_into("<H", data, 6, 4)
+    struct.pack_into("<Q", data, 227, 0)
+    file.write_bytes(data[:at])
+    found = read_las(spark, str(path), ["x", "_waveform"], pathGlobFilter="*.las").collect()
+    assert {int(r.x): r._waveform and bytes(r._waveform) for r in found} == stored(40)
+    Path(str(file)[:-4] + ".wdp").write_bytes(data[at : at + 70])
+    with pytest.raises(Exception, match="end behind"):
+        read_las(spark, str(path), ["_waveform"], pathGlobFilter="*.las").collect()
+
+
+def test_other_formats_and_refusals(spark, tmp_path):
+    plain = str(tmp_path / "plain")
+    write_las(points(spark, 5).select("x", "y", "z"), plain)
+    with pytest.raises(Exception, match="no column '_waveform'"):
+        read_las(spark, plain, ["x", "_waveform"]).collect()
+    assert [r._waveform for r in read_las(spark, plain, ["x", "_waveform"], missingColumns="null").collect()] == [None] * 5
+    for how, message in (
+        ({"pointFormat": 1}, "point format 4, 5, 9 or 10"),
+        ({"pointFormat": 9, "waveDescriptors": '{"0": [8, 1, 1, 1, 0]}'}, "between 1 and 255"),
+    ):
+        with pytest.raises(Exception, match=message):
+            write_las(points(spark, 5).drop("wave_packet_descriptor_index"), str(tmp_path / "x"), **how)
+    write_las(points(spark, 5).drop("wave_packet_descriptor_index"), str(tmp_path / "y"), pointFormat=9)
+    found = read_waveforms(spark, str(tmp_path / "y"), ["x"]).collect()
+    assert sorted(r.wave_packet_descriptor_index for r in found) == [0, 1, 1, 1, 1] and {r.bits for r in found} == {None}
