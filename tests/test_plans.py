@@ -16,7 +16,7 @@ def plan_of(df) -> str:
     "name",
     [
         "las_scan", "las_format_10", "las_filter", "las_source_filter", "las_column_pruning", "records_decode",
-        "las_partition_pruning", "las_where_folder",
+        "las_partition_pruning", "las_where_folder", "las_write_curve", "las_vlr_roundtrip",
     ],
 )
 def test_row_queries_do_not_shuffle(spark, name):
@@ -28,6 +28,11 @@ def test_global_aggregates_read_headers_alone(spark, name):
     plan = plan_of(queries()[name](spark, SF_DIR))
     if name.startswith("hdr_fallback"):
         assert "BatchScan las[" in plan and "las_headers" not in plan
+    elif name.startswith("hdr_box"):  # headers of files inside, points of files astride
+        assert "BatchScan las_headers[" in plan and "BatchScan las[" in plan and "Join" not in plan
+        assert plan.count("Exchange") == 2 and "partial_" in plan
+    elif name.startswith("hdr_index"):  # the kept table
+        assert "Scan parquet" in plan and "BatchScan" not in plan and plan.count("Exchange") == 1
     else:
         assert "BatchScan las_headers[" in plan and "BatchScan las[" not in plan
         assert plan.count("Exchange") == 1 and "partial_" in plan
