@@ -17,6 +17,7 @@ from lidarframe.operators.tables import (
     LITERAL,
     Paths,
     kinds,
+    passing_folders,
     path_options,
     read_headers,
     read_las,
@@ -72,6 +73,9 @@ def las_agg(
     own, others = split_by_columns(spark, where, folders)
     if own and _clashes(folders):
         own, others = [], [where]
+    if own and "index" not in options:  # folders that are ruled out are not opened
+        found = passing_folders(spark, path, " AND ".join(f"({t})" for t in own), folders, options)
+        options = {**options, "folders": json.dumps(found)}
     if not others:
         return _from_totals(_header_totals(spark, path, plan, group_by, options, own), plan, group_by)
     tree = box_tree(spark, " AND ".join(f"({t})" for t in others), folders, **kinds(options))

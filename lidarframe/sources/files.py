@@ -198,6 +198,12 @@ def folder_keys(folders: list[str]) -> tuple[tuple[str, str | None], ...]:
     return tuple((k, None if v == NULL_PARTITION else unquote(v)) for k, v in pairs)
 
 
+def folder_choice(options) -> set | None:
+    """The option ``folders``: the combinations of k=v folders to read, None for all."""
+    text = options.get("folders")
+    return {tuple(tuple(pair) for pair in keys) for keys in json.loads(text)} if text else None
+
+
 def has_key_folders(options) -> bool:
     """Cheap look at the first folder level, so that plain folders are not listed twice."""
     if options.get("basePath"):

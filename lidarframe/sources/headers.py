@@ -20,6 +20,7 @@ from lidarframe.sources.files import (
     RangePartition,
     chunk_files,
     filesystem,
+    folder_choice,
     list_files,
     partition_fields,
     read_head,
@@ -132,9 +133,11 @@ class HeaderReader(DataSourceReader):
             raise ValueError(f"badFiles must be 'fail' or 'keep', not {bad_files!r}")
         self.keep_bad = bad_files == "keep"
         self.box = Box(options)
+        self.folders = folder_choice(options)
 
     def partitions(self) -> list[FilePartition]:
-        return chunk_files(list_files(self.options), self.options)
+        files = list_files(self.options)
+        return chunk_files([f for f in files if self.folders is None or f.keys in self.folders], self.options)
 
     def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         if partition is None:

@@ -21,6 +21,7 @@ from lidarframe.sources.files import (
     RangePartition,
     filesystem,
     flag,
+    folder_choice,
     list_files,
     partition_fields,
     split_files,
@@ -100,10 +101,7 @@ class PointRanges:
         if bad_files not in ("fail", "skip"):
             raise ValueError(f"badFiles must be 'fail' or 'skip', not {bad_files!r}")
         self.skip_bad = bad_files == "skip"
-        folders = options.get("folders")  # combinations of k=v folders to read
-        self.folders = json.loads(folders) if folders else None
-        if self.folders is not None:
-            self.folders = {tuple(tuple(pair) for pair in keys) for keys in self.folders}
+        self.folders = folder_choice(options)
         self.box = Box(options)
         self.filters = parse_filters(options.get("filters"))
         self.tested = list(dict.fromkeys(name for name, _, _ in self.filters))
@@ -147,7 +145,7 @@ class PointRanges:
                 found = None
             if isinstance(found, str) != isinstance(sample, str) or found is None:
                 raise LasFormatError(f"{file.name}: cannot compare {name}={keys[name]} with {value!r}")
-            passed = _passes(pa.array([found]), test, value)[0]
+            passed = _passes(np.array([found]), test, value)[0]
             if not passed:
                 return False
         return True
@@ -223,7 +221,7 @@ class PointRanges:
                         columns[name] = codec.column(records, name, self.tested_types[name])
                     keep = np.ones(rows, bool)
                     for name, test, value in filters:
-                        keep &= _passes(columns[name], test, value)
+                        keep &= _passes(columns[name].to_numpy(zero_copy_only=False), test, value)
                     if not keep.any():
                         continue
                     if not keep.all():
@@ -368,11 +366,10 @@ def parse_filters(text: str | None) -> list[tuple[str, str, object]]:
     return filters
 
 
-def _passes(column: pa.Array, test: str, value) -> np.ndarray:
+def _passes(values: np.ndarray, test: str, value) -> np.ndarray:
     """Rows for which the comparison holds: floats as doubles, NaN equal to itself and above all
     numbers, as everywhere in Spark; decimals with the decimal number that a value is written as."""
-    values = column.to_numpy(zero_copy_only=False)
-    if pa.types.is_decimal(column.type):
+    if values.dtype == object and len(values) and isinstance(values[0], Decimal):
         if test == "in":
             wanted = {Decimal(repr(v)) for v in value}
             return np.array([v in wanted for v in values], bool)

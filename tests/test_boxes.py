@@ -210,3 +210,11 @@ def test_curve_over_copies_nulls_and_nothing(spark, tmp_path):
     write_las(same.limit(0), str(tmp_path / "none"), curve_by=["x"], pointFormat=1)
     with pytest.raises(ValueError, match="curve_by"):
         write_las(same, str(tmp_path / "both"), curve_by=["x"], cluster_by=["x"])
+
+
+def test_folders_ruled_out_are_not_opened(spark, tiles, tmp_path):
+    path = copied(tiles, tmp_path)
+    (Path(path) / "row=9").mkdir()
+    (Path(path) / "row=9" / "junk.las").write_bytes(b"junk")
+    for where in ("row < 9", "row < 9 and x > 14.5", "row + 1 in (3, 4) and x > 5"):
+        assert las_agg(spark, path, AGGS, where=where).first() == las_agg(spark, tiles, AGGS, where=where, verify=True).first()
