@@ -24,7 +24,7 @@ from lidarframe.operators.tables import (
     sql_words,
 )
 from lidarframe.sources.boxes import ASTRIDE, INSIDE, decidable
-from lidarframe.sources.files import partition_fields
+from lidarframe.sources.files import one_listing, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_FORMATS
 
@@ -34,6 +34,7 @@ _NAME = re.compile(r"\w+")
 _ANSWERABLE = re.compile(f"(?P<literal>{LITERAL})|{_EXTREME}|{_COUNT}", re.IGNORECASE)
 
 
+@one_listing()
 def las_agg(
     spark: SparkSession,
     path: Paths,

@@ -14,7 +14,7 @@ from lidarframe.functions.curves import hilbert_key
 from lidarframe.functions.fields import point_schema
 from lidarframe.operators.predicates import box_tree, split_by_columns
 from lidarframe.operators.session import register
-from lidarframe.sources.files import filesystem, flag, list_files, partition_fields
+from lidarframe.sources.files import filesystem, flag, list_files, one_listing, partition_fields
 from lidarframe.sources.headers import HEADER_SCHEMA
 from lidarframe.sources.journal import make_folders, pending
 from lidarframe.sources.layouts import ATTRIBUTES, COORDINATES, PATH_COLUMN, POINT_COLUMN, WAVE_COLUMN
@@ -93,6 +93,7 @@ def passing_folders(
     return [found[r[0]] for r in kept]
 
 
+@one_listing()
 def read_las(
     spark: SparkSession,
     path: Paths,

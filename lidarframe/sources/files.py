@@ -8,6 +8,8 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import lru_cache
 from urllib.parse import quote, unquote
@@ -24,6 +26,7 @@ OPEN_COST = MIB  # what opening a file weighs when files are packed into tasks
 MAX_SPLITS = 100_000
 LIST_THREADS = 16
 FILES_PER_TASK = 512  # headers read by one task
+_listed: ContextVar[dict | None] = ContextVar("listed", default=None)
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -136,8 +139,29 @@ def expand(fs: pafs.FileSystem, path: str) -> list[pafs.FileInfo]:
     return [found[p] for p in sorted(found)]
 
 
+@contextmanager
+def one_listing() -> Iterator[None]:
+    """Within it, the same paths are listed once: a query's columns, pruning and modes see the same files."""
+    known = _listed.get()
+    token = _listed.set({} if known is None else known)
+    try:
+        yield
+    finally:
+        _listed.reset(token)
+
+
 def list_files(options) -> list[FileEntry]:
     """Data files below the given paths in path order; names starting with _ or . are skipped."""
+    known = _listed.get()
+    if known is None:
+        return _list_files(options)
+    key = (*given_paths(options), options.get("pathGlobFilter"), options.get("basePath"))
+    if key not in known:
+        known[key] = _list_files(options)
+    return known[key]
+
+
+def _list_files(options) -> list[FileEntry]:
     name_filter = options.get("pathGlobFilter")
     entries: list[FileEntry] = []
     with ThreadPoolExecutor(LIST_THREADS) as pool:

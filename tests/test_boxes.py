@@ -218,3 +218,15 @@ def test_folders_ruled_out_are_not_opened(spark, tiles, tmp_path):
     (Path(path) / "row=9" / "junk.las").write_bytes(b"junk")
     for where in ("row < 9", "row < 9 and x > 14.5", "row + 1 in (3, 4) and x > 5"):
         assert las_agg(spark, path, AGGS, where=where).first() == las_agg(spark, tiles, AGGS, where=where, verify=True).first()
+
+
+def test_a_query_is_planned_from_one_listing(spark, tiles, monkeypatch):
+    from lidarframe.sources import files
+
+    calls = []
+    real = files._list_files
+    monkeypatch.setattr(files, "_list_files", lambda options: (calls.append(1), real(options))[1])
+    found = las_agg(spark, tiles, AGGS, where="row in (1, 2) and x < 35.5", group_by=["row"])
+    assert len(calls) == 1  # here; Spark's planner lists once more for each source
+    assert read_las(spark, tiles, ["x", "row"], where="row = 1").columns == ["x", "row"] and len(calls) == 2
+    assert len(found.collect()) == 2
