@@ -225,14 +225,12 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     stays as well. Column names are free.
     """
     columns = docs.columns
-    marked = materialise(
-        docs.select(
-            *hidden(columns), named(id_column).alias("id"), named(text_column).alias("text"), F.monotonically_increasing_id().alias("row")
-        ),
-        "rows",
-    )
-    groups = near_duplicates(marked, "row", "text").select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
-    ids = marked.select("row", "id").join(groups, "row")
+    names = [c.lower() for c in columns]
+    id_at, text_at = (f"c{names.index(c.lower())}" for c in (id_column, text_column))
+    marked = docs.select(*hidden(columns), F.monotonically_increasing_id().alias("row"))
+    marked = materialise(marked, "rows", "zstd")
+    groups = near_duplicates(marked, "row", text_at).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    ids = marked.select("row", F.col(id_at).alias("id")).join(groups, "row")
     first = F.min(F.struct(F.isnull("id").alias("none"), "id", "row")).alias("first")
     kept = ids.groupBy("group").agg(first).select(F.col("first.row").alias("row"))
     return marked.join(kept, "row", "left_semi").select(*shown(columns))
