@@ -108,6 +108,11 @@ def lineitem_points(spark: SparkSession, sf_dir: str, point_format: int, *extra:
     return table(spark, sf_dir, "lineitem").selectExpr(*columns, *extra)
 
 
+def spread(points: DataFrame, least: int) -> int:
+    """Number of tasks that write a table: ``least``, and more where a task would get over POINTS_PER_FILE points."""
+    return max(least, -(-points.count() // POINTS_PER_FILE))
+
+
 def event_points(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     columns = [f"{sql} as {name}" for name, sql in EVENT_POINTS.items()]
     return table(spark, sf_dir, "events").selectExpr(*columns, *extra)
@@ -287,13 +292,16 @@ PART_RECORDS = {
 
 
 def recorded_las(spark: SparkSession, sf_dir: str) -> str:
-    """Lineitem in eight LAS 1.4 files that carry the rows of `part` as variable-length records."""
+    """Lineitem in eight LAS 1.4 files or more that carry the rows of `part` as variable-length records."""
 
     def write(path: str) -> None:
-        write_las(lineitem_points(spark, sf_dir, 6), path, num_partitions=8, pointFormat=6, maxPointsPerFile=POINTS_PER_FILE)
-        ring = [r.path for r in spark.read.format("las_files").load(path).orderBy("path").limit(8).collect()]
+        points = lineitem_points(spark, sf_dir, 6)
+        write_las(points, path, num_partitions=spread(points, 8), pointFormat=6, maxPointsPerFile=POINTS_PER_FILE)
+        ring = [r.path for r in spark.read.format("las_files").load(path).orderBy("path").collect()]
         names = F.array(*map(F.lit, ring))
-        parts = table(spark, sf_dir, "part").selectExpr(*[f"{v} as {k}" for k, v in PART_RECORDS.items()], "p_partkey")
+        # rows are dealt out before they become records, which are many times as long
+        parts = table(spark, sf_dir, "part").repartition(max(1, len(ring)))
+        parts = parts.selectExpr(*[f"{v} as {k}" for k, v in PART_RECORDS.items()], "p_partkey")
         write_vlrs(parts.withColumn("path", F.element_at(names, (F.pmod("p_partkey", F.lit(len(ring))) + 1).cast("int"))))
 
     return once(spark, sf_dir, "recorded", write)

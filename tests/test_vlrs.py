@@ -1,9 +1,11 @@
 """Variable-length records: reading, writing, broken chains."""
 
 import struct
+import tracemalloc
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from lidarframe import read_headers, read_las, read_vlrs, write_las, write_vlrs
 from lidarframe.sources.layouts import parse_header
@@ -107,3 +109,36 @@ def test_broken_chains(spark, tmp_path, spoil):
     Path(file).write_bytes(data)
     with pytest.raises(Exception, match="behind byte"):
         read_vlrs(spark, str(file)).collect()
+
+
+def test_records_stream_into_files(spark, tmp_path):
+    """What a task holds does not grow with the records of a file, new or old: 60 MB pass through."""
+    file = las(spark, tmp_path, pointFormat=6)
+
+    def records(n):
+        for k in range(n):
+            yield record("a", k, "t", bytes([k]) * 1_000_000, True)
+
+    tracemalloc.start()
+    try:
+        assert put_records(str(file), records(60), False) == 60
+        assert put_records(str(file), [record("b", 1, "u", b"1")], False) == 1
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 40_000_000
+    assert rows(spark, file, with_data=False)[0] == (False, 0, "b", 1, "u", 1) and len(rows(spark, file, with_data=False)) == 61
+    assert [p.name for p in file.parent.glob("_*.las*")] == []
+
+
+def test_each_file_has_a_task_and_order_stays(spark, tmp_path):
+    write_las(spark.range(0, 90, 1, 9).selectExpr("cast(id as double) as x", "1D as y", "2D as z"), str(tmp_path / "p"), pointFormat=6)
+    files = sorted(str(p) for p in (tmp_path / "p").glob("*.las"))
+    schema = "path string, user_id string, record_id int, description string, data binary"
+    table = spark.createDataFrame([(f, "a", k, None, b"d") for k in range(20, 0, -1) for f in files], schema).coalesce(1)
+    done = write_vlrs(table).collect()
+    assert sorted(done) == [(f, 20) for f in files]
+    for f in files:
+        assert [r[3] for r in rows(spark, f)] == list(range(20, 0, -1))
+    with pytest.raises(Exception):  # a record without a file is no record to be dropped
+        write_vlrs(table.limit(1).withColumn("path", F.lit(None).cast("string")))
