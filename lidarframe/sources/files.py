@@ -294,12 +294,22 @@ def split_files(files: list[FileEntry], options) -> list[RangePartition]:
     return partitions
 
 
-def chunk_files(files: list[FileEntry], options) -> list[FilePartition]:
-    """Share files among the cores, with at most ``filesPerPartition`` for one task."""
+def chunk_files(files: list[FileEntry], options, most_bytes: int | None = None) -> list[FilePartition]:
+    """Share files among the cores, with at most ``filesPerPartition`` for one task, and with at most
+    ``most_bytes``, where given, unless one file has more."""
     most = int(options.get("filesPerPartition") or FILES_PER_TASK)
     cores = int(options.get("minSplits") or os.cpu_count() or 1)
     size = max(1, min(most, max(8, -(-len(files) // cores))))
-    return [FilePartition(files[i : i + size]) for i in range(0, len(files), size)]
+    chunks: list[list[FileEntry]] = []
+    held = 0
+    for file in files:
+        full = not chunks or len(chunks[-1]) == size or (most_bytes is not None and held + file.size > most_bytes)
+        if full:
+            chunks.append([])
+            held = 0
+        chunks[-1].append(file)
+        held += file.size
+    return [FilePartition(chunk) for chunk in chunks]
 
 
 def read_head(file: FileEntry, length: int) -> bytes:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lidarframe.sources.files import FileEntry, FilePartition, chunk_files, filesystem, flag, list_files
+from lidarframe.sources.files import DEFAULT_SPLIT_BYTES, FileEntry, FilePartition, chunk_files, filesystem, flag, list_files
 from lidarframe.sources.layouts import HEADER_DTYPES, MAX_HEADER_BYTES, LasFormatError, parse_header
 
 VLR_SCHEMA = T.StructType(
@@ -127,7 +127,7 @@ class VlrReader(DataSourceReader):
         self.extended_data = flag(options, "extendedData", True)
 
     def partitions(self) -> list[FilePartition]:
-        return chunk_files(list_files(self.options), self.options)
+        return chunk_files(list_files(self.options), self.options, DEFAULT_SPLIT_BYTES if self.with_data else None)
 
     def read(self, partition: FilePartition | None) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0

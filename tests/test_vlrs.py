@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lidarframe import read_headers, read_las, read_vlrs, write_las, write_vlrs
+from lidarframe.sources.files import FileEntry, chunk_files
 from lidarframe.sources.layouts import parse_header
 from lidarframe.sources.vlrs import Vlr, put_records
 
@@ -142,3 +143,10 @@ def test_each_file_has_a_task_and_order_stays(spark, tmp_path):
         assert [r[3] for r in rows(spark, f)] == list(range(20, 0, -1))
     with pytest.raises(Exception):  # a record without a file is no record to be dropped
         write_vlrs(table.limit(1).withColumn("path", F.lit(None).cast("string")))
+
+
+def test_records_are_read_by_bytes():
+    files = [FileEntry("/r", f"/r/{k}", 50 << 20, 0, ()) for k in range(8)]
+    assert [len(p.files) for p in chunk_files(files, {"minSplits": 1}, 128 << 20)] == [2, 2, 2, 2]
+    assert [len(p.files) for p in chunk_files(files, {"minSplits": 1})] == [8]
+    assert [len(p.files) for p in chunk_files(files, {"minSplits": 1}, 1)] == [1] * 8 and chunk_files([], {}, 1) == []
