@@ -17,7 +17,7 @@ from lidarframe.sources.vlrs import MOST_PLAIN, VLR_SCHEMA, Vlr, put_records
 def read_vlrs(spark: SparkSession, path: Paths, with_data: bool = True, **options) -> DataFrame:
     """A row (path, extended, place, user_id, record_id, description, length, data) for each variable-length record.
 
-    ``with_data=False`` reads heads alone; points are never read.
+    ``with_data=False`` reads heads alone, the option ``extendedData=False`` no data of extended records (null); points are never read.
     """
     register(spark)
     fields = [f for f in VLR_SCHEMA if with_data or f.name != "data"]

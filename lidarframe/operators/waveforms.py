@@ -29,7 +29,8 @@ def read_descriptors(spark: SparkSession, path: Paths, **options) -> DataFrame:
 
     fields = F.pandas_udf(unpack, "bits int, compression int, samples long, picoseconds long, gain double, offset double")
     number = F.col("record_id") - FIRST_DESCRIPTOR
-    found = read_vlrs(spark, path, **options).where("not extended and user_id = 'LASF_Spec'").where(number.between(1, 255))
+    # packets are an extended record of their own: as large as all of a file's waveforms
+    found = read_vlrs(spark, path, extendedData=False, **options).where("not extended and user_id = 'LASF_Spec'").where(number.between(1, 255))
     found = found.where(F.length("data") >= DESCRIPTOR.size)
     return found.select(F.col("path").alias(PATH_COLUMN), number.alias(_INDEX), fields("data").alias("d")).select(
         PATH_COLUMN, _INDEX, "d.*"

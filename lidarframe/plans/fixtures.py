@@ -132,7 +132,7 @@ def tiles_las(spark: SparkSession, sf_dir: str) -> str:
     points = lineitem_points(spark, sf_dir, 1)
 
     def write(path: str) -> None:
-        write_las(points, path, num_partitions=TILES, pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
+        write_las(points, path, num_partitions=spread(points, TILES), pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
         nothing = pack_header(2, codec_from_options({"pointFormat": 1}), 0, np.zeros(16, np.int64), [0.0] * 3, [0.0] * 3, (2000, 1))
         fs, inner = filesystem(path)
         with fs.open_output_stream(f"{inner.rstrip('/')}/nothing.las") as out:
@@ -142,13 +142,15 @@ def tiles_las(spark: SparkSession, sf_dir: str) -> str:
 
 
 def curve_las(spark: SparkSession, sf_dir: str) -> str:
-    """Lineitem in 48 files along a Hilbert curve over x and y."""
+    """Lineitem in 48 files or more along a Hilbert curve over x and y."""
     points = lineitem_points(spark, sf_dir, 1)
     return once(
         spark,
         sf_dir,
         "curve",
-        lambda path: write_las(points, path, curve_by=["x", "y"], num_partitions=CURVE_FILES, pointFormat=1, maxPointsPerFile=POINTS_PER_FILE),
+        lambda path: write_las(
+            points, path, curve_by=["x", "y"], num_partitions=spread(points, CURVE_FILES), pointFormat=1, maxPointsPerFile=POINTS_PER_FILE
+        ),
     )
 
 
@@ -190,9 +192,11 @@ def index_drops(spark: SparkSession, sf_dir: str, refresh: Callable[[str, str],
     """Folder and header index: lineitem's flag A, later N, then R in place of one of N's files; refreshed after each."""
 
     def write(path: str) -> None:
+        tasks = spread(table(spark, sf_dir, "lineitem"), 3)  # as many files of each flag
+
         def drop(flag: str, folder: str) -> None:
             points = lineitem_points(spark, sf_dir, 1, "l_returnflag as flag").where(f"flag = '{flag}'").drop("flag")
-            write_las(points, folder, "append", num_partitions=3, pointFormat=1)
+            write_las(points, folder, "append", num_partitions=tasks, pointFormat=1)
             refresh(f"{path}/tiles", f"{path}/index")
 
         fs, inner = filesystem(path)
@@ -278,8 +282,8 @@ def waveform_las(spark: SparkSession, sf_dir: str) -> str:
     packet = f"if(l_linenumber = 7, null, encode({WAVEFORM}, 'UTF-8')) as _waveform"
     points = lineitem_points(spark, sf_dir, 9, packet).drop(*left_out)
     wave = json.dumps({k: [8, 0, 1000 * k, 0.5, -1.0] for k in range(1, 7)})
-    how = {"pointFormat": 9, "num_partitions": 6, "waveDescriptors": wave, "maxPointsPerFile": POINTS_PER_FILE}
-    return once(spark, sf_dir, "waveforms", lambda path: write_las(points, path, **how))
+    how = {"pointFormat": 9, "waveDescriptors": wave, "maxPointsPerFile": POINTS_PER_FILE}
+    return once(spark, sf_dir, "waveforms", lambda path: write_las(points, path, num_partitions=spread(points, 6), **how))
 
 
 # Records of `part`; every tenth is longer than a plain record may be.

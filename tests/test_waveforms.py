@@ -8,7 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lidarframe import amplitudes, las_audit, read_descriptors, read_headers, read_las, read_waveforms, write_las
+from lidarframe import amplitudes, las_audit, read_descriptors, read_headers, read_las, read_vlrs, read_waveforms, write_las
+from lidarframe.plans import fixtures
 from lidarframe.sources import waveforms
 from lidarframe.sources.files import FileEntry
 from lidarframe.sources.layouts import parse_header
@@ -114,3 +115,23 @@ def test_other_formats_and_refusals(spark, tmp_path):
     write_las(points(spark, 5).drop("wave_packet_descriptor_index"), str(tmp_path / "y"), pointFormat=9)
     found = read_waveforms(spark, str(tmp_path / "y"), ["x"]).collect()
     assert sorted(r.wave_packet_descriptor_index for r in found) == [0, 1, 1, 1, 1] and {r.bits for r in found} == {None}
+
+
+def test_descriptors_leave_packets_alone(spark, tmp_path):
+    """Packets are one extended record, as large as all waveforms of a file: its data do not enter Spark."""
+    points = spark.range(0, 9, 1, 1).selectExpr("cast(id as double) as x", "0D as y", "0D as z", "encode(repeat('w', 500), 'UTF-8') as _waveform")
+    write_las(points, str(tmp_path / "p"), pointFormat=9, waveDescriptors='{"1": [8, 0, 1000, 0.5, -1.0]}')
+    found = {r.extended: r for r in read_vlrs(spark, str(tmp_path / "p"), extendedData=False).collect()}
+    assert found[True].data is None and found[True].length == 4500 and len(found[False].data) == 26
+    assert {len(r.data) for r in read_vlrs(spark, str(tmp_path / "p")).collect()} == {26, 4500}
+    (row,) = read_descriptors(spark, str(tmp_path / "p")).collect()
+    assert (row.wave_packet_descriptor_index, row.bits, row.picoseconds, row.gain, row.offset) == (1, 8, 1000, 0.5, -1.0)
+
+
+def test_tasks_grow_with_the_points(spark, tmp_path, monkeypatch):
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(fixtures, "POINTS_PER_FILE", 500)
+    assert fixtures.spread(spark.range(4000), 6) == 8 and fixtures.spread(spark.range(400), 6) == 6
+    path = fixtures.waveform_las(spark, str(tmp_path))
+    counts = [r.point_count for r in read_headers(spark, path).collect()]
+    assert sum(counts) == 6000 and len(counts) == 12 and max(counts) <= 500
