@@ -246,7 +246,9 @@ def faulty_las(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         points = lineitem_points(spark, sf_dir, 1, f"l_orderkey % {len(FAULTS)} as part")
-        write_las(points.repartition("part"), path, partition_by=["part"], pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
+        # by ranges of (part, hash of the row): files mostly hold one part, a task only a piece of it
+        tasks = spread(points, len(FAULTS))
+        write_las(points, path, partition_by=["part"], cluster_by=["part"], num_partitions=tasks, pointFormat=1, maxPointsPerFile=POINTS_PER_FILE)
         spark.read.format("las_files").load(path).mapInArrow(spoil, "path string").count()
 
     return once(spark, sf_dir, "faulty", write)
