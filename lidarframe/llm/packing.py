@@ -31,10 +31,11 @@ from lidarframe.llm.common import materialise, named, table, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_CACHED = 200_000  # words whose ids a worker remembers, in two generations
+_CACHED = 600_000  # words whose ids a worker remembers, in two generations
+_HELD = 16 << 20  # characters of the words of a generation
 _JOINED = 512  # new words that are encoded as one text
 _BLOCK = 1 << 16  # characters of a text that are split into words together
-_GROUP = 1 << 18  # characters of blocks whose new words are encoded together
+_GROUP = 1 << 20  # characters of blocks whose new words are encoded together
 # A place between two words whatever is around it: words hold a blank only as their first character.
 _CUT = re.compile("(?<=[A-Za-z0-9.,])(?=[ \n])")
 # Blocks of other characters are encoded whole: tables of letters and spaces differ between libraries.
@@ -65,26 +66,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
     def _encode_joined(self, words: list[str]) -> list[bytes]:
-        """Ids of words of a blank and letters: one text of many words, as a blank always begins a word."""
+        """Ids of words of a blank and letters: one text, a line for each, as a line break before a blank is a word."""
         out: list[bytes] = []
         for start in range(0, len(words), _JOINED):
             part = words[start : start + _JOINED]
-            (found,) = self.tokenizer.encode_batch(["".join(part)], add_special_tokens=False)
-            cuts = np.flatnonzero(np.diff(np.asarray(found.word_ids))) + 1
+            (found,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4")
+            cuts = 4 * np.flatnonzero(ids == self.line_break)
             if len(cuts) + 1 != len(part):  # the tokenizer sees other words
                 out += self._encode(part)
                 continue
-            data = np.asarray(found.ids, "<u4").tobytes()
-            ends = [0, *(4 * cuts).tolist(), len(data)]
-            out += [data[a:b] for a, b in zip(ends, ends[1:])]
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
         return out
 
     def many(self, texts: list[str]) -> list[bytes]:
@@ -106,9 +109,10 @@ class Encoder:
         words = [None if "<|" in block or _OTHER.search(block) else _WORDS.findall(block) for _, block in group]
         missing = set().union(*filter(None, words)).difference(self.young)
         if missing:
-            if len(self.young) > _CACHED:  # what this group uses of the older words stays
-                self.old, self.young = self.young, {}
+            if len(self.young) > _CACHED or self.held > _HELD:  # what this group uses of the older words stays
+                self.old, self.young, self.held = self.young, {}, 0
                 missing = set().union(*filter(None, words))
+            self.held += sum(map(len, missing))
             again = missing & self.old.keys()
             self.young.update((w, self.old[w]) for w in again)
             new = missing - again

@@ -510,6 +510,24 @@ def test_words_are_remembered_in_generations(monkeypatch):
     assert calls.count("again") == 1 and len(encode.young) <= 5 + 4
 
 
+def test_words_stay_remembered_among_many(monkeypatch):
+    """A vocabulary of half a million words is encoded once; long words are remembered by their size."""
+    encode = packing.Encoder()
+    joined = encode._encode_joined
+    few = [" again", " wörd", " x"]
+    assert joined(few) == encode._encode(few)
+    calls = []
+    encode._encode_joined = lambda words: (calls.extend(words), [b""] * len(words))[1]
+    numbers = [" " + "".join(chr(97 + int(d)) for d in str(n)) for n in range(450_000)]
+    for start in (*range(0, 450_000, 90_000), 0):
+        encode._add([(0, "".join(numbers[start : start + 90_000]))], [[]])
+    assert len(calls) == 450_000
+    monkeypatch.setattr(packing, "_HELD", 1000)
+    for k in range(40):
+        encode("".join(chr(97 + k % 26) for _ in range(600)) + str(k))
+    assert sum(map(len, encode.young)) <= 3000 and sum(map(len, encode.old)) <= 4_000
+
+
 @pytest.mark.parametrize("size", [5, 40, 1 << 16])
 def test_blocks_give_the_ids_of_whole_texts(monkeypatch, size):
     import public_tokenizers
