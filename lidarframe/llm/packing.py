@@ -107,7 +107,10 @@ class Encoder:
     def _add(self, group: list[tuple[int, str]], found: list[list[bytes]]) -> None:
         """Appends the ids of each block of a group to those of its text."""
         words = [None if "<|" in block or _OTHER.search(block) else _WORDS.findall(block) for _, block in group]
-        missing = set().union(*filter(None, words)).difference(self.young)
+        known = self.young.get
+        ids = [list(map(known, w or ())) for w in words]
+        # ids are never empty, so what counts as false is missing
+        missing = {x for w, d in zip(words, ids) if w and not all(d) for x, y in zip(w, d) if not y}
         if missing:
             if len(self.young) > _CACHED or self.held > _HELD:  # what this group uses of the older words stays
                 self.old, self.young, self.held = self.young, {}, 0
@@ -121,8 +124,11 @@ class Encoder:
             rest = list(new.difference(spaced))
             self.young.update(zip(rest, self._encode(rest)))
         get = self.young.__getitem__
-        for (k, block), w in zip(group, words):
-            found[k].append(self._encode([block])[0] if w is None else b"".join(map(get, w)))
+        for (k, block), w, d in zip(group, words, ids):
+            if w is None:
+                found[k].append(self._encode([block])[0])
+            else:
+                found[k].append(b"".join(d if all(d) else [y or get(x) for x, y in zip(w, d)]))
 
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]
