@@ -517,7 +517,7 @@ def test_words_stay_remembered_among_many(monkeypatch):
     few = [" again", " wörd", " x"]
     assert joined(few) == encode._encode(few)
     calls = []
-    encode._encode_joined = lambda words: (calls.extend(words), [b""] * len(words))[1]
+    encode._encode_joined = lambda words: (calls.extend(words), [b"\0\0\0\0"] * len(words))[1]
     numbers = [" " + "".join(chr(97 + int(d)) for d in str(n)) for n in range(450_000)]
     for start in (*range(0, 450_000, 90_000), 0):
         encode._add([(0, "".join(numbers[start : start + 90_000]))], [[]])
